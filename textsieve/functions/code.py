@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, functions as F
 
 from textsieve.functions.classes import LINE_BREAK, NOT_AFTER_WORD, SPACE, SPACE_SET, WORD, WORD_SET
@@ -51,7 +54,6 @@ FUNCTION_DEF = rf"{NOT_AFTER_WORD}(?:def|function|const|let|var){SPACE}+{WORD}+{
 METHOD_CALL = rf"\.{WORD}+{SPACE}*\("
 ASSIGNMENT = rf"""(?md)^{SPACE}*{WORD}+{SPACE}*={SPACE}*[{WORD_SET}\[{{('"]"""
 STARTS_LIKE_CODE = rf"^{SPACE}*(?:{'|'.join(map(_quoted, LINE_STARTS))})"
-ENDS_LIKE_CODE = rf"(?:{'|'.join(map(_quoted, LINE_ENDS))})\z"
 INDENTED = rf"^(?:{SPACE}{{8}}|\t\t)"
 NOT_CODE_PUNCTUATION = r"[^{}\[\]();=<>]+"
 
@@ -74,9 +76,11 @@ def text_lines(low: Column) -> Column:
 
 
 def codey_lines(lines: Column) -> Column:
-    return F.size(
-        F.filter(lines, lambda line: line.rlike(STARTS_LIKE_CODE) | line.rlike(ENDS_LIKE_CODE))
-    )
+    def codey(line: Column) -> Column:
+        ends = reduce(or_, (line.endswith(end) for end in LINE_ENDS))
+        return ends | line.rlike(STARTS_LIKE_CODE)
+
+    return F.size(F.filter(lines, codey))
 
 
 def indented_lines(lines: Column) -> Column:

@@ -137,6 +137,11 @@ def _element_text(documents: pd.Series) -> pd.Series:
     return documents.map(lambda document: page_text(document, True), na_action="ignore")
 
 
+# As in normalize: worked out once, not copied into later expressions.
+_document_text = _document_text.asNondeterministic()
+_element_text = _element_text.asNondeterministic()
+
+
 def is_html(text: Column) -> Column:
     return text.rlike(TAG)
 

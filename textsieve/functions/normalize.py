@@ -22,6 +22,11 @@ def _decode_entities(texts: pd.Series) -> pd.Series:
     return texts.map(html.unescape, na_action="ignore")
 
 
+# Catalyst copies a deterministic UDF's result into every later expression that
+# uses it, up to the next UDF. Marked otherwise, it is worked out once.
+_decode_entities = _decode_entities.asNondeterministic()
+
+
 def html_unescape(text: Column) -> Column:
     """Decode HTML entities once. Only rows that hold one carry text to Python."""
     holds_entity = text.contains("&") & text.rlike(ENTITY_START)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from textsieve.functions.classes import NOT_AFTER_WORD, NOT_BEFORE_WORD, WORD_SET
-from textsieve.functions.pii import pattern_values
+from textsieve.functions.pii import changed, pattern_values
 
 NAME_WORD = rf"([{WORD_SET}'-]+)"
 
@@ -73,9 +73,8 @@ def mask_gazetteer(
     hits = gazetteer_hits(df, gazetteer, id_col, text)
     joined = df.join(hits, id_col, "left")
     masked = joined.withColumn("masked", mask_names(F.col(text), F.col("names"))).drop("names")
-    # A mask is never equal to the name it replaces.
     return (
-        masked.withColumn("named", F.col("masked") != F.col(text))
+        masked.withColumn("named", changed(F.col("masked"), F.col(text)))
         .withColumn(text, F.col("masked"))
         .drop("masked")
     )

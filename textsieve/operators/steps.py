@@ -21,8 +21,7 @@ from textsieve.functions.fingerprint import fingerprint
 from textsieve.functions.html import accepted, line_cleanup, raw_page_text
 from textsieve.functions.normalize import normalize
 from textsieve.functions.pii import (
-    has_pattern,
-    has_pronoun,
+    changed,
     mask_patterns,
     mask_spans,
     neutralize_pronouns,
@@ -268,26 +267,14 @@ def pii_step(entities: ColumnModel | None = None, gazetteer: DataFrame | None =
 
 def mask_live_rows(rows: DataFrame, entities: ColumnModel | None, has_names: bool) -> DataFrame:
     """The masks of pii_step; with has_names, rows carry the names found by gazetteer_hits."""
-    text = live(F.col("cleaned"))
-    rows = rows.withColumns({"_flag": has_pattern(text), "_text": mask_patterns(text)})
+    rows = rows.withColumn("_text", mask_patterns(live(F.col("cleaned"))))
     if entities is not None:
         rows = rows.withColumn("_spans", entities(F.col("_text")))
-        rows = rows.withColumns(
-            {
-                "_flag": F.col("_flag") | (F.coalesce(F.size("_spans"), F.lit(0)) > 0),
-                "_text": mask_spans(F.col("_text"), F.col("_spans")),
-            }
-        ).drop("_spans")
+        rows = rows.withColumn("_text", mask_spans(F.col("_text"), F.col("_spans"))).drop("_spans")
     if has_names:
-        rows = rows.withColumn("_named", mask_names(F.col("_text"), F.col("names")))
-        # A mask is never equal to the name it replaces.
-        rows = rows.withColumns(
-            {"_flag": F.col("_flag") | (F.col("_named") != F.col("_text")), "_text": F.col("_named")}
-        ).drop("_named", "names")
-    flag = F.coalesce(F.col("_flag") | has_pronoun(F.col("_text")), F.lit(False))
+        rows = rows.withColumn("_text", mask_names(F.col("_text"), F.col("names"))).drop("names")
+    rows = rows.withColumn("_text", neutralize_pronouns(F.col("_text")))
+    masked = F.coalesce(changed(F.col("_text"), F.col("cleaned")), F.lit(False))
     return rows.withColumns(
-        {
-            "anonymized": F.col("anonymized") | flag,
-            "cleaned": F.coalesce(neutralize_pronouns(F.col("_text")), F.col("cleaned")),
-        }
-    ).drop("_flag", "_text")
+        {"anonymized": F.col("anonymized") | masked, "cleaned": F.coalesce("_text", "cleaned")}
+    ).drop("_text")
