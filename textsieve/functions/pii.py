@@ -73,16 +73,18 @@ def mask_patterns(text: Column) -> Column:
 
 def pattern_values(text: Column) -> Column:
     """array<struct<entity, value>> of every pattern match, in masking order."""
-    found = []
-    for entity, (pattern, _) in PATTERNS.items():
-        values = F.regexp_extract_all(text, F.lit(f"({pattern})"), F.lit(1))
-        found.append(
-            F.transform(
-                values, lambda value, e=entity: F.struct(F.lit(e).alias("entity"), value.alias("value"))
-            )
+
+    def found(entity: str, searched: Column) -> Column:
+        values = F.regexp_extract_all(searched, F.lit(f"({PATTERNS[entity][0]})"), F.lit(1))
+        return F.transform(
+            values, lambda value: F.struct(F.lit(entity).alias("entity"), value.alias("value"))
         )
+
+    parts = []
+    for entity in PATTERNS:
+        parts.append(found(entity, text))
         text = mask(text, entity)
-    return F.concat(*found)
+    return F.concat(*parts)
 
 
 def changed(masked: Column, text: Column) -> Column:

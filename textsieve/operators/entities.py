@@ -7,10 +7,13 @@ from pyspark.sql import Column, DataFrame, functions as F
 from textsieve.functions.classes import NOT_AFTER_WORD, NOT_BEFORE_WORD, WORD_SET
 from textsieve.functions.pii import changed, pattern_values
 
-NAME_WORD = rf"([{WORD_SET}'-]+)"
 
 
-def _phrases(words: Column, longest: int) -> Column:
+def name_words(text: Column) -> Column:
+    return F.regexp_extract_all(text, F.lit(f"([{WORD_SET}]+)"), F.lit(1))
+
+
+def _word_runs(words: Column, longest: int) -> Column:
     """Distinct runs of 1 to longest words."""
 
     def runs(length: int) -> Column:
@@ -33,14 +36,12 @@ def gazetteer_hits(
     name are left out.
     """
     names = gazetteer.select("entity", "phrase").distinct()
-    size = F.size(F.split("phrase", " "))
-    longest = names.agg(F.max(size)).first()[0] or 1
-    words = df.select(
-        F.col(id_col), F.regexp_extract_all(F.col(text), F.lit(NAME_WORD), F.lit(1)).alias("words")
-    )
-    runs = words.select(id_col, F.explode(_phrases(F.col("words"), longest)).alias("phrase"))
+    names = names.withColumn("run", F.array_join(name_words(F.col("phrase")), " ")).filter("run <> ''")
+    longest = names.agg(F.max(F.size(F.split("run", " ")))).first()[0] or 1
+    words = df.select(F.col(id_col), name_words(F.col(text)).alias("words"))
+    runs = words.select(id_col, F.explode(_word_runs(F.col("words"), longest)).alias("run"))
     return (
-        runs.join(names, "phrase")
+        runs.join(names, "run")
         .groupBy(id_col)
         .agg(F.collect_set(F.struct("entity", "phrase")).alias("names"))
     )
