@@ -229,7 +229,10 @@ TOXIC_MODEL = f"""
         SELECT word, CAST(round(ln(
             ((bad_n + {toxicity.SMOOTHING}::DOUBLE * share) / bad)
             / ((all_n - bad_n + {toxicity.SMOOTHING}::DOUBLE * (1 - share)) / good)) * 1000) AS BIGINT) AS w
-        FROM toxic_words, sizes ORDER BY abs(w) DESC, word LIMIT {toxicity.MAX_WORDS}
+        FROM toxic_words, sizes
+        ORDER BY CAST(round((bad_n - all_n * share) * (bad_n - all_n * share) / (all_n * share * (1 - share)) * 1000)
+            AS BIGINT) DESC, word
+        LIMIT {toxicity.MAX_WORDS}
     ),
     toxic_prior AS (SELECT CAST(round(ln(bad / good) * 1000) AS BIGINT) AS prior FROM sizes)"""
 

@@ -10,9 +10,9 @@ TEXTS = [
     "plain words here",
     "tabs\t\tand  blanks\n\n\nand lines\n",
     "carriage\r\nreturn\rhere",
-    "nbsp  run and thin space",
-    "line separator = 1 x = 2\u0085y = 3",
-    "combining é ä marks",
+    "nbsp\u00a0\u00a0run and\u2009thin\u3000space",
+    "line separator\u2028a = 1\u2028x = 2\u0085y = 3\nz = 4",
+    "combining e\u0301 a\u0308 marks, he\u0301 and \u0301she",
     "İstanbul ΟΔΥΣΣΕΥΣ Straße",
     "emoji 😀😀 and 𝒳 math",
     "one; two;\nfrom here\n  # note\nplain\n}",
@@ -28,7 +28,7 @@ TEXTS = [
     "½ ² Ⅷ ① 五 numbers",
     "don't can't y'all 'quoted'",
     "١٢٣ arabic ३ digits",
-    "　ideographic　space　",
+    "\u3000ideographic\u3000space\u3000",
     "He's here. Hé too; she/her (his) HIM him, himself_ herself.",
     "brackets (a [b {c} d] e) ((( ]]] == <>;;",
     "        eight blanks\n\t\ttwo tabs\n short",

@@ -10,10 +10,10 @@ from textsieve.functions.attributes import tokenize
 from textsieve.operators.scoring import MILLI, milli_log, sum_weights
 from textsieve.staging import write_staged
 
-# Fixed values of the fit: pseudo-count, least number of texts a word is in, model size.
+# Fixed values of the fit: pseudo-count, least number of texts a word is in, words kept.
 SMOOTHING = 5.0
-MIN_TEXTS = 4
-MAX_WORDS = 2000
+MIN_TEXTS = 3
+MAX_WORDS = 25
 
 
 @dataclass(frozen=True)
@@ -31,7 +31,11 @@ def distinct_tokens(text: Column) -> Column:
 def fit_toxicity(
     labelled: DataFrame, id_col: str = "doc_id", text: str = "text", toxic: str = "toxic"
 ) -> ToxicityModel:
-    """Log-odds of a word's presence in toxic against other texts, shrunk to zero for rare words."""
+    """Log-odds of a word's presence in toxic against other texts, shrunk to zero for rare words.
+
+    The words kept are those with the most evidence by chi-square. Texts are long
+    against the number of labels, and more words would mostly add chance.
+    """
     texts = labelled.filter(F.col(text).isNotNull() & F.col(toxic).isNotNull())
     sizes = texts.agg(
         F.sum(F.when(F.col(toxic) == 1, 1.0).otherwise(0.0)).alias("bad"),
@@ -53,10 +57,17 @@ def fit_toxicity(
     )
     in_bad = (F.col("bad") + SMOOTHING * share) / bad
     in_good = (F.col("all") - F.col("bad") + SMOOTHING * (1 - share)) / good
+    expected = F.col("all") * share
+    surprise = (F.col("bad") - expected) * (F.col("bad") - expected) / (expected * (1 - share))
     weights = (
-        counts.select("word", milli_log(in_bad / in_good).alias("w"))
-        .orderBy(F.abs("w").desc(), "word")
+        counts.select(
+            "word",
+            milli_log(in_bad / in_good).alias("w"),
+            F.round(surprise * MILLI).cast("bigint").alias("evidence"),
+        )
+        .orderBy(F.desc("evidence"), "word")
         .limit(MAX_WORDS)
+        .select("word", "w")
     )
     prior = texts.sparkSession.range(1).select(milli_log(F.lit(bad / good)).alias("p")).first()["p"]
     return ToxicityModel(prior, write_staged(weights, "toxicity-weights"))
