@@ -11,7 +11,7 @@ TEXTS = [
     "tabs\t\tand  blanks\n\n\nand lines\n",
     "carriage\r\nreturn\rhere",
     "nbsp\u00a0\u00a0run and\u2009thin\u3000space",
-    "line separator\u2028a = 1\u2028x = 2\u0085y = 3\nz = 4",
+    "line\u2028separator = 1\u2029x = 2\u0085y = 3\nz = 4",
     "combining e\u0301 a\u0308 marks, he\u0301 and \u0301she",
     "İstanbul ΟΔΥΣΣΕΥΣ Straße",
     "emoji 😀😀 and 𝒳 math",

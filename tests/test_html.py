@@ -67,8 +67,8 @@ def test_line_cleanup_repeats(apply):
         " ab \n!!\n12\nab\nab": "ab",
         "same\n\nsame\nother\nsame": "same\nother\nsame",
         "\n".join(["abc"] * 6000): "abc",
-        "one two\none": "one two\none",
-        "ab \nab": "ab",
+        "one\u2028two\none": "one\u2028two\none",
+        "ab\u00a0\nab": "ab",
         "": "",
     }
     assert apply(html.line_cleanup, list(cases)) == list(cases.values())

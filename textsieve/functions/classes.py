@@ -16,7 +16,9 @@ SPACE = f"[{SPACE_SET}]"
 WORD = f"[{WORD_SET}]"
 NOT_AFTER_WORD = f"(?<!{WORD})"
 NOT_BEFORE_WORD = f"(?!{WORD})"
-LINE_BREAK = r"\r\n|[\n\r\x0b\x0c\x1c-\x1e\x85\u2028\u2029]"
+BREAK_SET = r"\n\r\x0b\x0c\x1c-\x1e\x85\u2028\u2029"
+# Whitespace that does not end a line.
+BLANK = f"[{SPACE_SET}&&[^{BREAK_SET}]]"
 
 
 def strip(text: Column) -> Column:

@@ -7,7 +7,15 @@ from operator import or_
 
 from pyspark.sql import Column, functions as F
 
-from textsieve.functions.classes import LINE_BREAK, NOT_AFTER_WORD, SPACE, SPACE_SET, WORD, WORD_SET
+from textsieve.functions.classes import (
+    BLANK,
+    BREAK_SET,
+    NOT_AFTER_WORD,
+    SPACE,
+    SPACE_SET,
+    WORD,
+    WORD_SET,
+)
 
 # Starts (after leading blanks) and ends of code-like lines.
 LINE_STARTS = (
@@ -46,15 +54,13 @@ KEYWORDS = tuple(
 )
 
 
-def _quoted(text: str) -> str:
-    return rf"\Q{text}\E"
-
-
 FUNCTION_DEF = rf"{NOT_AFTER_WORD}(?:def|function|const|let|var){SPACE}+{WORD}+{SPACE}*\("
 METHOD_CALL = rf"\.{WORD}+{SPACE}*\("
 ASSIGNMENT = rf"""(?md)^{SPACE}*{WORD}+{SPACE}*={SPACE}*[{WORD_SET}\[{{('"]"""
-STARTS_LIKE_CODE = rf"^{SPACE}*(?:{'|'.join(map(_quoted, LINE_STARTS))})"
-INDENTED = rf"^(?:{SPACE}{{8}}|\t\t)"
+# From the first character that is not blank to the end of the line.
+TRIMMED_LINE = f"[^{SPACE_SET}][^{BREAK_SET}]*"
+DEEP_BLANKS = rf"{BLANK}{{8}}|\t\t"
+INDENTED_LINE = rf"(?<![^{BREAK_SET}])(?:{DEEP_BLANKS}){BLANK}*[^{SPACE_SET}]"
 NOT_CODE_PUNCTUATION = r"[^{}\[\]();=<>]+"
 
 
@@ -71,20 +77,23 @@ def assignments(text: Column) -> Column:
 
 
 def text_lines(low: Column) -> Column:
-    """Lines of the lowercased text that are not blank."""
-    return F.filter(F.split(low, LINE_BREAK), lambda line: line.rlike(f"[^{SPACE_SET}]"))
+    """Lines of the lowercased text that are not blank, without their leading blanks."""
+    return F.regexp_extract_all(low, F.lit(TRIMMED_LINE), F.lit(0))
 
 
 def codey_lines(lines: Column) -> Column:
     def codey(line: Column) -> Column:
-        ends = reduce(or_, (line.endswith(end) for end in LINE_ENDS))
-        return ends | line.rlike(STARTS_LIKE_CODE)
+        starts = (line.startswith(start) for start in LINE_STARTS)
+        ends = (line.endswith(end) for end in LINE_ENDS)
+        return reduce(or_, [*starts, *ends])
 
     return F.size(F.filter(lines, codey))
 
 
-def indented_lines(lines: Column) -> Column:
-    return F.size(F.filter(lines, lambda line: line.rlike(INDENTED)))
+def indented_lines(low: Column) -> Column:
+    """Lines with eight leading blanks or two leading tabs. Rare after normalization."""
+    count = F.regexp_count(low, F.lit(INDENTED_LINE))
+    return F.when(low.rlike(DEEP_BLANKS), count).when(low.isNotNull(), 0)
 
 
 def code_punctuation(text: Column) -> Column:

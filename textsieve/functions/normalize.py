@@ -12,7 +12,8 @@ from pyspark.sql.types import StringType
 CURLY_QUOTES = "“”‘’"
 STRAIGHT_QUOTES = "\"\"''"
 
-CONTROL_CHARS = r"[\x00-\x08\x0b\x0c\x0e-\x1f\x7f]"
+# Control characters but tab, LF and CR.
+CONTROL_CHARS = "".join(map(chr, [*range(0x09), 0x0B, 0x0C, *range(0x0E, 0x20), 0x7F]))
 # Every entity starts with "&#" or "&" and an ASCII letter.
 ENTITY_START = "&[#A-Za-z]"
 
@@ -35,7 +36,7 @@ def html_unescape(text: Column) -> Column:
 
 def strip_control(text: Column) -> Column:
     """Replace control characters by spaces; tab, LF and CR stay."""
-    return F.regexp_replace(text, CONTROL_CHARS, " ")
+    return F.translate(text, CONTROL_CHARS, " " * len(CONTROL_CHARS))
 
 
 def straight_quotes(text: Column) -> Column:
@@ -48,8 +49,9 @@ def collapse_whitespace(text: Column) -> Column:
 
 
 def clean_characters(text: Column) -> Column:
-    """The part of normalization that needs no Python."""
-    return collapse_whitespace(straight_quotes(strip_control(text)))
+    """The part of normalization that needs no Python, single characters in one pass."""
+    found = CONTROL_CHARS + CURLY_QUOTES
+    return collapse_whitespace(F.translate(text, found, " " * len(CONTROL_CHARS) + STRAIGHT_QUOTES))
 
 
 def normalize(text: Column) -> Column:

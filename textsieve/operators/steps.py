@@ -164,7 +164,7 @@ def code_features(rows: DataFrame, text: str = "cleaned", tokens: str = "tokens"
                 "strong_pattern": code.strong_pattern(F.col(text)),
                 "lines": F.size("_lines"),
                 "codey_lines": code.codey_lines(F.col("_lines")),
-                "indented_lines": code.indented_lines(F.col("_lines")),
+                "indented_lines": code.indented_lines(F.col("_low")),
                 "punctuation": F.length("_punctuation"),
                 "bracket_pairs": code.bracket_pairs(F.col("_punctuation")),
                 "words": F.size("_words"),
