@@ -21,7 +21,7 @@ def char_count(text: Column) -> Column:
 
 
 def _share(part: Column, whole: Column) -> Column:
-    return F.when(whole > 0, part / whole).otherwise(F.lit(0.0))
+    return F.when(whole > 0, part / whole).when(whole == 0, 0.0)
 
 
 def ascii_ratio(text: Column) -> Column:
@@ -39,11 +39,10 @@ def symbol_ratio(text: Column) -> Column:
 
 
 def attributes(text: Column) -> dict[str, Column]:
-    tokens = tokenize(text)
+    """All measures but token_count, which is the size of tokens."""
     return {
-        "tokens": tokens,
+        "tokens": tokenize(text),
         "char_count": char_count(text),
-        "token_count": F.size(tokens),
         "ascii_ratio": ascii_ratio(text),
         "symbol_ratio": symbol_ratio(text),
     }

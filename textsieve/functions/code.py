@@ -57,10 +57,11 @@ KEYWORDS = tuple(
 FUNCTION_DEF = rf"{NOT_AFTER_WORD}(?:def|function|const|let|var){SPACE}+{WORD}+{SPACE}*\("
 METHOD_CALL = rf"\.{WORD}+{SPACE}*\("
 ASSIGNMENT = rf"""(?md)^{SPACE}*{WORD}+{SPACE}*={SPACE}*[{WORD_SET}\[{{('"]"""
-# From the first character that is not blank to the end of the line.
-TRIMMED_LINE = f"[^{SPACE_SET}][^{BREAK_SET}]*"
-DEEP_BLANKS = rf"{BLANK}{{8}}|\t\t"
-INDENTED_LINE = rf"(?<![^{BREAK_SET}])(?:{DEEP_BLANKS}){BLANK}*[^{SPACE_SET}]"
+# From the first character that is not blank to the end of the line. Plain ASCII
+# is taken in runs and never given back, which Java matches many times faster.
+TRIMMED_LINE = f"[^{SPACE_SET}](?:[ -~]+|[^{BREAK_SET}])*+"
+DEEP_BLANKS = rf"{SPACE}{{8}}|\t\t"
+INDENTED_LINE = rf"(?<![^{BREAK_SET}])(?:{BLANK}{{8}}|\t\t){BLANK}*[^{SPACE_SET}]"
 NOT_CODE_PUNCTUATION = r"[^{}\[\]();=<>]+"
 
 

@@ -130,7 +130,14 @@ def normalize_step() -> Step:
 
 
 def attributes_step() -> Step:
-    return attribute_step(attributes(F.col("cleaned")))
+    """The measures of stage 2; null on dead rows."""
+
+    def step(rows: DataFrame, number: int) -> DataFrame:
+        rows = rows.withColumn("_text", live(F.col("cleaned")))
+        rows = rows.withColumns(attributes(F.col("_text"))).drop("_text")
+        return rows.withColumn("token_count", F.size("tokens"))
+
+    return step
 
 
 def preliminary_step(config: PrepConfig = PrepConfig()) -> Step:
