@@ -120,6 +120,47 @@ def pronouns(text: str) -> str:
     return text
 
 
+def line_cleanup(text: str) -> str:
+    text = replace_all(replace_all(text, " {2,}", "' '"), r"\t+", "' '")
+    trimmed = replace_all("x", f"^{SPACE}+|{SPACE}+$", "''")
+    letters = matches("x", r"^\p{L}+$")
+    lines = f"""list_filter(
+        list_transform(string_split({text}, chr(10)), lambda x: {trimmed}), lambda x: length(x) > 2 OR {letters})"""
+    # A line next to its like, by pairing each line with the one before.
+    return f"""coalesce(array_to_string(list_transform(
+        list_filter(list_zip({lines}, list_prepend(NULL, {lines})), lambda x: x[1] IS NOT NULL AND x[1] IS DISTINCT FROM x[2]),
+        lambda x: x[1]), chr(10)), '')"""
+
+
+def unescape(text: str) -> str:
+    """The entities that occur in the pages, & last, so that nothing is decoded twice."""
+    for entity, char in (("&copy;", "©"), ("&middot;", "·"), ("&quot;", '"')):
+        text = f"replace({text}, '{entity}', '{char}')"
+    return replace_all(text, "&amp;?", "'&'")
+
+
+def page_text(text: str, scope: str) -> str:
+    """The extraction rules for the tags and the one noisy class that occur in the pages."""
+    if scope == "document":
+        text = replace_all(text, '(?s)<div class="ad">.*', "''")
+    for tag in ("script", "style", "nav", "footer"):
+        text = replace_all(text, rf"(?s)<{tag}[^>]*>.*?(</{tag}>|\z)", "''")
+    text = replace_all(text, '(?s)<div class="ad">.*?</div>', "chr(10)")
+    text = replace_all(text, r"(?s)<!--.*?-->|<!DOCTYPE[^>]*>|<[a-zA-Z/][^>]*\z", "''")
+    text = replace_all(text, r"\s*</?(html|head|meta|title|body|ul|br)( [^>]*)?>\s*", "''")
+    text = replace_all(text, r"</?(a|b)( [^>]*)?>", "' '")
+    text = replace_all(text, r"</?(p|h1|article|li)( [^>]*)?>", "chr(10)")
+    return unescape(text)
+
+
+def extracted(text: str, scope: str) -> str:
+    return f"CASE WHEN {is_html(text)} THEN {line_cleanup(page_text(text, scope))} END"
+
+
+def is_html(text: str) -> str:
+    return matches(text, "<[a-zA-Z][^>]*>")
+
+
 def in_list(words: tuple[str, ...]) -> str:
     return ", ".join(quote(word) for word in words)
 
@@ -131,8 +172,8 @@ STARTS = f"^{SPACE}*(" + "|".join(rf"\Q{start}\E" for start in code.LINE_STARTS)
 ENDS = "(" + "|".join(rf"\Q{end}\E" for end in code.LINE_ENDS) + ")$"
 
 
-def measured(source: str) -> str:
-    """CTEs ending in code_counts: the code rules' counts over source(id, text)."""
+def measured(source: str, words_of: str = "text") -> str:
+    """CTEs ending in code_counts: the code rules' counts over source(id, text), tokens taken of words_of."""
     punctuation = replace_all("text", r"[^{}\[\]();=<>]", "''")
     pieces = f"list_filter(regexp_split_to_array(low, {quote(SPACE + '+')}), lambda x: x <> '')"
     pairs = " + ".join(
@@ -143,7 +184,7 @@ def measured(source: str) -> str:
     indented = matches("x", rf"^({SPACE}{{8}}|\t\t)")
     return f"""
     code_parts AS (
-        SELECT id, text, lower(text) AS low, {tokens('text')} AS tokens, {punctuation} AS marks FROM {source}
+        SELECT id, text, lower(text) AS low, {tokens(words_of)} AS tokens, {punctuation} AS marks FROM {source}
     ),
     code_lists AS (
         SELECT *, list_filter(regexp_split_to_array(low, {quote(LINE_BREAK)}), lambda x: {nonblank}) AS line_list,
@@ -248,8 +289,12 @@ def scores(source: str) -> str:
     )"""
 
 
-def chain(models: bool) -> str:
-    """CTEs ending in rows: the default plan over documents, which hold no HTML and no entities."""
+def chain(models: bool, pages: bool = False) -> str:
+    """CTEs ending in rows: the default plan over documents, which hold no HTML and no entities, or pages."""
+    docs, plain, extraction = DOCS, normalize("text"), "CAST(NULL AS VARCHAR)"
+    if pages:
+        docs = "docs AS (SELECT page_id AS id, html AS text FROM pages WHERE html <> '')"
+        plain, extraction = normalize(unescape("text")), extracted("text", CONFIG.noise_scope)
     verdict = "CASE WHEN copy > 1 THEN 'duplicate' END"
     lang = "CAST(NULL AS VARCHAR)"
     joins = ""
@@ -261,11 +306,16 @@ def chain(models: bool) -> str:
         joins = "LEFT JOIN lang_labels l ON l.id = c.id LEFT JOIN toxic_scores x ON x.id = c.id"
         with_models = f"{PROFILE}, {labels('living')}, {TOXIC_MODEL}, {scores('living')},"
     masked = pronouns(mask_patterns("text"))
-    return f"""WITH {DOCS},
-    plain AS (SELECT id, {normalize('text')} AS text FROM docs),
+    return f"""WITH {docs},
+    plain AS (SELECT id, {plain} AS text FROM docs),
     judged AS (SELECT id, text, {preliminary('text')} AS reason FROM plain),
-    passed AS (SELECT id, text FROM judged WHERE reason IS NULL),
-    {measured('passed')},
+    pages_text AS (SELECT id, text AS before, {extraction} AS found FROM judged WHERE reason IS NULL),
+    passed AS (
+        SELECT id, before, coalesce(length(found) >= {CONFIG.min_char_len}, false) AS html_extracted,
+            CASE WHEN length(found) >= {CONFIG.min_char_len} THEN found ELSE before END AS text
+        FROM pages_text
+    ),
+    {measured('passed', 'before')},
     coded AS (SELECT id, {CODE_REASON} AS reason FROM code_counts),
     living AS (SELECT id, text FROM passed JOIN coded USING (id) WHERE coded.reason IS NULL),
     copies AS (
@@ -274,11 +324,12 @@ def chain(models: bool) -> str:
     {with_models}
     late AS (SELECT c.id, {verdict} AS reason, {lang} AS lang FROM copies c {joins}),
     reasons AS (
-        SELECT id, judged.text, late.lang, coalesce(judged.reason, coded.reason, late.reason) AS omit_reason
-        FROM judged LEFT JOIN coded USING (id) LEFT JOIN late USING (id)
+        SELECT id, coalesce(passed.text, judged.text) AS text, coalesce(html_extracted, false) AS html_extracted,
+            late.lang, coalesce(judged.reason, coded.reason, late.reason) AS omit_reason
+        FROM judged LEFT JOIN passed USING (id) LEFT JOIN coded USING (id) LEFT JOIN late USING (id)
     ),
     outcome AS (
-        SELECT id, text, lang, omit_reason, CASE WHEN omit_reason IS NULL THEN {masked} ELSE text END AS cleaned
+        SELECT id, text, html_extracted, lang, omit_reason, CASE WHEN omit_reason IS NULL THEN {masked} ELSE text END AS cleaned
         FROM reasons
     ),
     rows AS (
@@ -286,7 +337,7 @@ def chain(models: bool) -> str:
             CASE WHEN omit_reason = 'code_snippet' THEN 5 WHEN omit_reason = 'duplicate' THEN 6
                 WHEN omit_reason = 'non_english' THEN 7 WHEN omit_reason = 'toxic_content' THEN 8
                 WHEN omit_reason IS NOT NULL THEN 3 END AS omit_stage,
-            cleaned, omit_reason IS NULL AND cleaned <> o.text AS anonymized, false AS html_extracted
+            cleaned, omit_reason IS NULL AND cleaned <> o.text AS anonymized, html_extracted
         FROM outcome o JOIN docs USING (id)
     )"""
 
@@ -314,19 +365,6 @@ def _lines(limit: int | None = None) -> str:
     return f"SELECT id, original FROM ({numbered}) WHERE id <= {(limit + 1) // 2}"
 
 
-def _line_cleanup() -> str:
-    text = replace_all(replace_all("text", " {2,}", "' '"), r"\t+", "' '")
-    trimmed = replace_all("x", f"^{SPACE}+|{SPACE}+$", "''")
-    letters = matches("x", r"^\p{L}+$")
-    return f"""WITH trimmed AS (
-        SELECT doc_id, list_filter(
-            list_transform(string_split({text}, chr(10)), lambda x: {trimmed}),
-            lambda x: length(x) > 2 OR {letters}) AS lines
-        FROM documents)
-    SELECT doc_id, coalesce(array_to_string(list_filter(lines, lambda x, i: i = 1 OR x <> lines[i - 1]), chr(10)), '')
-        AS text FROM trimmed"""
-
-
 def _entities() -> str:
     parts, text = [], "text"
     for entity, (pattern, _) in pii.PATTERNS.items():
@@ -385,10 +423,18 @@ ORACLE: dict[str, str] = {
     "filter_symbol_heavy": where(f"{symbol_ratio('text')} > {CONFIG.max_symbol_ratio}"),
     "filter_long_repeat": where(long_repeat("text")),
     "preliminary_reason": columns(omit_reason=preliminary("text")),
-    "is_html": f"""SELECT id, kind, {matches('text', '<[a-zA-Z][^>]*>')} AS is_html FROM (
+    "html_unescape": f"SELECT page_id, {unescape('html')} AS html FROM pages",
+    "html_extract": f"SELECT page_id, {extracted('html', 'document')} AS extracted FROM pages",
+    "html_extract_element": f"SELECT page_id, {extracted('html', 'element')} AS extracted FROM pages",
+    "html_accept": f"""SELECT page_id, length(extracted) >= {CONFIG.min_char_len} AS html_extracted,
+        CASE WHEN length(extracted) >= {CONFIG.min_char_len} THEN length(extracted) END AS chars
+        FROM (SELECT page_id, {extracted('html', 'element')} AS extracted FROM pages)""",
+    "prepared_pages": f"""{chain(models=False, pages=True)}
+        SELECT id, omit_reason, html_extracted, anonymized, cleaned FROM rows""",
+    "is_html": f"""SELECT id, kind, {is_html('text')} AS is_html FROM (
         SELECT page_id AS id, 'page' AS kind, html AS text FROM pages
         UNION ALL SELECT doc_id, 'document', text FROM documents)""",
-    "line_cleanup": _line_cleanup(),
+    "line_cleanup": columns(text=line_cleanup("text")),
     "code_function_def": where(function_def("text")),
     "code_method_calls": columns(method_calls=method_calls("text")),
     "code_assignments": columns(assignments=assignments("text")),
