@@ -31,7 +31,6 @@ from textsieve.operators.steps import (
     mask_live_rows,
     run_steps,
 )
-from textsieve.operators.toxicity import score_toxicity
 from textsieve.plans.prepare import Models, prepare
 from textsieve.staging import write_staged
 
@@ -73,7 +72,7 @@ def main() -> None:
     prints = plain.select("doc_id", fingerprint(text).alias("fingerprint"))
     stage("dedup", n_documents, lambda: dedup.dedup_mark(prints, "doc_id"))
     stage("language", n_documents, lambda: detect_language(plain, models.language, "doc_id"))
-    stage("toxicity", n_documents, lambda: score_toxicity(plain, models.toxicity, "doc_id"))
+    stage("toxicity", n_documents, lambda: plain.select("doc_id", models.toxicity(text).alias("toxicity")))
     stage("pii", n_documents, lambda: mask_live_rows(records, None, False))
     config = PrepConfig(noise_scope="element")
     stages["whole_chain_documents"] = (

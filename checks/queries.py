@@ -24,7 +24,8 @@ from textsieve.operators.steps import (
     modify_step,
     run_steps,
 )
-from textsieve.operators.toxicity import ToxicityModel, fit_toxicity, score_toxicity, toxicity_reason
+from textsieve.operators import toxicity as tox
+from textsieve.operators.toxicity import ToxicityModel, fit_toxicity, toxicity_reason
 from textsieve.plans import reports
 from textsieve.plans.prepare import Models, Timings, kept_rows, omitted_rows, prepare
 from textsieve.sources import jsonl, outputs
@@ -249,11 +250,12 @@ def language_bypass(spark, folder):
 
 
 def toxicity_weights(spark, folder):
-    return _toxicity(spark, folder).weights
+    return tox.toxicity_weights(spread(_labelled(spark, folder), "doc_id"))[1]
 
 
 def toxicity(spark, folder):
-    return score_toxicity(documents(spark, folder), _toxicity(spark, folder), "doc_id")
+    score = _toxicity(spark, folder)(F.col("text"))
+    return documents(spark, folder).select("doc_id", score.alias("toxicity"))
 
 
 def toxicity_score(spark, folder):

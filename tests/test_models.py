@@ -1,11 +1,13 @@
 from __future__ import annotations
 
+import math
+
 import pytest
 from pyspark.sql import functions as F
 
 from textsieve.operators import entities
 from textsieve.operators.language import detect_language, fit_language_profile
-from textsieve.operators.toxicity import fit_toxicity, score_toxicity, toxicity_reason
+from textsieve.operators.toxicity import ToxicityModel, fit_toxicity, toxicity_reason
 
 SF = "/root/testdata/sf0.01"
 
@@ -63,13 +65,20 @@ def test_profile_size_is_bounded(documents):
 def test_toxicity_on_held_out_rows(spark, documents):
     labelled = documents.join(spark.read.parquet(f"{SF}/labels.parquet"), "doc_id")
     fit, held_out = halves(labelled)
-    scored = score_toxicity(held_out, fit_toxicity(fit), "doc_id").join(held_out, "doc_id")
+    scored = held_out.withColumn("toxicity", fit_toxicity(fit)(F.col("text")))
     counts = scored.groupBy("toxic").agg(F.avg((F.col("toxicity") > 0.7).cast("double")).alias("share"))
     share = {r["toxic"]: r["share"] for r in counts.collect()}
     assert share[1] > 0.6
     assert share[0] < 0.1
 
 
+def test_toxicity_sums_each_word_once(apply):
+    model = ToxicityModel(-1000, (("bad", 2000), ("worse", -500)))
+    scores = apply(model, ["Bad, bad day", "worse and bad", "fine", ""])
+    assert scores == pytest.approx([1 / (1 + math.exp(-x)) for x in (1.0, 0.5, -1.0, -1.0)])
+    assert apply(ToxicityModel(0, ()), ["any"]) == [0.5]
+
+
 def test_toxicity_needs_both_classes(spark):
     df = spark.createDataFrame([(1, "a b", 0)], "doc_id bigint, text string, toxic int")
     with pytest.raises(ValueError):

@@ -3,12 +3,12 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from math import log
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Row, functions as F
 
 from textsieve.functions.attributes import tokenize
-from textsieve.operators.scoring import MILLI, milli_log, sum_weights
-from textsieve.staging import write_staged
+from textsieve.operators.scoring import MILLI, milli_log
 
 # Fixed values of the fit: pseudo-count, least number of texts a word is in, words kept.
 SMOOTHING = 5.0
@@ -18,29 +18,42 @@ MAX_WORDS = 25
 
 @dataclass(frozen=True)
 class ToxicityModel:
-    """weights has at most MAX_WORDS rows: word, w (bigint)."""
+    """Thousandths of a natural logarithm: the prior, and the weight of each of at most MAX_WORDS words."""
 
     prior: int
-    weights: DataFrame
+    weights: tuple[tuple[str, int], ...]
 
+    def __call__(self, text: Column) -> Column:
+        """Score in [0, 1]. The words are few, so a row is scored where it is, without a join."""
 
-def distinct_tokens(text: Column) -> Column:
-    return F.array_distinct(tokenize(text))
+        def add(total: Column, word: Column) -> Column:
+            weight = F.lit(0)
+            for known, value in self.weights:
+                weight = F.when(word == known, value).otherwise(weight)
+            return (total + weight).cast("bigint")
 
+        words = [word for word, _ in self.weights]
+        known = F.array_distinct(F.filter(tokenize(text), lambda word: word.isin(*words)))
+        logit = F.aggregate(known, F.lit(self.prior).cast("bigint"), add) / F.lit(float(MILLI))
+        return 1 / (1 + F.exp(-logit))
 
-def fit_toxicity(
-    labelled: DataFrame, id_col: str = "doc_id", text: str = "text", toxic: str = "toxic"
-) -> ToxicityModel:
-    """Log-odds of a word's presence in toxic against other texts, shrunk to zero for rare words.
 
-    The words kept are those with the most evidence by chi-square. Texts are long
-    against the number of labels, and more words would mostly add chance.
+def _class_sizes(texts: DataFrame, toxic: str) -> Row:
+    bad = F.when(F.col(toxic) == 1, 1.0).otherwise(0.0)
+    return texts.agg(F.sum(bad).alias("bad"), F.sum(1.0 - bad).alias("good")).first()
+
+
+def toxicity_weights(
+    labelled: DataFrame, text: str = "text", toxic: str = "toxic"
+) -> tuple[int, DataFrame]:
+    """The prior and a table (word, w): log-odds of a word's presence in toxic against other texts.
+
+    Weights are shrunk to zero for rare words. The words kept are those with the
+    most evidence by chi-square: texts are long against the number of labels, and
+    more words would mostly add chance.
     """
     texts = labelled.filter(F.col(text).isNotNull() & F.col(toxic).isNotNull())
-    sizes = texts.agg(
-        F.sum(F.when(F.col(toxic) == 1, 1.0).otherwise(0.0)).alias("bad"),
-        F.sum(F.when(F.col(toxic) == 1, 0.0).otherwise(1.0)).alias("good"),
-    ).first()
+    sizes = _class_sizes(texts, toxic)
     bad, good = sizes["bad"] or 0.0, sizes["good"] or 0.0
     if not (bad and good):
         raise ValueError("need texts of both classes")
@@ -49,7 +62,7 @@ def fit_toxicity(
     counts = (
         texts.select(
             F.when(F.col(toxic) == 1, 1).otherwise(0).alias("bad"),
-            F.explode(distinct_tokens(F.col(text))).alias("word"),
+            F.explode(F.array_distinct(tokenize(F.col(text)))).alias("word"),
         )
         .groupBy("word")
         .agg(F.sum("bad").alias("bad"), F.count(F.lit(1)).alias("all"))
@@ -69,17 +82,13 @@ def fit_toxicity(
         .limit(MAX_WORDS)
         .select("word", "w")
     )
-    prior = texts.sparkSession.range(1).select(milli_log(F.lit(bad / good)).alias("p")).first()["p"]
-    return ToxicityModel(prior, write_staged(weights, "toxicity-weights"))
+    return round(log(bad / good) * MILLI), weights
 
 
-def score_toxicity(
-    df: DataFrame, model: ToxicityModel, id_col: str = "id", text: str = "text"
-) -> DataFrame:
-    """(id, toxicity), in [0, 1]."""
-    sums = sum_weights(df, id_col, distinct_tokens(F.col(text)), model.weights, ["w"])
-    logit = (F.col("w") + model.prior) / F.lit(float(MILLI))
-    return sums.select(id_col, (1 / (1 + F.exp(-logit))).alias("toxicity"))
+def fit_toxicity(labelled: DataFrame, text: str = "text", toxic: str = "toxic") -> ToxicityModel:
+    prior, weights = toxicity_weights(labelled, text, toxic)
+    # At most MAX_WORDS rows.
+    return ToxicityModel(prior, tuple((row["word"], row["w"]) for row in weights.collect()))
 
 
 def toxicity_reason(score: Column, threshold: float) -> Column:

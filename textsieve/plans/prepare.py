@@ -1,11 +1,12 @@
 """The default nine-stage plan, laid out so that the text moves as little as possible.
 
 1. One pass over the input runs stages 1-5 and is written ("base").
-2. Stages 6-8 only give verdicts. They are worked out on narrow (id, …) tables,
-   matched on the unique id, and the rows they omit are written ("verdicts").
+2. Stages 6 and 7 only give verdicts. They are worked out on narrow (id, …)
+   tables, matched on the unique id, and the rows they omit are written
+   ("verdicts").
 3. Base meets the verdicts once. Their written size lets Catalyst choose: a
-   broadcast, with no text shuffled, or one shuffle on id. Masking runs in the
-   same pass, and the result is written with kept and omitted rows apart.
+   broadcast, with no text shuffled, or one shuffle on id. Stages 8 and 9 run in
+   the same pass, and the result is written with kept and omitted rows apart.
 """
 
 from __future__ import annotations
@@ -37,7 +38,6 @@ from textsieve.operators.steps import (
     run_steps,
     toxicity_step,
 )
-from textsieve.operators.toxicity import ToxicityModel, score_toxicity, toxicity_reason
 from textsieve.staging import write_staged
 
 STAGE_NUMBER = {name: number for number, name in enumerate(STAGES, 1)}
@@ -45,14 +45,14 @@ STAGE_NUMBER = {name: number for number, name in enumerate(STAGES, 1)}
 
 @dataclass(frozen=True)
 class Models:
-    """What stages 7-9 use. A language or toxicity slot takes a fitted default or a
-    function from a text Column to a label or score Column, such as a pandas UDF.
-    entities maps text to array<struct<entity, start, end>>; gazetteer is a table
+    """What stages 7-9 use. Language and toxicity are functions from a text Column to a
+    label or score Column, such as a pandas UDF or a fitted ToxicityModel; language
+    may also be a fitted LanguageProfile. entities maps text to array<struct<entity, start, end>>; gazetteer is a table
     (entity, phrase). An empty slot leaves its part out.
     """
 
     language: LanguageProfile | ColumnModel | None = None
-    toxicity: ToxicityModel | ColumnModel | None = None
+    toxicity: ColumnModel | None = None
     entities: ColumnModel | None = None
     gazetteer: DataFrame | None = None
 
@@ -84,31 +84,18 @@ def base_rows(records: DataFrame, config: PrepConfig = PrepConfig()) -> DataFram
 
 
 def _verdicts(base: DataFrame, config: PrepConfig, models: Models, later: DataFrame) -> DataFrame:
-    """(id, omit_reason, omit_stage, lang) of rows omitted by stages 6-8 without a Column model."""
+    """(id, omit_reason, omit_stage, lang) of rows omitted as copies or by the language profile."""
     living = base.filter(alive())
     rows = living.select("id", "lang", "omit_reason", "omit_stage")
     rows = rows.join(later.withColumn("_later", F.lit(True)), "id", "left")
     rows = filter_step(F.when(F.col("_later"), "duplicate"))(rows, STAGE_NUMBER["dedup"]).drop("_later")
-    if isinstance(models.language, LanguageProfile) and config.require_english:
+    if config.require_english and isinstance(models.language, LanguageProfile):
         labels = detect_language(living, models.language, text="cleaned")
         rows = rows.drop("lang").join(labels, "id", "left").withColumn("lang", live(F.col("lang")))
         rows = filter_step(language_reason(F.col("lang"), ENGLISH))(rows, STAGE_NUMBER["language"])
-    if isinstance(models.toxicity, ToxicityModel) and not _by_column(models, config):
-        rows = rows.join(score_toxicity(living, models.toxicity, text="cleaned"), "id", "left")
-        reason = toxicity_reason(F.col("toxicity"), config.toxicity_threshold)
-        rows = filter_step(reason)(rows, STAGE_NUMBER["toxicity"]).drop("toxicity")
     return rows.filter(~alive()).select("id", "omit_reason", "omit_stage", "lang")
 
 
-def _by_column(models: Models, config: PrepConfig) -> bool:
-    """Whether the language label comes from a Column model, later than the narrow verdicts."""
-    return (
-        config.require_english
-        and models.language is not None
-        and not isinstance(models.language, LanguageProfile)
-    )
-
-
 def prepare(
     records: DataFrame,
     config: PrepConfig = PrepConfig(),
@@ -148,16 +135,14 @@ def prepare(
                 "lang": F.coalesce("lang", "_lang"),
             }
         ).drop("_reason", "_stage", "_lang")
-        if config.require_english and isinstance(models.language, LanguageProfile):
-            # Survivors of the native language filter are English by definition.
-            rows = rows.withColumn("lang", F.coalesce(F.col("lang"), live(F.lit(ENGLISH))))
-        if _by_column(models, config):
-            rows = language_step(models.language, ENGLISH)(rows, STAGE_NUMBER["language"])
-        if models.toxicity is not None and (
-            _by_column(models, config) or not isinstance(models.toxicity, ToxicityModel)
-        ):
-            step = toxicity_step(models.toxicity, config.toxicity_threshold)
-            rows = step(rows, STAGE_NUMBER["toxicity"])
+        if config.require_english:
+            if isinstance(models.language, LanguageProfile):
+                # Survivors of the profile's verdicts are English by definition.
+                rows = rows.withColumn("lang", F.coalesce(F.col("lang"), live(F.lit(ENGLISH))))
+            else:
+                rows = language_step(models.language, ENGLISH)(rows, STAGE_NUMBER["language"])
+        toxicity = toxicity_step(models.toxicity, config.toxicity_threshold)
+        rows = toxicity(rows, STAGE_NUMBER["toxicity"])
         if models.gazetteer is not None:
             hits = gazetteer_hits(base.filter(alive()), models.gazetteer, text="cleaned")
             rows = rows.join(hits, "id", "left")
