@@ -50,6 +50,8 @@ def session(cores: str = "8") -> SparkSession:
         SparkSession.builder.master(f"local[{cores}]")
         .config("spark.sql.shuffle.partitions", cores)
         .config("spark.driver.memory", "12g")
+        # Small test files: let each one be its own task.
+        .config("spark.sql.files.openCostInBytes", "65536")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.session.timeZone", "UTC")
