@@ -26,6 +26,9 @@ LINES = [
     '["text"]',
     '[{"text": "in a list"}]',
     "{'text': 'single quotes'}",
+    '{"text": "and more"} xyz',
+    '{"text": "two"} {"text": "values"}',
+    '{"text": "two"}, {"text": "values"}',
     json.dumps({"url": "no text"}),
     json.dumps({"text": None}),
     json.dumps({"text": ""}),
@@ -55,7 +58,7 @@ def test_read_jsonl(spark, lines_file):
     assert [rows[i]["url"] for i in (1, 2, 3)] == ["u1", None, None]
 
 
-@pytest.mark.parametrize("limit, texts", [(1, 1), (10, 1), (11, 2), (12, 3), (99, 3)])
+@pytest.mark.parametrize("limit, texts", [(1, 1), (13, 1), (14, 2), (15, 3), (99, 3)])
 def test_limit_counts_raw_lines(spark, lines_file, limit, texts):
     rows = by_id(jsonl.read_jsonl(spark, lines_file, limit))
     assert sorted(rows) == list(range(1, texts + 1))

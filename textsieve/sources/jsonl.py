@@ -8,8 +8,8 @@ from textsieve.operators.ids import assign_ids, first_rows, number_file_rows
 from textsieve.operators.steps import as_records
 from textsieve.staging import write_staged
 
-_SCHEMA = "text string, url string, bad string"
-_OPTIONS = {"columnNameOfCorruptRecord": "bad", "allowSingleQuotes": "false"}
+_SCHEMA = "array<struct<text: string, url: string>>"
+_OPTIONS = {"allowSingleQuotes": "false"}
 
 
 def text_lines(spark: SparkSession, path: str) -> DataFrame:
@@ -23,11 +23,16 @@ def text_lines(spark: SparkSession, path: str) -> DataFrame:
 
 
 def parse_lines(lines: DataFrame, line: str = "value") -> DataFrame:
-    """Add text and url; lines that are not one JSON object vanish."""
+    """Add text and url; lines that are not one JSON object vanish.
+
+    The parser stops after the first value of a line. In brackets, anything that
+    follows it makes the line malformed or a list of several values.
+    """
     objects = lines.filter(F.col(line).rlike(r"^\s*\{"))
-    parsed = objects.withColumn("parsed", F.from_json(line, _SCHEMA, _OPTIONS))
-    fields = {"text": F.col("parsed.text"), "url": F.col("parsed.url")}
-    return parsed.filter(F.col("parsed.bad").isNull()).withColumns(fields).drop("parsed", line)
+    listed = F.from_json(F.concat(F.lit("["), line, F.lit("]")), _SCHEMA, _OPTIONS)
+    parsed = objects.withColumn("parsed", listed).filter(F.size("parsed") == 1)
+    only = F.get("parsed", F.lit(0))
+    return parsed.withColumns({"text": only["text"], "url": only["url"]}).drop("parsed", line)
 
 
 def nonblank(text: Column) -> Column:
