@@ -16,8 +16,10 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import os
 import re
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -27,8 +29,7 @@ from pyspark.sql import DataFrame
 from textsieve.llm.common import by_slice, id_text, id_type
 
 #: Bounds of what a Python worker remembers; beyond them it starts anew.
-PIECES_REMEMBERED = 400_000
-LENGTH_REMEMBERED = 40
+CHARACTERS_REMEMBERED = 12_000_000
 PAIRS_REMEMBERED = 1_000_000
 
 
@@ -100,6 +101,13 @@ class PrefixTable:
         self.piece += more
         self._extend(range(start, len(self.piece) + 1))
 
+    def change_to(self, piece: bytes) -> None:
+        """Another piece; what is stored for the prefixes both share stays."""
+        shared = len(os.path.commonprefix([self.piece, piece]))
+        self.piece = piece[:shared]
+        del self.last[shared + 1 :]
+        self.append(piece[shared:])
+
     def edit(self, start: int, stop: int, new: bytes) -> int:
         """Replace bytes start to stop; returns how many prefixes were worked out anew.
 
@@ -131,8 +139,9 @@ class PrefixTable:
         return found[::-1]
 
 
-#: A blank beside other white space: there a text is not cut at its blanks.
+#: A blank beside other white space; texts that hold one are cut more carefully.
 UNEVEN = re.compile(r" \s|\s ")
+SINGLE = re.compile(r"(?<=\S) (?=\S)")
 
 
 class Encoder:
@@ -147,38 +156,41 @@ class Encoder:
         self.split = regex.compile(pattern).findall
         self._pieces: dict[str, bytes] = {}
         self._chunks: dict[str, bytes] = {}
-
-    def _piece(self, piece: str) -> bytes:
-        data = piece.encode("utf-8", "surrogatepass")
-        whole = self.vocabulary.ranks.get(data)
-        ids = [whole] if whole is not None else PrefixTable(self.vocabulary, data).ids()
-        packed = np.array(ids, "<u4").tobytes()
-        if len(piece) <= LENGTH_REMEMBERED:
-            if len(self._pieces) >= PIECES_REMEMBERED:
-                self._pieces.clear()
-            self._pieces[piece] = packed
-        return packed
-
-    def _matches(self, text: str) -> bytes:
-        known, piece = self._pieces.get, self._piece
-        return b"".join([known(x) or piece(x) for x in self.split(text)])
-
-    def _chunk(self, rest: str) -> bytes:
-        """A blank and rest, up to the next blank."""
-        packed = self._matches(" " + rest)
-        if len(rest) <= LENGTH_REMEMBERED:
-            if len(self._chunks) >= PIECES_REMEMBERED:
-                self._chunks.clear()
-            self._chunks[rest] = packed
-        return packed
+        self._characters = 0
+
+    def _learn(self, chunks: Iterable[str]) -> None:
+        """Encode what is new in chunks; pieces in byte order, so that each prefix
+        which neighbours share is worked out once."""
+        matches = {chunk: self.split(chunk) for chunk in set(chunks) - self._chunks.keys()}
+        new = set(chain.from_iterable(matches.values())) - self._pieces.keys()
+        table = PrefixTable(self.vocabulary)
+        for data, piece in sorted((piece.encode("utf-8", "surrogatepass"), piece) for piece in new):
+            whole = self.vocabulary.ranks.get(data)
+            if whole is None:
+                table.change_to(data)
+            self._pieces[piece] = np.array(table.ids() if whole is None else [whole], "<u4").tobytes()
+        self._characters += sum(map(len, new)) + sum(map(len, matches))
+        for chunk, pieces in matches.items():
+            self._chunks[chunk] = b"".join(map(self._pieces.__getitem__, pieces))
+
+    def _forget(self) -> None:
+        if self._characters > CHARACTERS_REMEMBERED:
+            self._pieces.clear()
+            self._chunks.clear()
+            self._characters = 0
+
+    def encode_all(self, texts: list[str]) -> list[bytes]:
+        """For each text its ids as little-endian unsigned 32-bit integers."""
+        cut = []
+        for text in texts:
+            first, *rest = SINGLE.split(text) if UNEVEN.search(text) else text.split(" ")
+            cut.append([first, *map(" ".__add__, rest)])
+        self._forget()
+        self._learn(chain.from_iterable(cut))
+        return [b"".join(map(self._chunks.__getitem__, chunks)) for chunks in cut]
 
     def encode(self, text: str) -> bytes:
-        """Ids as little-endian unsigned 32-bit integers."""
-        if UNEVEN.search(text):
-            return self._matches(text)
-        first, *rest = text.split(" ")
-        known, chunk = self._chunks.get, self._chunk
-        return self._matches(first) + b"".join([known(x) or chunk(x) for x in rest])
+        return self.encode_all([text])[0]
 
 
 _encoders: dict[tuple[int, str], Encoder] = {}
@@ -203,8 +215,7 @@ def _over_texts(docs: DataFrame, path: str, pattern: str, schema: str, row: Call
         encoder = encoder_in_task(data.value, pattern)
         tokens = encoder.vocabulary.tokens
         rows = []
-        for text in batch.column("text").to_pylist():
-            packed = encoder.encode(text or "")
+        for packed in encoder.encode_all([text or "" for text in batch.column("text").to_pylist()]):
             ids = np.frombuffer(packed, "<u4").tolist()
             rows.append(row(packed, ids, b"".join(map(tokens.__getitem__, ids))))
         columns = [list(c) for c in zip(*rows)] or [[] for _ in names]
