@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from textsieve.llm import bpe, licenses, rules
+from textsieve.llm import bpe, licenses, minhash, rules
 from textsieve.llm.common import documents
 
 
@@ -25,6 +25,10 @@ def op4_license_scan(spark: SparkSession, folder: str) -> DataFrame:
     return licenses.license_scan(documents(spark, folder))
 
 
+def op7_minhash(spark: SparkSession, folder: str) -> DataFrame:
+    return minhash.near_duplicates(documents(spark, folder), length=2)
+
+
 def op10_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.digests(documents(spark, folder), *tokenizer())
 
@@ -32,5 +36,6 @@ def op10_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_quality_rules": op3_quality_rules,
     "op4_license_scan": op4_license_scan,
+    "op7_minhash": op7_minhash,
     "op10_byte_bpe": op10_byte_bpe,
 }
