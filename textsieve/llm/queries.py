@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from textsieve.llm import bpe, licenses, minhash, rules
+from textsieve.llm import bpe, brown, langid, licenses, minhash, rules
 from textsieve.llm.common import documents
 
 
@@ -29,6 +29,14 @@ def op7_minhash(spark: SparkSession, folder: str) -> DataFrame:
     return minhash.near_duplicates(documents(spark, folder), length=2)
 
 
+def op8_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    return langid.identify(documents(spark, folder))
+
+
+def op9_brown_lm(spark: SparkSession, folder: str) -> DataFrame:
+    return brown.score(documents(spark, folder))
+
+
 def op10_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.digests(documents(spark, folder), *tokenizer())
 
@@ -37,5 +45,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_quality_rules": op3_quality_rules,
     "op4_license_scan": op4_license_scan,
     "op7_minhash": op7_minhash,
+    "op8_language_id": op8_language_id,
+    "op9_brown_lm": op9_brown_lm,
     "op10_byte_bpe": op10_byte_bpe,
 }
