@@ -5,10 +5,12 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-#: Rows of a batch that a task holds as Python objects at a time.
+#: A task holds so many rows, and about so many bytes of text, as Python objects at a time.
 SLICE = 256
+SLICE_BYTES = 2 << 20
 
 
 def documents(spark: SparkSession, folder: str) -> DataFrame:
@@ -25,10 +27,20 @@ def id_type(docs: DataFrame) -> str:
 
 
 def slices(batches: Iterator[pa.RecordBatch], rows: int = SLICE) -> Iterator[pa.RecordBatch]:
-    """The same rows, a few at a time."""
+    """The same rows, a few at a time; a long text comes whole, with few others."""
     for batch in batches:
-        for start in range(0, batch.num_rows, rows):
-            yield batch.slice(start, rows)
+        if "text" in batch.schema.names:
+            sizes = pc.fill_null(pc.binary_length(batch.column("text")), 0).to_pylist()
+        else:
+            sizes = [0] * batch.num_rows
+        start = held = 0
+        for i, size in enumerate(sizes):
+            if i > start and (i - start >= rows or held + size > SLICE_BYTES):
+                yield batch.slice(start, i - start)
+                start, held = i, 0
+            held += size
+        if batch.num_rows > start:
+            yield batch.slice(start)
 
 
 def by_slice(function: Callable[[pa.RecordBatch], pa.RecordBatch]):
