@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from textsieve.llm import bpe, brown, langid, licenses, minhash, rules
+from textsieve.llm import bpe, brown, langid, licenses, minhash, repeats, rules
 from textsieve.llm.common import documents
 
 
@@ -17,6 +17,10 @@ def tokenizer() -> tuple[str, str]:
     return public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
 
 
+def op1_repeated_strings(spark: SparkSession, folder: str) -> DataFrame:
+    return repeats.remove_repeats(documents(spark, folder))
+
+
 def op3_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return rules.quality_rules(documents(spark, folder))
 
@@ -42,6 +46,7 @@ def op10_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_repeated_strings": op1_repeated_strings,
     "op3_quality_rules": op3_quality_rules,
     "op4_license_scan": op4_license_scan,
     "op7_minhash": op7_minhash,

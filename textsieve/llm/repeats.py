@@ -14,14 +14,16 @@ by side just the same:
 - a core alone in its class: no string of the phrase occurs elsewhere;
 - a phrase that occurs twice: all of its strings do;
 - different phrases of one core: their strings are sorted one by one, those of
-  a repeated phrase from one of its occurrences.
-So only phrases at the borders of repeated passages are looked into.
-
-Results: null text counts as empty. Rows are told apart by doc_id; rows that
-repeat a doc_id count as one document, the one of the smallest text, and share
-its result. A null doc_id is a document like any other. Texts shorter than the
-length keep all bytes. An empty table gives an empty result. Other columns are
-not looked at.
+  a repeated phrase from one document only.
+So only phrases at the borders of repeated passages are looked into. The bytes
+of such phrases meet by core; where a core has very many different phrases, its
+strings are dealt out one by one instead, so that no task gets them all.
+
+Results: null text counts as empty. A row without doc_id is not compared and
+keeps all bytes. Rows that repeat a doc_id are occurrences like any others; if
+their texts differ, what repeats in one is removed from each, as far as it is
+long enough. Texts shorter than the length keep all bytes. An empty table gives
+an empty result. Other columns are not looked at.
 """
 
 from __future__ import annotations
@@ -43,6 +45,8 @@ TRIGGER = 16
 REACH = 320
 #: Phrases are cut where the anchor is so far from the start, so that cores are long.
 CUT = 160
+#: Cores with more different phrases than this are dealt out string by string.
+MEETING = 500
 #: Bytes of one block of a text.
 BLOCK = 1 << 20
 _LOW = U((1 << 24) - 1)
@@ -140,28 +144,110 @@ def parse(docs: DataFrame, length: int) -> DataFrame:
     return docs.mapInArrow(run, f"core bigint, whole bigint, doc_id {id_type(docs)}, place bigint")
 
 
-def single_strings(docs: DataFrame, length: int) -> DataFrame:
-    """128-bit key, doc_id and start of every string of the phrases at docs' places."""
+def runs(starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """First and last of each run of consecutive numbers, given in order."""
+    new = np.concatenate(([True], np.diff(starts) != 1))[: len(starts)]
+    return starts[new], starts[np.concatenate((new[1:], [True]))[: len(starts)]]
+
+
+def border_bytes(docs: DataFrame, length: int) -> DataFrame:
+    """core, phrases, doc_id, first start and bytes of the phrases listed for each text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
-            for i, (text, places) in enumerate(zip(batch.column("text").to_pylist(), batch.column("places").to_pylist())):
-                text = text.encode("utf-8", "surrogatepass")
-                places = np.unique(np.array(places, np.int64))
-                first, extent = places >> 20, places >> 10 & 1023
-                block = first // BLOCK
-                for b in np.unique(block).tolist():
-                    low = int(first[block == b].min())
-                    counts = extent[block == b] + 1
-                    starts = np.repeat(first[block == b] - np.cumsum(counts) + counts, counts) + np.arange(counts.sum())
-                    data = np.frombuffer(text[low : int(starts.max()) + length], np.uint8)
-                    keys = [Spans(data, seed)(starts - low, starts - low + length).view(np.int64) for seed in (0, 1)]
-                    ids = batch.column("doc_id").take(pa.array(np.full(len(starts), i)))
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(keys[0]), pa.array(keys[1]), ids, pa.array(starts)], ["k1", "k2", "doc_id", "start"]
-                    )
-
-    return docs.mapInArrow(run, f"k1 bigint, k2 bigint, doc_id {id_type(docs)}, start bigint")
+            rows: list[tuple] = []
+            for i, (text, borders) in enumerate(zip(batch.column("text").to_pylist(), batch.column("borders").to_pylist())):
+                text = (text or "").encode("utf-8", "surrogatepass")
+                for border in borders:
+                    first = border["place"] >> 20
+                    extent = border["place"] >> 10 & 1023
+                    rows.append((border["core"], border["phrases"], i, first, text[first : first + extent + length]))
+            core, phrases_, at, first, data = list(zip(*rows)) or ((),) * 5
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(core, pa.int64()),
+                    pa.array(phrases_, pa.int64()),
+                    batch.column("doc_id").take(pa.array(at, pa.int64())),
+                    pa.array(first, pa.int64()),
+                    pa.array(data, pa.binary()),
+                ],
+                ["core", "phrases", "doc_id", "first", "data"],
+            )
+
+    return docs.mapInArrow(run, f"core bigint, phrases bigint, doc_id {id_type(docs)}, first bigint, data binary")
+
+
+def strings_in(data: list[bytes], length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Places in the joined data, number of the phrase and offset in it, of all its strings."""
+    sizes = np.array([len(x) for x in data], np.int64)
+    counts = np.maximum(sizes - length + 1, 0)
+    phrase = np.repeat(np.arange(len(data)), counts)
+    offset = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
+    return np.repeat(np.cumsum(sizes) - sizes, counts) + offset, phrase, offset
+
+
+def whole_cores(ends: np.ndarray, most: int = 1000) -> Iterator[tuple[int, int]]:
+    """Ranges up to the last end, cut at ends, of about so many rows."""
+    start = before = 0
+    for end in [*ends.tolist(), None]:
+        if end is None or end - start > most:
+            if before > start:
+                yield start, before
+                start = before
+        before = end
+
+
+def repeated_at_borders(phrases_: DataFrame, length: int) -> DataFrame:
+    """doc_id, first and last start of repeated strings; the phrases of a core meet in one task."""
+
+    def found(group: pa.Table) -> pa.RecordBatch:
+        data = group.column("data").to_pylist()
+        at, phrase, offset = strings_in(data, length)
+        joined = np.frombuffer(b"".join(data), np.uint8)
+        keys = Spans(joined)(at, at + length)
+        core = group.column("core").to_numpy().view(U)
+        keys = mix(keys ^ mix(core)[phrase])
+        _, which, counts = np.unique(keys, return_inverse=True, return_counts=True)
+        twice = np.flatnonzero(counts[which] > 1)
+        # Numbered so that runs never go on into the next phrase.
+        first, last = runs(phrase[twice] << 32 | offset[twice])
+        begin = group.column("first").to_numpy()[first >> 32]
+        ids = group.column("doc_id").take(pa.array(first >> 32)).combine_chunks()
+        low = (1 << 32) - 1
+        return pa.RecordBatch.from_arrays([ids, pa.array(begin + (first & low)), pa.array(begin + (last & low))], ["doc_id", "first", "last"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: pa.Table | None = None
+        for batch in batches:
+            table = pa.Table.from_batches([batch])
+            held = table if held is None else pa.concat_tables([held, table])
+            if held.num_rows < 1000:
+                continue
+            cores = held.column("core").to_numpy()
+            ends = np.flatnonzero(cores[1:] != cores[:-1]) + 1
+            if len(ends):
+                yield from (found(held.slice(x, y - x)) for x, y in whole_cores(ends))
+                held = held.slice(int(ends[-1]))
+        if held is not None and held.num_rows:
+            yield found(held)
+
+    dealt = phrases_.repartition("core").sortWithinPartitions("core")
+    return dealt.mapInArrow(run, f"doc_id {id_type(phrases_)}, first bigint, last bigint")
+
+
+def single_strings(phrases_: DataFrame, length: int) -> DataFrame:
+    """128-bit key, doc_id and start of every string of the phrases."""
+
+    def make(batch: pa.RecordBatch) -> pa.RecordBatch:
+        data = batch.column("data").to_pylist()
+        at, phrase, offset = strings_in(data, length)
+        joined = np.frombuffer(b"".join(data), np.uint8)
+        keys = [Spans(joined, seed)(at, at + length).view(np.int64) for seed in (0, 1)]
+        ids = batch.column("doc_id").take(pa.array(phrase))
+        start = batch.column("first").to_numpy()[phrase] + offset
+        return pa.RecordBatch.from_arrays([pa.array(keys[0]), pa.array(keys[1]), ids, pa.array(start)], ["k1", "k2", "doc_id", "start"])
+
+    return phrases_.mapInArrow(by_slice(make), f"k1 bigint, k2 bigint, doc_id {id_type(phrases_)}, start bigint")
 
 
 def remaining(text: bytes, ranges: np.ndarray, length: int) -> tuple[bytes, int, int]:
@@ -180,44 +266,49 @@ def remaining(text: bytes, ranges: np.ndarray, length: int) -> tuple[bytes, int,
 
 def repeated_ranges(rows: DataFrame, length: int) -> DataFrame:
     """doc_id, first and last start of runs of strings that also start elsewhere."""
-    parsed = write_staged(parse(rows, length), "phrases")
-    different = parsed.groupBy("core", "whole").agg(F.count("*").alias("times"), F.min("doc_id").alias("one"))
-    different = write_staged(different, "dictionary")
-    cores = different.groupBy("core").agg(F.count("*").alias("phrases"), F.sum("times").alias("n")).filter("n > 1")
-    classes = write_staged(different.join(cores, "core").drop("n"), "classes")
-    found = parsed.join(classes, ["core", "whole"]).select(
-        "doc_id",
-        "place",
-        (F.col("times") > 1).alias("repeated"),
-        ((F.col("phrases") > 1) & ((F.col("times") == 1) | F.col("doc_id").eqNullSafe(F.col("one")))).alias("border"),
-    )
-    found = write_staged(found, "found")
+    parsed = write_staged(parse(rows.filter("doc_id is not null"), length), "phrases")
+    cores = parsed.groupBy("core").agg(F.count("*").alias("n"), F.min("whole").alias("a"), F.max("whole").alias("b"))
+    cores = write_staged(cores.filter("n > 1").select("core", (F.col("a") == F.col("b")).alias("same")), "cores")
+    shared = write_staged(parsed.join(cores, "core"), "shared")
     first = F.shiftright("place", 20)
-    whole = found.filter("repeated").select("doc_id", first.alias("first"), (first + F.shiftright("place", 10).bitwiseAND(1023)).alias("last"))
-
-    borders = found.filter("border").groupBy("doc_id").agg(F.collect_list("place").alias("places"))
-    text = rows.join(borders.withColumnRenamed("doc_id", "of"), F.col("doc_id").eqNullSafe(F.col("of"))).select("doc_id", "text", "places")
-    strings = write_staged(single_strings(text, length), "strings")
+    last = first + F.shiftright("place", 10).bitwiseAND(1023)
+
+    def ranges(df: DataFrame) -> DataFrame:
+        return df.select("doc_id", first.alias("first"), last.alias("last"))
+
+    several = shared.filter("not same")
+    dictionary = several.groupBy("core", "whole").agg(F.count("*").alias("times"), F.min("doc_id").alias("one"))
+    dictionary = write_staged(dictionary, "dictionary")
+    sizes = write_staged(dictionary.groupBy("core").agg(F.count("*").alias("phrases")), "sizes")
+    classes = write_staged(dictionary.join(sizes, "core"), "classes")
+    found = write_staged(several.drop("same").join(classes, ["core", "whole"]), "found")
+    whole = ranges(shared.filter("same")).union(ranges(found.filter("times > 1")))
+
+    at_border = found.filter("times = 1 or doc_id = one")
+    borders = at_border.groupBy("doc_id").agg(F.collect_list(F.struct("core", "phrases", "place")).alias("borders"))
+    text = rows.join(borders, "doc_id").select("doc_id", "text", "borders")
+    data = write_staged(border_bytes(text, length), "borders")
+    met = repeated_at_borders(data.filter(F.col("phrases") <= MEETING), length)
+    strings = write_staged(single_strings(data.filter(F.col("phrases") > MEETING), length), "strings")
     twice = write_staged(strings.groupBy("k1", "k2").agg(F.count("*").alias("times")).filter("times > 1"), "twice")
     single = strings.join(twice, ["k1", "k2"]).select("doc_id", F.col("start").alias("first"), F.col("start").alias("last"))
-    return whole.union(single)
+    return whole.union(met).union(single)
 
 
 def remove_repeats(docs: DataFrame, length: int = LENGTH, id_column: str = "doc_id", text_column: str = "text", with_text: bool = False) -> DataFrame:
     """Per document what is left of its bytes once every repeated string is removed."""
     rows = id_text(docs, id_column, text_column)
     ranges = repeated_ranges(rows, length).groupBy("doc_id").agg(F.collect_list(F.struct("first", "last")).alias("ranges"))
-    joined = rows.join(ranges.withColumnRenamed("doc_id", "of"), F.col("doc_id").eqNullSafe(F.col("of")), "left").select("doc_id", "text", "ranges")
+    joined = rows.join(ranges, "doc_id", "left").select("doc_id", "text", "ranges")
 
     def make(batch: pa.RecordBatch) -> pa.RecordBatch:
         found = []
         for text, ranges in zip(batch.column("text").to_pylist(), batch.column("ranges")):
             text = (text or "").encode("utf-8", "surrogatepass")
-            if ranges.is_valid:
+            kept, removed, spans = text, 0, 0
+            if ranges.is_valid and len(text) >= length:
                 pairs = np.stack([ranges.values.field(c).to_numpy() for c in ("first", "last")], axis=1)
-                kept, removed, spans = remaining(text, pairs, length)
-            else:
-                kept, removed, spans = text, 0, 0
+                kept, removed, spans = remaining(text, np.minimum(pairs, len(text) - length), length)
             shown = kept.decode("utf-8", "replace") if with_text else None
             found.append((len(text), removed, spans, hashlib.sha256(kept).hexdigest(), shown))
         kinds = [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.string()]
