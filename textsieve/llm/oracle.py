@@ -44,3 +44,31 @@ SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
        NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AND 100 * words_left >= 30 * n_words AS kept
 FROM m
 """
+
+ORACLE["op2_line_dedup"] = r"""
+WITH d AS (
+  SELECT doc_id, text, CASE WHEN coalesce(text, '') = '' THEN [] ELSE string_split(text, chr(10)) END AS lines FROM documents
+), a AS (
+  SELECT doc_id, generate_subscripts(lines, 1) AS i, unnest(lines) AS line FROM d
+), w AS (
+  SELECT doc_id, i, line, row_number() OVER (PARTITION BY doc_id ORDER BY i) AS k
+  FROM a WHERE regexp_matches(line, '[^\x20\x09-\x0D]')
+), r AS (
+  SELECT doc_id, k, 1 AS lines, [line] AS run FROM w WHERE len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) >= 20
+  UNION ALL
+  SELECT x.doc_id, x.k, 3, [x.line, y.line, z.line]
+  FROM w x JOIN w y ON y.doc_id = x.doc_id AND y.k = x.k + 1 JOIN w z ON z.doc_id = x.doc_id AND z.k = x.k + 2
+), l AS (
+  SELECT doc_id, k, lines FROM r QUALIFY row_number() OVER (PARTITION BY run ORDER BY doc_id, k) > 1
+), x AS (
+  SELECT DISTINCT doc_id, k + unnest(range(lines)) AS k FROM l
+), t AS (
+  SELECT a.doc_id, count(x.k) AS n_removed,
+         string_agg(a.line, chr(10) ORDER BY a.i) FILTER (WHERE x.k IS NULL) AS kept
+  FROM a LEFT JOIN w USING (doc_id, i) LEFT JOIN x ON x.doc_id = a.doc_id AND x.k = w.k
+  GROUP BY a.doc_id
+)
+SELECT doc_id, len(lines)::BIGINT AS n_lines, coalesce(n_removed, 0)::BIGINT AS n_removed,
+       CASE WHEN n_removed > 0 THEN coalesce(kept, '') ELSE text END AS text
+FROM d LEFT JOIN t USING (doc_id)
+"""

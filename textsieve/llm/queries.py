@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from textsieve.llm import bpe, brown, langid, licenses, minhash, repeats, rules
+from textsieve.llm import bpe, brown, decontaminate, langid, licenses, lines, minhash, repeats, rules
 from textsieve.llm.common import documents
 
 
@@ -21,6 +21,10 @@ def op1_repeated_strings(spark: SparkSession, folder: str) -> DataFrame:
     return repeats.remove_repeats(documents(spark, folder))
 
 
+def op2_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return lines.line_dedup(documents(spark, folder).select("doc_id", "text")).select("doc_id", "_lines.*", "text")
+
+
 def op3_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return rules.quality_rules(documents(spark, folder))
 
@@ -29,6 +33,10 @@ def op4_license_scan(spark: SparkSession, folder: str) -> DataFrame:
     return licenses.license_scan(documents(spark, folder))
 
 
+def op6_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    return decontaminate.leaks(documents(spark, folder), spark.read.parquet(f"{folder}/benchmark.parquet"))
+
+
 def op7_minhash(spark: SparkSession, folder: str) -> DataFrame:
     return minhash.near_duplicates(documents(spark, folder), length=2)
 
@@ -47,8 +55,10 @@ def op10_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_repeated_strings": op1_repeated_strings,
+    "op2_line_dedup": op2_line_dedup,
     "op3_quality_rules": op3_quality_rules,
     "op4_license_scan": op4_license_scan,
+    "op6_decontamination": op6_decontamination,
     "op7_minhash": op7_minhash,
     "op8_language_id": op8_language_id,
     "op9_brown_lm": op9_brown_lm,
