@@ -207,3 +207,10 @@ def near_duplicates(docs: DataFrame, length: int = 5, percent: int = 80, id_colu
         .withColumn("component_id", F.when(F.col("doc_id").isNotNull(), F.col("component_id")))
         .select("doc_id", "n_shingles", "component_id", (F.col("doc_id") == F.col("component_id")).alias("kept"))
     )
+
+
+def drop_near_duplicates(docs: DataFrame, length: int = 5, percent: int = 80, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+    """docs without those of a group but the smallest id; rows without an id stay."""
+    found = near_duplicates(docs, length, percent, id_column, text_column)
+    dropped = found.filter("not kept").select(F.col("doc_id").alias("_dropped")).distinct()
+    return docs.join(dropped, F.col(id_column) == F.col("_dropped"), "left_anti")

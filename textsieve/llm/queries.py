@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from textsieve.llm import bpe, brown, decontaminate, langid, licenses, lines, minhash, repeats, rules
+from textsieve.llm import bpe, brown, cotrain, decontaminate, langid, licenses, lines, minhash, repeats, rules
 from textsieve.llm.common import documents
 
 
@@ -33,6 +33,10 @@ def op4_license_scan(spark: SparkSession, folder: str) -> DataFrame:
     return licenses.license_scan(documents(spark, folder))
 
 
+def op5_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
+    return cotrain.score_quality(documents(spark, folder), spark.read.parquet(f"{folder}/labels.parquet"))
+
+
 def op6_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return decontaminate.leaks(documents(spark, folder), spark.read.parquet(f"{folder}/benchmark.parquet"))
 
@@ -58,6 +62,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_line_dedup": op2_line_dedup,
     "op3_quality_rules": op3_quality_rules,
     "op4_license_scan": op4_license_scan,
+    "op5_quality_classifier": op5_quality_classifier,
     "op6_decontamination": op6_decontamination,
     "op7_minhash": op7_minhash,
     "op8_language_id": op8_language_id,

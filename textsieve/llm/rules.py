@@ -57,65 +57,80 @@ def repeated_words(words: Column) -> Column:
     return F.coalesce(let(found, covered), F.lit(0)).cast("bigint")
 
 
-def measure(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", host_column: str = "source") -> DataFrame:
-    """Base measures of each text, and hash and word count of each of its lines."""
-    text = F.coalesce(F.col(text_column), F.lit(""))
-    rows = docs.select(
-        F.col(id_column).alias("doc_id"), F.coalesce(F.col(host_column).cast("string"), F.lit("")).alias("host"), text.alias("text")
-    ).select(
-        "*",
-        F.regexp_extract_all("text", F.lit(WORD), F.lit(0)).alias("words"),
-        F.filter(F.split("text", "\n", -1), lambda x: x.rlike(WORD)).alias("lines"),
-    )
+def lines_of(text: Column) -> Column:
+    """Lines that hold a word."""
+    return F.filter(F.split(text, "\n", -1), lambda x: x.rlike(WORD))
 
-    def normal(line: Column) -> Column:
-        return F.lower(F.trim(F.regexp_replace(line, r"[\x20\x09-\x0D]+", " ")))
-
-    return rows.select(
-        "doc_id",
-        "host",
-        F.hash("text").alias("text_hash"),
-        F.size("words").cast("bigint").alias("n_words"),
-        (F.length("text") - F.regexp_count("text", F.lit(r"[\x20\x09-\x0D]"))).cast("bigint").alias("word_chars"),
-        F.regexp_count("text", F.lit(SYMBOL)).cast("bigint").alias("n_symbols"),
-        (F.size("lines") - F.size(F.array_distinct("lines"))).cast("bigint").alias("n_dup_lines"),
-        repeated_words(F.col("words")).alias("n_repeat_words"),
-        F.transform(
-            "lines", lambda x: F.struct(F.xxhash64(normal(x)).alias("h"), F.regexp_count(x, F.lit(WORD)).alias("n"))
-        ).alias("line_words"),
-    )
+
+def line_hash(line: Column) -> Column:
+    return F.xxhash64(F.lower(F.trim(F.regexp_replace(line, r"[\x20\x09-\x0D]+", " "))))
+
+
+def host_of(host: Column) -> Column:
+    return F.coalesce(host.cast("string"), F.lit(""))
 
 
-def shared_lines(measured: DataFrame) -> DataFrame:
-    """host and hashes of the lines above its limit. The share bounds them: at most
+def shared_lines(docs: DataFrame, text: Column, host: Column) -> DataFrame:
+    """Hosts and hashes of the lines above their limit. The share bounds them: at most
     a hundred / LINE_PERCENT times the mean number of lines of a host's documents."""
-    lines = measured.select("host", "text_hash", F.explode(F.array_distinct(F.transform("line_words", lambda x: x["h"]))).alias("h"))
+    hashes = F.array_distinct(F.transform(lines_of(text), line_hash))
+    lines = docs.select(host.alias("_host"), F.hash(text).alias("text"), F.explode(hashes).alias("h"))
     counts = (
-        lines.groupBy("host", "h")
-        .agg(F.count("*").alias("n"), F.min("text_hash").alias("a"), F.max("text_hash").alias("b"))
+        lines.groupBy("_host", "h")
+        .agg(F.count("*").alias("n"), F.min("text").alias("a"), F.max("text").alias("b"))
         .filter((F.col("n") > LINE_DOCUMENTS) & (F.col("a") != F.col("b")))
     )
-    hosts = measured.groupBy("host").agg(F.count("*").alias("documents"))
-    above = counts.join(hosts, "host").filter(F.col("n") * 100 > F.col("documents") * LINE_PERCENT)
-    return above.groupBy("host").agg(F.collect_list("h").alias("shared"))
+    hosts = docs.select(host.alias("_host")).groupBy("_host").agg(F.count("*").alias("documents"))
+    above = counts.join(hosts, "_host").filter(F.col("n") * 100 > F.col("documents") * LINE_PERCENT)
+    return above.groupBy("_host").agg(F.collect_list("h").alias("_shared"))
 
 
-def quality_rules(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", host_column: str = "source") -> DataFrame:
-    """Base measures, words left after shared lines are removed, and the verdict."""
-    measured = write_staged(measure(docs, id_column, text_column, host_column), "rules")
-    shared = write_staged(shared_lines(measured), "shared")
-    left = F.aggregate(
-        F.filter("line_words", lambda x: ~F.coalesce(F.array_contains("shared", x["h"]), F.lit(False))),
-        F.lit(0).cast("bigint"),
-        lambda a, x: a + x["n"],
-    )
-    failed = (F.col("n_words") < LEAST_WORDS) | (100 * F.col("n_repeat_words") > MOST_REPEATED_PERCENT * F.col("n_words"))
-    return (
-        measured.join(shared, "host", "left")
-        .withColumn("words_left", left)
-        .withColumn("base_failed", failed)
-        .withColumn("kept", ~failed & (100 * F.col("words_left") >= LEAST_LEFT_PERCENT * F.col("n_words")))
-        .select(
-            "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "words_left"
+def measures(text: Column, shared: Column) -> Column:
+    """Base measures, words left without the shared lines, and the verdict, as a struct."""
+
+    def measured(x: Column) -> Column:
+        words, lines = x["words"], x["lines"]
+        own = F.filter(lines, lambda line: ~F.coalesce(F.array_contains(shared, line_hash(line)), F.lit(False)))
+        left = F.when(shared.isNull(), F.size(words)).otherwise(
+            F.aggregate(own, F.lit(0), lambda a, line: a + F.regexp_count(line, F.lit(WORD)))
         )
-    )
+        return F.struct(
+            F.size(words).cast("bigint").alias("n_words"),
+            (F.length(text) - F.regexp_count(text, F.lit(r"[\x20\x09-\x0D]"))).cast("bigint").alias("word_chars"),
+            F.regexp_count(text, F.lit(SYMBOL)).cast("bigint").alias("n_symbols"),
+            (F.size(lines) - F.size(F.array_distinct(lines))).cast("bigint").alias("n_dup_lines"),
+            repeated_words(words).alias("n_repeat_words"),
+            left.cast("bigint").alias("words_left"),
+        )
+
+    def judged(m: Column) -> Column:
+        failed = (m["n_words"] < LEAST_WORDS) | (100 * m["n_repeat_words"] > MOST_REPEATED_PERCENT * m["n_words"])
+        names = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
+        return F.struct(
+            *[m[n].alias(n) for n in names],
+            failed.alias("base_failed"),
+            (~failed & (100 * m["words_left"] >= LEAST_LEFT_PERCENT * m["n_words"])).alias("kept"),
+            m["words_left"].alias("words_left"),
+        )
+
+    # Bound step by step, so that no text is split twice however the result is used.
+    parts = F.struct(F.regexp_extract_all(text, F.lit(WORD), F.lit(0)).alias("words"), lines_of(text).alias("lines"))
+    return let(let(parts, measured), judged)
+
+
+def judged(docs: DataFrame, text_column: str = "text", host_column: str = "source") -> DataFrame:
+    """docs with the struct _rules: base measures, words left, base_failed and kept."""
+    text, host = F.coalesce(F.col(text_column), F.lit("")), host_of(F.col(host_column))
+    shared = write_staged(shared_lines(docs, text, host), "shared")
+    rows = docs.withColumn("_host", host).join(shared, "_host", "left")
+    return rows.withColumn("_rules", measures(text, F.col("_shared"))).drop("_host", "_shared")
+
+
+def quality_rules(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", host_column: str = "source") -> DataFrame:
+    """doc_id, the base measures, base_failed, kept, and the words left."""
+    return judged(docs.select(id_column, text_column, host_column), text_column, host_column).select(F.col(id_column).alias("doc_id"), "_rules.*")
+
+
+def keep_good(docs: DataFrame, text_column: str = "text", host_column: str = "source") -> DataFrame:
+    """Rows of docs that are kept, with their columns as they are."""
+    return judged(docs, text_column, host_column).filter("_rules.kept").drop("_rules")
