@@ -24,7 +24,8 @@ def quality_rules(spark: SparkSession, docs: DataFrame, folder: str) -> DataFram
 
 def line_dedup(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """All documents, without later copies of repeated line runs."""
-    return lines.line_dedup(docs).withColumn("n_chars", F.length("text").cast("bigint")).drop("_lines").select(docs.columns)
+    rows, _ = lines.line_dedup(docs)
+    return rows.withColumn("n_chars", F.length("text").cast("bigint")).select(docs.columns)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:

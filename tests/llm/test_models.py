@@ -1,0 +1,180 @@
+"""Near duplicates, languages, class bigrams and the quality classifier."""
+
+from __future__ import annotations
+
+import random
+import zlib
+from collections import Counter
+from math import log10
+
+import numpy as np
+import pytest
+
+from textsieve.llm import brown, cotrain, langid, minhash
+from textsieve.llm.components import components
+
+FOLDER = "/root/testdata/sf0.01"
+
+
+def brute_components(texts, length, percent=80):
+    sets = [frozenset(s.tolist()) for s in minhash.shingle_sets(texts, length)]
+    label = list(range(len(texts)))
+
+    def root(i):
+        while label[i] != i:
+            i = label[i]
+        return i
+
+    for i, a in enumerate(sets):
+        for j in range(i):
+            common = len(a & sets[j])
+            if common and 100 * common >= percent * (len(a) + len(sets[j]) - common):
+                x, y = root(i), root(j)
+                label[max(x, y)] = min(x, y)
+    return [root(i) for i in range(len(texts))], [len(s) for s in sets]
+
+
+def families(prose, seed, count, size):
+    """Originals and copies with more and more words changed."""
+    rng = random.Random(seed)
+    texts = []
+    for f in range(count):
+        words = prose(seed * 1000 + f, 120).split()
+        for k in range(size):
+            copy = list(words)
+            for at in rng.sample(range(len(copy)), rng.randint(0, 12)):
+                copy[at] = f"w{f}x{k}y{at}"
+            texts.append(" ".join(copy))
+    rng.shuffle(texts)
+    return texts
+
+
+@pytest.mark.parametrize("length", [2, 5])
+def test_components_of_near_copies(make_docs, prose, length):
+    texts = families(prose, length, 6, 25) + ["", "one", "ONE", "one two", " one  two ", "a b c", None]
+    expected, sizes = brute_components(texts, length)
+    rows = {r["doc_id"]: r for r in minhash.near_duplicates(make_docs(texts), length).collect()}
+    assert [rows[i]["component_id"] for i in range(len(texts))] == expected
+    assert [rows[i]["n_shingles"] for i in range(len(texts))] == sizes
+    assert all(rows[i]["kept"] == (expected[i] == i) for i in range(len(texts)))
+
+
+def test_shingles():
+    sets = minhash.shingle_sets(["A b c", "a B", "b c", "a", "", None, "c a b c"], 2)
+    assert [len(s) for s in sets] == [2, 1, 1, 1, 0, 0, 3]
+    assert set(sets[0].tolist()) == set(sets[1].tolist()) | set(sets[2].tolist())
+    assert set(sets[2].tolist()) < set(sets[6].tolist())
+
+
+def test_signatures_estimate_similarity():
+    rng = np.random.default_rng(1)
+    pool = rng.integers(1, 1 << 63, 1000, dtype=np.uint64)
+    for common in (200, 500, 800):
+        a, b = pool[:900], pool[900 - common :]
+        exact = len(np.intersect1d(a, b)) / len(np.union1d(a, b))
+        assert abs((minhash.signature(a) == minhash.signature(b)).mean() - exact) < 0.12
+
+
+def test_long_chains_and_stars(spark):
+    links = [(i, i + 1) for i in range(100, 130)] + [(7, x) for x in range(200, 260)] + [(3, 3), (5, 4), (4, 5), (None, 1)]
+    found = {r["id"]: r["component_id"] for r in components(spark.createDataFrame(links, "a bigint, b bigint")).collect()}
+    assert found == {**{i: 100 for i in range(100, 131)}, **{i: 7 for i in [7, *range(200, 260)]}, 4: 4, 5: 4}
+
+
+def test_language_on_held_out_texts(spark):
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
+    rows = langid.identify(docs).join(docs.select("doc_id", "lang"), "doc_id").filter("held_out").collect()
+    assert all(r["held_out"] == (zlib.crc32(str(r["doc_id"]).encode()) % 5 == 0) for r in rows)
+    assert sum(r["lang"] == r["lang_pred"] for r in rows) > 0.97 * len(rows)
+    assert all(0 <= r["score"] <= 1 for r in rows)
+
+
+def brute_ranking(texts):
+    counts = Counter()
+    for text in texts:
+        codes = langid.symbols(text).tolist()
+        for n in (1, 2, 3):
+            for i in range(len(codes) - n + 1):
+                gram = codes[i : i + n]
+                if gram != [1]:
+                    counts[sum(c << 10 * (n - 1 - k) for k, c in enumerate(gram))] += 1
+    return [g for g, _ in sorted(counts.items(), key=lambda x: (-x[1], x[0]))[: langid.PROFILE]]
+
+
+def test_profiles_and_distances(spark, make_docs, prose, monkeypatch):
+    texts = {"en": [prose(i, 50) for i in range(4)], "xx": [prose(i, 40).replace("a", "ö") for i in range(4, 8)]}
+    monkeypatch.setattr(langid, "BLOCK", 100)
+    rows = [(text, lang) for lang, of in texts.items() for text in of] + [(None, "en"), ("text", None)]
+    profiles = langid.learn_profiles(spark.createDataFrame(rows, "text string, lang string"))
+    assert profiles == {lang: brute_ranking(of) for lang, of in texts.items()}
+    text = prose(9, 20)
+    own = brute_ranking([text])
+    expected = [
+        sum(min(abs(i - p.index(g)), langid.PROFILE) if g in p else langid.PROFILE for i, g in enumerate(own)) for p in profiles.values()
+    ]
+    model = langid.Profiles(profiles)
+    assert model.distances(langid.ranked(*langid.gram_counts([text]))).copy() == expected
+    assert model.predict(text)[0] == list(profiles)[int(np.argmin(expected))]
+
+
+def test_base_score(make_docs, prose, monkeypatch):
+    """With few words held in tasks, most meet their counts in the join."""
+    monkeypatch.setattr(brown, "LOOKUP", 20)
+    monkeypatch.setattr(brown, "CLUSTERED", 10)
+    texts = [prose(i, 40).upper() + " end x \x1c y" for i in range(40)] + ["", None]
+    counts = Counter()
+    for i, text in enumerate(texts):
+        if zlib.crc32(str(i).encode()) % 5 != 1:
+            counts.update(brown.tokens(text))
+    n, v = sum(counts.values()), len(counts)
+    for row in brown.score(make_docs(texts)).collect():
+        words = brown.tokens(texts[row["doc_id"]])
+        assert row["n_tokens"] == len(words)
+        assert row["n_known"] == sum(counts[w] > 0 for w in words)
+        assert row["train_tokens"] == n
+        assert row["base_score"] == pytest.approx(sum(log10((counts[w] + 0.5) / (n + 0.5 * (v + 1))) for w in words), abs=1e-9)
+        assert row["score"] < 0
+
+
+def likelihood(bigrams, of, k):
+    onehot = np.eye(k)[of]
+    table = onehot.T @ bigrams @ onehot
+    f = lambda x: float((x * np.log(np.maximum(x, 1))).sum())
+    return f(table) - f(table.sum(axis=0)) - f(table.sum(axis=1))
+
+
+def test_exchange_finds_classes():
+    """Words of two kinds that always alternate."""
+    rng = np.random.default_rng(2)
+    size = 12
+    bigrams = np.zeros((size + 2, size + 2), np.int64)
+    for _ in range(4000):
+        a = rng.integers(size)
+        b = rng.integers(size // 2) * 2 + (1 - a % 2)
+        bigrams[a, b] += 1
+    start = np.concatenate((np.arange(size) % 2, [2, 3]))
+    shuffled = np.concatenate((rng.integers(0, 2, size), [2, 3]))
+    of = brown.exchange(bigrams, classes=2, sweeps=20)
+    assert len({tuple(sorted(set(of[:size][i::2]))) for i in (0, 1)}) == 2
+    assert likelihood(bigrams, of, 4) >= likelihood(bigrams, shuffled, 4)
+    assert likelihood(bigrams, of, 4) == pytest.approx(likelihood(bigrams, start, 4))
+
+
+def test_class_model_beats_words_alone(spark):
+    rows = brown.score(spark.read.parquet(f"{FOLDER}/documents.parquet")).filter("held_out").collect()
+    assert sum(r["score"] for r in rows) > sum(r["base_score"] for r in rows)
+
+
+def test_quality_on_held_out_labels(spark):
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
+    labels = spark.read.parquet(f"{FOLDER}/labels.parquet")
+    rows = cotrain.score_quality(docs, labels).join(labels, "doc_id").collect()
+    held = [r for r in rows if zlib.crc32(str(r["doc_id"]).encode()) % 5 == 0]
+    assert sum(r["kept"] == (r["quality"] == 1) for r in held) > 0.93 * len(held)
+    assert all(0 <= r[c] <= 1 for r in rows for c in ("text_score", "meta_score", "score"))
+
+
+def test_no_labels(spark, make_docs):
+    labels = spark.createDataFrame([], "doc_id bigint, quality int")
+    rows = cotrain.score_quality(make_docs(["a text", "b text"]), labels).collect()
+    assert [(r["score"], r["kept"]) for r in rows] == [(0.5, True)] * 2

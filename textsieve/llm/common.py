@@ -26,6 +26,21 @@ def id_type(docs: DataFrame) -> str:
     return docs.schema["doc_id"].dataType.simpleString()
 
 
+def unused(docs: DataFrame, name: str) -> str:
+    """name, with as many underscores before it as docs needs to lack it."""
+    taken = {column.lower() for column in docs.columns}
+    while name.lower() in taken:
+        name = "_" + name
+    return name
+
+
+def without(docs: DataFrame, ids: DataFrame, id_column: str = "doc_id") -> DataFrame:
+    """Rows of docs whose id is not in ids (doc_id); a null id is like any other."""
+    of = unused(docs, "of")
+    keys = ids.select(F.col("doc_id").alias(of)).distinct()
+    return docs.join(keys, F.col(id_column).eqNullSafe(F.col(of)), "left_anti")
+
+
 def slices(batches: Iterator[pa.RecordBatch], rows: int = SLICE) -> Iterator[pa.RecordBatch]:
     """The same rows, a few at a time; a long text comes whole, with few others."""
     for batch in batches:

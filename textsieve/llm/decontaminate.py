@@ -23,9 +23,9 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame
 
-from textsieve.llm.common import id_text, id_type, slices
+from textsieve.llm.common import id_text, id_type, slices, without
 from textsieve.llm.hashing import LOWER, SPACE, U
 
 Q = 12
@@ -192,5 +192,4 @@ ITEM_TYPES = {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string()}
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """docs without those that hold a benchmark item."""
-    found = leaks(docs, benchmark, id_column, text_column).select(F.col("doc_id").alias("_leaks")).distinct()
-    return docs.join(found, F.col(id_column).eqNullSafe(F.col("_leaks")), "left_anti")
+    return without(docs, leaks(docs, benchmark, id_column, text_column), id_column)

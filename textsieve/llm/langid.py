@@ -93,7 +93,7 @@ def learn_profiles(docs: DataFrame) -> dict[str, list[int]]:
             for lang, of_lang in texts.items():
                 grams, n = gram_counts(of_lang)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([lang] * len(grams)), pa.array(grams.astype(np.int64)), pa.array(n)], ["lang", "gram", "n"]
+                    [pa.array([lang] * len(grams), pa.string()), pa.array(grams.astype(np.int64)), pa.array(n, pa.int64())], ["lang", "gram", "n"]
                 )
 
     rows = docs.filter("text is not null and lang is not null").select("text", F.col("lang").cast("string"))

@@ -22,6 +22,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from textsieve.llm.common import unused
 from textsieve.staging import write_staged
 
 MIN_LINES = 3
@@ -93,20 +94,17 @@ def deleted_lines(docs: DataFrame, id_column: str, text_column: str, min_lines:
 
 def line_dedup(
     docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", min_lines: int = MIN_LINES, long_line: int = LONG_LINE
-) -> DataFrame:
-    """docs with the remaining text, and the struct _lines: n_lines, n_removed."""
+) -> tuple[DataFrame, str]:
+    """docs with the remaining text, and a struct of n_lines and n_removed; its name."""
     deleted = deleted_lines(docs, id_column, text_column, min_lines, long_line)
-    of = deleted.select(F.col("id").alias("_of"), F.col("runs").alias("_runs"))
-    joined = docs.join(of, F.col(id_column).eqNullSafe(F.col("_of")), "left").drop("_of")
-    lines = lines_of(F.col(text_column))
-    joined = joined.withColumn("_split", lines)
-    covered = F.array_distinct(F.flatten(F.transform("_runs", lambda r: F.sequence(r["first"], r["last"]))))
-    covered = F.filter(covered, lambda i: F.get("_split", i).rlike(WORD))
-    joined = joined.withColumn("_covered", F.coalesce(covered, F.array().cast("array<int>")))
-    kept = F.array_except(F.sequence(F.lit(0), F.size("_split") - 1), F.col("_covered"))
-    text = F.array_join(F.transform(kept, lambda i: F.get("_split", i)), "\n")
-    return (
-        joined.withColumn(text_column, F.when(F.size("_covered") > 0, text).otherwise(F.col(text_column)))
-        .withColumn("_lines", F.struct(F.size("_split").cast("bigint").alias("n_lines"), F.size("_covered").cast("bigint").alias("n_removed")))
-        .drop("_runs", "_split", "_covered")
-    )
+    of, runs, split, covered, counts = (unused(docs, name) for name in ("of", "runs", "split", "covered", "line_counts"))
+    deleted = deleted.withColumnsRenamed({"id": of, "runs": runs})
+    joined = docs.join(deleted, F.col(id_column).eqNullSafe(F.col(of)), "left").withColumn(split, lines_of(F.col(text_column)))
+    gone = F.array_distinct(F.flatten(F.transform(runs, lambda r: F.sequence(r["first"], r["last"]))))
+    gone = F.filter(gone, lambda i: F.coalesce(F.get(split, i).rlike(WORD), F.lit(False)))
+    joined = joined.withColumn(covered, F.coalesce(gone, F.array().cast("array<int>")))
+    kept = F.array_except(F.sequence(F.lit(0), F.size(split) - 1), F.col(covered))
+    text = F.array_join(F.transform(kept, lambda i: F.get(split, i)), "\n")
+    sizes = F.struct(F.size(split).cast("bigint").alias("n_lines"), F.size(covered).cast("bigint").alias("n_removed"))
+    joined = joined.withColumn(text_column, F.when(F.size(covered) > 0, text).otherwise(F.col(text_column))).withColumn(counts, sizes)
+    return joined.select(*docs.columns, counts), counts

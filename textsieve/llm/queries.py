@@ -22,7 +22,8 @@ def op1_repeated_strings(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op2_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
-    return lines.line_dedup(documents(spark, folder).select("doc_id", "text")).select("doc_id", "_lines.*", "text")
+    rows, counts = lines.line_dedup(documents(spark, folder).select("doc_id", "text"))
+    return rows.select("doc_id", f"{counts}.*", "text")
 
 
 def op3_quality_rules(spark: SparkSession, folder: str) -> DataFrame:

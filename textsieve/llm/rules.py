@@ -16,7 +16,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from textsieve.llm.common import let
+from textsieve.llm.common import let, unused
 from textsieve.staging import write_staged
 
 WORD = r"[^\x20\x09-\x0D]+"
@@ -103,7 +103,7 @@ def measures(text: Column, shared: Column) -> Column:
             left.cast("bigint").alias("words_left"),
         )
 
-    def judged(m: Column) -> Column:
+    def verdict(m: Column) -> Column:
         failed = (m["n_words"] < LEAST_WORDS) | (100 * m["n_repeat_words"] > MOST_REPEATED_PERCENT * m["n_words"])
         names = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
         return F.struct(
@@ -115,22 +115,25 @@ def measures(text: Column, shared: Column) -> Column:
 
     # Bound step by step, so that no text is split twice however the result is used.
     parts = F.struct(F.regexp_extract_all(text, F.lit(WORD), F.lit(0)).alias("words"), lines_of(text).alias("lines"))
-    return let(let(parts, measured), judged)
+    return let(let(parts, measured), verdict)
 
 
-def judged(docs: DataFrame, text_column: str = "text", host_column: str = "source") -> DataFrame:
-    """docs with the struct _rules: base measures, words left, base_failed and kept."""
+def judged(docs: DataFrame, text_column: str = "text", host_column: str = "source") -> tuple[DataFrame, str]:
+    """docs with a struct of base measures, words left, base_failed and kept; its name."""
     text, host = F.coalesce(F.col(text_column), F.lit("")), host_of(F.col(host_column))
-    shared = write_staged(shared_lines(docs, text, host), "shared")
-    rows = docs.withColumn("_host", host).join(shared, "_host", "left")
-    return rows.withColumn("_rules", measures(text, F.col("_shared"))).drop("_host", "_shared")
+    of, own, verdict = (unused(docs, name) for name in ("host", "shared", "rules"))
+    shared = write_staged(shared_lines(docs, text, host), "shared").withColumnsRenamed({"_host": of, "_shared": own})
+    rows = docs.withColumn(of, host).join(shared, of, "left")
+    return rows.withColumn(verdict, measures(text, F.col(own))).drop(of, own), verdict
 
 
 def quality_rules(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", host_column: str = "source") -> DataFrame:
     """doc_id, the base measures, base_failed, kept, and the words left."""
-    return judged(docs.select(id_column, text_column, host_column), text_column, host_column).select(F.col(id_column).alias("doc_id"), "_rules.*")
+    rows, verdict = judged(docs.select(id_column, text_column, host_column), text_column, host_column)
+    return rows.select(F.col(id_column).alias("doc_id"), f"{verdict}.*")
 
 
 def keep_good(docs: DataFrame, text_column: str = "text", host_column: str = "source") -> DataFrame:
     """Rows of docs that are kept, with their columns as they are."""
-    return judged(docs, text_column, host_column).filter("_rules.kept").drop("_rules")
+    rows, verdict = judged(docs, text_column, host_column)
+    return rows.filter(F.col(verdict)["kept"]).select(docs.columns)
