@@ -44,8 +44,9 @@ def sink(df: DataFrame) -> None:
 
 def main() -> None:
     spark = session(CPUS)
-    documents = q.documents(spark, FOLDER)
-    pages = q.pages(spark, FOLDER)
+    # One small file is one split; a real input has many, and so have these tables.
+    documents = write_staged(q.documents(spark, FOLDER).repartition(2 * int(CPUS), "doc_id"), "documents")
+    pages = write_staged(q.pages(spark, FOLDER).repartition(2 * int(CPUS), "page_id"), "pages-in")
     models = Models(q._profile(spark, FOLDER), q._toxicity(spark, FOLDER))
 
     # Each stage gets what the stages before it leave, written beforehand.

@@ -218,13 +218,8 @@ DOCS = "docs AS (SELECT doc_id AS id, text FROM documents WHERE text <> '')"
 
 PROFILE = f"""
     lang_words AS (SELECT lang, unnest(regexp_extract_all(lower(text), '\\p{{L}}+')) AS word FROM documents),
-    lang_counts AS (SELECT lang, word, count(*) AS n FROM lang_words GROUP BY ALL),
-    vocabulary AS (
-        SELECT DISTINCT word FROM (
-            SELECT word, row_number() OVER (PARTITION BY lang ORDER BY n DESC, word) AS rank FROM lang_counts
-        ) WHERE rank <= {language.WORDS_PER_LANGUAGE}
-    ),
-    known AS (SELECT lang_counts.* FROM lang_counts JOIN vocabulary USING (word)),
+    known AS (SELECT lang, left(md5(word), {language.BUCKET_DIGITS}) AS bucket, count(*) AS n FROM lang_words GROUP BY ALL),
+    vocabulary AS (SELECT DISTINCT bucket FROM known),
     priors AS (
         SELECT lang, CAST(round(ln(count(*) / (SELECT count(*) FROM documents)) * 1000) AS BIGINT) AS prior
         FROM documents GROUP BY lang
@@ -234,10 +229,10 @@ PROFILE = f"""
         FROM priors LEFT JOIN known USING (lang) GROUP BY priors.lang
     ),
     lang_weights AS (
-        SELECT vocabulary.word, totals.lang,
+        SELECT vocabulary.bucket, totals.lang,
             CAST(round(ln((coalesce(n, 0) + 1) / CAST(total AS DOUBLE)) * 1000) AS BIGINT) AS w
         FROM vocabulary CROSS JOIN totals
-        LEFT JOIN known ON known.word = vocabulary.word AND known.lang = totals.lang
+        LEFT JOIN known ON known.bucket = vocabulary.bucket AND known.lang = totals.lang
     )"""
 
 
@@ -245,7 +240,8 @@ def labels(source: str) -> str:
     """CTEs ending in lang_labels(id, lang) for source(id, text)."""
     return f"""
     text_words AS (SELECT id, unnest(regexp_extract_all(lower(text), '\\p{{L}}+')) AS word FROM {source}),
-    lang_sums AS (SELECT id, lang, sum(w) AS s FROM text_words JOIN lang_weights USING (word) GROUP BY ALL),
+    text_buckets AS (SELECT id, left(md5(word), {language.BUCKET_DIGITS}) AS bucket FROM text_words),
+    lang_sums AS (SELECT id, lang, sum(w) AS s FROM text_buckets JOIN lang_weights USING (bucket) GROUP BY ALL),
     lang_ranked AS (
         SELECT t.id, p.lang, row_number() OVER (PARTITION BY t.id ORDER BY coalesce(s, 0) + prior DESC, p.lang) AS rank
         FROM {source} t CROSS JOIN priors p LEFT JOIN lang_sums s ON s.id = t.id AND s.lang = p.lang
@@ -264,16 +260,15 @@ TOXIC_MODEL = f"""
     toxic_words AS (
         SELECT word, count(*) FILTER (bad) AS bad_n, count(*) AS all_n FROM (
             SELECT DISTINCT doc_id, bad, unnest({tokens('text')}) AS word FROM labelled
-        ) GROUP BY word HAVING count(*) >= {toxicity.MIN_TEXTS}
+        ) GROUP BY word
     ),
     toxic_weights AS (
         SELECT word, CAST(round(ln(
             ((bad_n + {toxicity.SMOOTHING}::DOUBLE * share) / bad)
             / ((all_n - bad_n + {toxicity.SMOOTHING}::DOUBLE * (1 - share)) / good)) * 1000) AS BIGINT) AS w
         FROM toxic_words, sizes
-        ORDER BY CAST(round((bad_n - all_n * share) * (bad_n - all_n * share) / (all_n * share * (1 - share)) * 1000)
-            AS BIGINT) DESC, word
-        LIMIT {toxicity.MAX_WORDS}
+        WHERE CAST(round((bad_n - all_n * share) * (bad_n - all_n * share) / (all_n * share * (1 - share)) * 1000)
+            AS BIGINT) >= {toxicity.LEAST_EVIDENCE} * 1000
     ),
     toxic_prior AS (SELECT CAST(round(ln(bad / good) * 1000) AS BIGINT) AS prior FROM sizes)"""
 
@@ -449,9 +444,9 @@ ORACLE: dict[str, str] = {
     "dedup_mark": f"{_FINGERPRINTS} SELECT doc_id, {_COPIES} > 1 AS duplicate FROM prints",
     "dedup_groups": f"{_FINGERPRINTS} SELECT fingerprint, count(*) AS copies FROM prints GROUP BY fingerprint",
     "stream_dedup": f"{_FINGERPRINTS} SELECT doc_id, {_COPIES} > 1 AS duplicate FROM prints",
-    "language_profile": f"""WITH {PROFILE} SELECT word, {', '.join(
+    "language_profile": f"""WITH {PROFILE} SELECT bucket, {', '.join(
         f"max(w) FILTER (lang = '{lang}') AS weight_{lang}" for lang in ('de', 'en', 'es', 'fr')
-    )} FROM lang_weights GROUP BY word""",
+    )} FROM lang_weights GROUP BY bucket""",
     "detect_language": f"{_LANG_LABELS} SELECT id AS doc_id, lang FROM lang_labels",
     "filter_language": f"{_LANG_LABELS} SELECT id AS doc_id, lang FROM lang_labels WHERE lang <> 'en'",
     "language_bypass": """SELECT doc_id AS id, CAST(NULL AS VARCHAR) AS lang,

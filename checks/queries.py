@@ -29,7 +29,7 @@ from textsieve.operators.toxicity import ToxicityModel, fit_toxicity, toxicity_r
 from textsieve.plans import reports
 from textsieve.plans.prepare import Models, Timings, kept_rows, omitted_rows, prepare
 from textsieve.sources import jsonl, outputs
-from textsieve.staging import new_path, spread, write_staged
+from textsieve.staging import new_path, write_staged
 from textsieve.streaming import incremental
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -48,11 +48,11 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def documents(spark: SparkSession, folder: str) -> DataFrame:
-    return spread(table(spark, folder, "documents").select("doc_id", "text"), "doc_id")
+    return table(spark, folder, "documents").select("doc_id", "text")
 
 
 def pages(spark: SparkSession, folder: str) -> DataFrame:
-    return spread(table(spark, folder, "pages"), "page_id")
+    return table(spark, folder, "pages")
 
 
 def _columns(**columns: Callable[[Column], Column]) -> Query:
@@ -222,17 +222,17 @@ def _labelled(spark, folder):
 
 
 def _profile(spark, folder) -> LanguageProfile:
-    return fit_language_profile(spread(table(spark, folder, "documents"), "doc_id"))
+    return fit_language_profile(table(spark, folder, "documents"))
 
 
 def _toxicity(spark, folder) -> ToxicityModel:
-    return fit_toxicity(spread(_labelled(spark, folder), "doc_id"))
+    return fit_toxicity(_labelled(spark, folder))
 
 
 def language_profile(spark, folder):
     profile = _profile(spark, folder)
     names = [F.col(w).alias(f"weight_{lang}") for w, lang in zip(profile.columns, profile.languages)]
-    return profile.weights.select("word", *names)
+    return profile.weights.select("bucket", *names)
 
 
 def language(spark, folder):
@@ -250,7 +250,7 @@ def language_bypass(spark, folder):
 
 
 def toxicity_weights(spark, folder):
-    return tox.toxicity_weights(spread(_labelled(spark, folder), "doc_id"))[1]
+    return tox.toxicity_weights(_labelled(spark, folder))[1]
 
 
 def toxicity(spark, folder):

@@ -7,12 +7,12 @@ from textsieve.config import PrepConfig
 from textsieve.functions import html
 from textsieve.operators.steps import html_step, run_steps
 
-MENU = (
-    '<html><body><nav>Menu</nav><p>Hello <a href="#">world</a>!</p>'
-    '<div class="ad">Buy now</div></body></html>'
+PAGE = (
+    "<html><body><nav>Start Archive</nav><p>The tide <b>turns</b>, slowly</p>"
+    '<div class="ad">Cheap boats</div></body></html>'
 )
 CASES = [
-    (MENU, "Hello world !", "Hello world !"),
+    (PAGE, "The tide turns , slowly", "The tide turns , slowly"),
     ('<div class="padding">one line here</div><p>after the block</p>', "", "after the block"),
     (
         "<ul><li>first item</li><li>second item</li></ul>",
@@ -47,7 +47,7 @@ def test_extraction(apply, scope, column):
 
 
 def test_plain_text_is_not_parsed(apply):
-    assert apply(html.raw_page_text, ["Just plain text", None, "a < b > c"]) == [None, None, None]
+    assert apply(html.raw_page_text, ["no tags in it", None, "a < b > c"]) == [None, None, None]
 
 
 def test_parser_state_does_not_leak(apply):
@@ -84,6 +84,6 @@ def test_step_accepts_by_length(spark, records):
 
 
 def test_step_leaves_dead_rows(records):
-    rows = records([MENU]).withColumn("omit_reason", F.lit("too_short"))
+    rows = records([PAGE]).withColumn("omit_reason", F.lit("too_short"))
     row = run_steps(rows, [html_step(PrepConfig(min_char_len=1))]).first()
-    assert (row["cleaned"], row["html_extracted"]) == (MENU, False)
+    assert (row["cleaned"], row["html_extracted"]) == (PAGE, False)

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from textsieve.operators import entities
-from textsieve.operators.language import detect_language, fit_language_profile
+from textsieve.operators.language import BUCKET_DIGITS, buckets, detect_language, fit_language_profile
 from textsieve.operators.toxicity import ToxicityModel, fit_toxicity, toxicity_reason
 
 SF = "/root/testdata/sf0.01"
@@ -57,9 +57,12 @@ def test_single_language(spark):
     assert detect_language(probe, fit_language_profile(df)).first()["lang"] == "a"
 
 
-def test_profile_size_is_bounded(documents):
-    profile = fit_language_profile(documents, per_language=20)
-    assert 0 < profile.weights.count() <= 20 * len(profile.languages)
+def test_no_word_is_dropped_and_the_profile_is_bounded(documents):
+    profile = fit_language_profile(documents)
+    rows = profile.weights.count()
+    assert 0 < rows <= 16**BUCKET_DIGITS
+    seen = documents.select(F.explode(buckets(F.col("text"))).alias("bucket")).distinct()
+    assert seen.join(profile.weights, "bucket", "left_anti").count() == 0
 
 
 def test_toxicity_on_held_out_rows(spark, documents):
@@ -112,6 +115,15 @@ def test_gazetteer(spark):
     }
 
 
+def test_names_that_look_like_patterns_or_masks(spark):
+    names = spark.createDataFrame(
+        [("PERSON", "Ann Lee"), ("PERSON", "PERSON"), ("PERSON", r"A\Eb.c"), ("LOCATION", "a.c")], "entity string, phrase string"
+    )
+    df = spark.createDataFrame([(1, r"PERSON and Ann Lee, A\Eb.c, a.c but abc")], "id bigint, text string")
+    row = entities.mask_gazetteer(df, names).first()
+    assert row["text"] == "<PERSON> and <PERSON>, <PERSON>, <LOCATION> but abc"
+
+
 def test_entity_table(spark):
     text = "a@b.co 10.0.0.1 a@b.co (743) 555-3824"
     df = spark.createDataFrame([(7, text), (8, "none")], "id bigint, text string")

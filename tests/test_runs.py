@@ -81,6 +81,34 @@ def test_ids_follow_files_and_lines_over_many_splits(spark, tmp_path):
     assert [rows[i]["original"] for i in range(1, len(expected) + 1)] == expected
 
 
+def test_ids_do_not_depend_on_settings_at_use(spark, tmp_path):
+    """Splits that change between call and use lose no row, and no text is shuffled."""
+    for name in "abc":
+        lines = [json.dumps({"text": f"{name}{i} {'y' * (i % 60)}"}) for i in range(500)]
+        (tmp_path / f"{name}.jsonl").write_text("\n".join(lines))
+    before = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.autoBroadcastJoinThreshold")}
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "9000")
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        scan = jsonl.read_jsonl(spark, str(tmp_path))
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "31000")
+        plan = scan._jdf.queryExecution().executedPlan().toString()
+        rows = by_id(scan)
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert "SortMergeJoin" not in plan and "Exchange hashpartitioning" not in plan
+    assert [rows[i]["original"].split()[0] for i in range(1, 1501)] == [f"{n}{i}" for n in "abc" for i in range(500)]
+
+
+def test_limit_leaves_later_files_closed(spark, tmp_path):
+    for name in "abc":
+        (tmp_path / f"{name}.jsonl").write_text('{"text": "t"}\n' * 10)
+    files = jsonl.first_files(spark, str(tmp_path), 15)
+    assert [f[-7:] for f in files] == ["a.jsonl", "b.jsonl"]
+    assert jsonl.read_jsonl(spark, str(tmp_path), 15).count() == 15
+
+
 @pytest.fixture(scope="module")
 def sample(spark):
     texts = [

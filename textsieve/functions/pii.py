@@ -14,7 +14,8 @@ from textsieve.functions.classes import NOT_BEFORE_WORD, WORD
 _OCTET = "(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
 _GROUP = "[0-9A-Fa-f]{1,4}"
 
-EMAIL = r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+"
+# One character class after the first dot: Java matches a repeated group by recursion.
+EMAIL = r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+\.[A-Za-z0-9.-]*[A-Za-z0-9-]"
 IP = (
     rf"\b(?:{_OCTET}\.){{3}}{_OCTET}\b"
     rf"|\b(?:{_GROUP}:){{7}}{_GROUP}\b"

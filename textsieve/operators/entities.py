@@ -5,8 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from textsieve.functions.classes import NOT_AFTER_WORD, NOT_BEFORE_WORD, WORD_SET
-from textsieve.functions.pii import changed, pattern_values
-
+from textsieve.functions.pii import ENTITIES, changed, pattern_values
 
 
 def name_words(text: Column) -> Column:
@@ -61,7 +60,11 @@ def mask_names(text: Column, names: Column) -> Column:
     )
 
     def replace(masked: Column, name: Column) -> Column:
-        pattern = F.concat(F.lit(NOT_AFTER_WORD + r"\Q"), name["phrase"], F.lit(r"\E" + NOT_BEFORE_WORD))
+        quoted = F.replace(name["phrase"], F.lit(r"\E"), F.lit(r"\E\\E\Q"))
+        # A phrase that is itself the name of a mask must not be found inside one.
+        inside = name["phrase"].isin(*ENTITIES)
+        before = F.when(inside, F.lit("(?<!<)")).otherwise(F.lit(""))
+        pattern = F.concat(before, F.lit(NOT_AFTER_WORD + r"\Q"), quoted, F.lit(r"\E" + NOT_BEFORE_WORD))
         return F.regexp_replace(masked, pattern, F.concat(F.lit("<"), name["entity"], F.lit(">")))
 
     return F.when(names.isNotNull(), F.aggregate(ordered, text, replace)).otherwise(text)

@@ -17,22 +17,30 @@ def _running_offset(counts: DataFrame, *order: str) -> DataFrame:
     return counts.withColumn("before", F.coalesce(F.sum("rows").over(before), F.lit(0)))
 
 
+# Split offsets of two longs each are broadcast up to this many; beyond, they are shuffled for.
+MAX_BROADCAST_SPLITS = 2_000_000
+
+
 def number_file_rows(df: DataFrame, name: str) -> DataFrame:
-    """Number the rows of a file scan 1, 2, 3… in file and line order, in two passes.
+    """Number the rows of a file scan 1, 2, 3… in file and line order.
 
-    df must carry file, block and seq columns (see sources.jsonl). The first pass
-    counts rows per file block; the second adds the block's offset. No row moves
-    for it: the blocks are a narrow written table, one row per input split.
+    df must carry file, block and seq columns (see sources.jsonl). It is written
+    once, so that splits are fixed from then on, whatever the settings are when
+    the result is used. Rows are counted per split of the written table, and each
+    gets its split's offset: one short row per split, so no text moves.
     """
-    counts = df.groupBy("file", "block").agg(
+    rows = write_staged(df.withColumn("split", F.xxhash64("file", "block")), "file-rows")
+    counts = rows.groupBy("file", "block", "split").agg(
         F.count(F.lit(1)).alias("rows"), F.min("seq").alias("first_seq")
     )
-    blocks = write_staged(_running_offset(counts, "file", "block").drop("rows"), "blocks")
-    return (
-        df.join(blocks, ["file", "block"])
-        .withColumn(name, F.col("before") + F.col("seq") - F.col("first_seq") + 1)
-        .drop("before", "first_seq")
-    )
+    shift = (F.col("before") - F.col("first_seq") + 1).alias("shift")
+    splits = write_staged(_running_offset(counts, "file", "block").select("split", shift), "splits")
+    n, different = splits.agg(F.count(F.lit(1)), F.count_distinct("split")).first()
+    if n != different:
+        raise ValueError("two splits have one hash")
+    if n <= MAX_BROADCAST_SPLITS:
+        splits = F.broadcast(splits)
+    return rows.join(splits, "split").withColumn(name, F.col("shift") + F.col("seq")).drop("shift", "split")
 
 
 def rank_by_key(df: DataFrame, key: str, name: str) -> DataFrame:

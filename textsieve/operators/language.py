@@ -9,16 +9,17 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from textsieve.operators.scoring import milli_log, sum_weights
 from textsieve.staging import write_staged
 
-WORDS_PER_LANGUAGE = 500
-MAX_LANGUAGES = 256
+# Words fall into 16 ** BUCKET_DIGITS buckets by their hash; none is dropped, and the
+# number of buckets bounds the model.
+BUCKET_DIGITS = 4
 
 
 @dataclass(frozen=True)
 class LanguageProfile:
-    """Naive Bayes over the most frequent words of each language.
+    """Naive Bayes over hash buckets of words.
 
-    weights has at most WORDS_PER_LANGUAGE * MAX_LANGUAGES rows: word, then one
-    bigint column per language, in the order of languages.
+    weights has at most 16 ** BUCKET_DIGITS rows: bucket, then one bigint column
+    per language, in the order of languages.
     """
 
     languages: tuple[str, ...]
@@ -34,47 +35,40 @@ def words(text: Column) -> Column:
     return F.regexp_extract_all(F.lower(text), F.lit(r"(\p{L}+)"), F.lit(1))
 
 
-def fit_language_profile(
-    df: DataFrame, text: str = "text", lang: str = "lang", per_language: int = WORDS_PER_LANGUAGE
-) -> LanguageProfile:
+def buckets(text: Column) -> Column:
+    """The bucket of each word: the first digits of its MD5, so that any SQL engine can check it."""
+    return F.transform(words(text), lambda word: F.left(F.md5(word.cast("binary")), F.lit(BUCKET_DIGITS)))
+
+
+def fit_language_profile(df: DataFrame, text: str = "text", lang: str = "lang") -> LanguageProfile:
     labelled = df.filter(F.col(lang).isNotNull() & F.col(text).isNotNull())
     sizes = labelled.groupBy(F.col(lang).alias("lang")).agg(F.count(F.lit(1)).alias("texts"))
-    exploded = labelled.select(F.col(lang).alias("lang"), F.explode(words(F.col(text))).alias("word"))
+    exploded = labelled.select(F.col(lang).alias("lang"), F.explode(buckets(F.col(text))).alias("bucket"))
     counts = write_staged(
-        exploded.groupBy("lang", "word").agg(F.count(F.lit(1)).alias("n")), "word-counts"
+        exploded.groupBy("lang", "bucket").agg(F.count(F.lit(1)).alias("n")), "word-counts"
     )
 
     total = F.sum("texts").over(Window.partitionBy())
     rows = (
         sizes.select("lang", milli_log(F.col("texts") / total).alias("prior"))
         .orderBy("lang")
-        .limit(MAX_LANGUAGES + 1)
         .collect()
     )
-    if not 0 < len(rows) <= MAX_LANGUAGES:
-        raise ValueError(f"need 1 to {MAX_LANGUAGES} languages")
+    if not rows:
+        raise ValueError("need labelled texts")
     languages = tuple(row["lang"] for row in rows)
 
-    # The rank limit is applied in each task before the shuffle, so the window
-    # of a language never sees its whole vocabulary.
-    frequent = Window.partitionBy("lang").orderBy(F.desc("n"), "word")
-    vocabulary = (
-        counts.withColumn("rank", F.row_number().over(frequent))
-        .filter(F.col("rank") <= per_language)
-        .select("word")
-        .distinct()
-    )
     per_word = [
         F.coalesce(F.sum(F.when(F.col("lang") == code, F.col("n"))), F.lit(0)).alias(f"n{i}")
         for i, code in enumerate(languages)
     ]
-    table = counts.join(F.broadcast(vocabulary), "word", "left_semi").groupBy("word").agg(*per_word)
+    table = counts.groupBy("bucket").agg(*per_word)
     table = write_staged(table, "profile-counts")
     totals = table.agg(
         F.count(F.lit(1)).alias("size"), *(F.sum(f"n{i}").alias(f"n{i}") for i in range(len(languages)))
     ).first()
     weights = table.select(
-        "word",
+        "bucket",
         *(
             milli_log((F.col(f"n{i}") + 1) / F.lit(float((totals[f"n{i}"] or 0) + totals["size"]))).alias(f"w{i}")
             for i in range(len(languages))
@@ -87,7 +81,7 @@ def detect_language(
     df: DataFrame, profile: LanguageProfile, id_col: str = "id", text: str = "text"
 ) -> DataFrame:
     """(id, lang): the best scoring language, the lower code on a tie."""
-    sums = sum_weights(df, id_col, words(F.col(text)), profile.weights, profile.columns)
+    sums = sum_weights(df, id_col, buckets(F.col(text)), profile.weights, profile.columns)
     scored = [
         F.struct((F.col(w) + prior).alias("score"), F.lit(-i).alias("order"), F.lit(code).alias("lang"))
         for i, (w, prior, code) in enumerate(zip(profile.columns, profile.priors, profile.languages))

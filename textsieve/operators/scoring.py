@@ -21,14 +21,14 @@ def milli_log(ratio: Column) -> Column:
 
 
 def sum_weights(
-    df: DataFrame, id_col: str, words: Column, model: DataFrame, weights: Sequence[str]
+    df: DataFrame, id_col: str, buckets: Column, model: DataFrame, weights: Sequence[str]
 ) -> DataFrame:
-    """Per id, the sum of each weight column over the words the model knows.
+    """Per id, the sum of each weight column over the word buckets the model knows.
 
-    The model's size is bounded when it is fitted, so it may be broadcast. Ids
-    without a known word get sums of zero.
+    The model is a written table, so its real size decides whether it is broadcast.
+    Ids without a known word get sums of zero.
     """
-    exploded = df.select(F.col(id_col), F.explode_outer(words).alias("word"))
-    known = exploded.join(F.broadcast(model), "word", "left")
+    exploded = df.select(F.col(id_col), F.explode_outer(buckets).alias("bucket"))
+    known = exploded.join(model, "bucket", "left")
     sums = [F.coalesce(F.sum(w), F.lit(0)).alias(w) for w in weights]
     return known.groupBy(id_col).agg(*sums)

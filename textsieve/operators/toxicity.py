@@ -10,15 +10,14 @@ from pyspark.sql import Column, DataFrame, Row, functions as F
 from textsieve.functions.attributes import tokenize
 from textsieve.operators.scoring import MILLI, milli_log
 
-# Fixed values of the fit: pseudo-count, least number of texts a word is in, words kept.
+# Fixed values of the fit: pseudo-count, and the least chi-square of a word that is kept.
 SMOOTHING = 5.0
-MIN_TEXTS = 3
-MAX_WORDS = 25
+LEAST_EVIDENCE = 30.0
 
 
 @dataclass(frozen=True)
 class ToxicityModel:
-    """Thousandths of a natural logarithm: the prior, and the weight of each of at most MAX_WORDS words."""
+    """Thousandths of a natural logarithm: the prior, and the weight of each word with enough evidence."""
 
     prior: int
     weights: tuple[tuple[str, int], ...]
@@ -48,9 +47,9 @@ def toxicity_weights(
 ) -> tuple[int, DataFrame]:
     """The prior and a table (word, w): log-odds of a word's presence in toxic against other texts.
 
-    Weights are shrunk to zero for rare words. The words kept are those with the
-    most evidence by chi-square: texts are long against the number of labels, and
-    more words would mostly add chance.
+    Weights are shrunk to zero for rare words. The words kept are those with
+    enough evidence by chi-square, however many they are: texts are long against
+    the number of labels, and words with less would mostly add chance.
     """
     texts = labelled.filter(F.col(text).isNotNull() & F.col(toxic).isNotNull())
     sizes = _class_sizes(texts, toxic)
@@ -66,7 +65,6 @@ def toxicity_weights(
         )
         .groupBy("word")
         .agg(F.sum("bad").alias("bad"), F.count(F.lit(1)).alias("all"))
-        .filter(F.col("all") >= MIN_TEXTS)
     )
     in_bad = (F.col("bad") + SMOOTHING * share) / bad
     in_good = (F.col("all") - F.col("bad") + SMOOTHING * (1 - share)) / good
@@ -78,8 +76,7 @@ def toxicity_weights(
             milli_log(in_bad / in_good).alias("w"),
             F.round(surprise * MILLI).cast("bigint").alias("evidence"),
         )
-        .orderBy(F.desc("evidence"), "word")
-        .limit(MAX_WORDS)
+        .filter(F.col("evidence") >= LEAST_EVIDENCE * MILLI)
         .select("word", "w")
     )
     return round(log(bad / good) * MILLI), weights
@@ -87,8 +84,8 @@ def toxicity_weights(
 
 def fit_toxicity(labelled: DataFrame, text: str = "text", toxic: str = "toxic") -> ToxicityModel:
     prior, weights = toxicity_weights(labelled, text, toxic)
-    # At most MAX_WORDS rows.
-    return ToxicityModel(prior, tuple((row["word"], row["w"]) for row in weights.collect()))
+    # Words with evidence only: few, however long the texts are.
+    return ToxicityModel(prior, tuple(sorted((row["word"], row["w"]) for row in weights.collect())))
 
 
 def toxicity_reason(score: Column, threshold: float) -> Column:

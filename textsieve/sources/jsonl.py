@@ -12,7 +12,18 @@ _SCHEMA = "array<struct<text: string, url: string>>"
 _OPTIONS = {"allowSingleQuotes": "false"}
 
 
-def text_lines(spark: SparkSession, path: str) -> DataFrame:
+def first_files(spark: SparkSession, path: str, lines: int) -> list[str]:
+    """The first files by name that hold so many lines, or all. The rest is not opened."""
+    files = sorted(spark.read.text(path).inputFiles())
+    taken = 0
+    for end in range(1, len(files) + 1):
+        taken += spark.read.text(files[end - 1]).count()
+        if taken >= lines:
+            return files[:end]
+    return files
+
+
+def text_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """Raw lines with the position the id functions need: file, block and seq."""
     return spark.read.text(path).select(
         "value",
@@ -45,14 +56,14 @@ def read_jsonl(spark: SparkSession, path: str, input_limit: int = 0) -> DataFram
     A positive limit takes the first raw lines, bad ones included. Bad and blank
     lines take no id.
     """
-    lines = text_lines(spark, path)
     if input_limit > 0:
+        lines = text_lines(spark, first_files(spark, path, input_limit))
         numbered = number_file_rows(lines, "line_no").filter(F.col("line_no") <= input_limit)
         taken = write_staged(numbered.select("line_no", "value"), "lines")
         rows = parse_lines(taken).filter(nonblank(F.col("text")))
         return as_records(assign_ids(rows, "line_no"), url="url")
     # Positions of the rows that stay; gaps left by dropped lines close up.
-    rows = parse_lines(lines).filter(nonblank(F.col("text")))
+    rows = parse_lines(text_lines(spark, path)).filter(nonblank(F.col("text")))
     rows = rows.withColumn("seq", F.monotonically_increasing_id())
     return as_records(number_file_rows(rows, "id"), url="url")
 

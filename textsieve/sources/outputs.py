@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, functions as F
 
 from textsieve.operators.ids import shard_numbers
 from textsieve.plans.prepare import kept_rows, omitted_rows
 from textsieve.plans.reports import insights
+from textsieve.staging import write_staged
 
 
 def write_cleaned(rows: DataFrame, path: str) -> None:
@@ -24,9 +25,11 @@ def shard_assignment(rows: DataFrame, shard_size: int) -> DataFrame:
 
 def write_shards(rows: DataFrame, path: str, shard_size: int) -> None:
     """One folder per shard of kept rows, in id order. No empty shards."""
-    sharded = kept_rows(rows).join(shard_assignment(rows, shard_size), "id")
-    # A range of shards per task: each shard is whole in one task, all are the same size.
-    ranged = sharded.repartitionByRange("shard").sortWithinPartitions("shard", "id")
+    shards = write_staged(shard_assignment(rows, shard_size), "shards")
+    n = (shards.agg(F.max("shard")).first()[0] or 0) + 1
+    sharded = kept_rows(rows).join(shards, "id")
+    # A shard per task: each shard is whole in one task, all are the same size.
+    ranged = sharded.repartitionByRange(n, "shard").sortWithinPartitions("shard", "id")
     ranged.write.partitionBy("shard").json(path)
 
 

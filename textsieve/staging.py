@@ -43,13 +43,3 @@ def write_staged(df: DataFrame, name: str, partition_by: str | None = None) -> D
     writer.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
-
-def spread(df: DataFrame, key: str) -> DataFrame:
-    """Hash rows over all cores when the input has fewer splits than cores.
-
-    Large inputs have more splits than cores and pass through without a shuffle.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= cores:
-        return df
-    return df.repartition(cores, key)

@@ -27,7 +27,9 @@ def _earlier(spark: SparkSession, path: str, schema: str, batch: int) -> DataFra
     """Rows that earlier batches left under path."""
     try:
         stored = spark.read.schema(schema).parquet(path)
-    except AnalysisException:
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
         stored = spark.createDataFrame([], schema)
     return stored.filter(F.col("batch") < batch)
 
