@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import string
 
-from checks.queries import CONFIG, INPUT_LIMIT, SHARD_SIZE
+from checks.queries import CONFIG, INPUT_LIMIT, MADE_TEXT, SHARD_SIZE
 from textsieve.config import STAGES
 from textsieve.functions import code, pii
 from textsieve.operators import language, toxicity
@@ -523,3 +523,13 @@ ORACLE: dict[str, str] = {
     ),
     "selection_rate": f"{CHAIN} SELECT round(avg(CAST(omit_reason IS NULL AS DOUBLE)), 9) AS selection_rate FROM rows",
 }
+
+_MADE = f"FROM (SELECT doc_id, text FROM (SELECT doc_id, {MADE_TEXT} AS text FROM documents) WHERE text <> '') made"
+ORACLE |= {
+    f"made_{name}": ORACLE[name].replace("FROM documents", _MADE)
+    for name in (
+        "nonblank_text", "strip_control", "straight_quotes", "normalize", "filter_non_ascii", "filter_long_repeat",
+        "preliminary_reason", "code_function_def", "code_method_calls", "code_assignments", "code_line_features",
+        "code_char_features", "code_token_features", "code_reason",
+    )
+}

@@ -51,26 +51,46 @@ def documents(spark: SparkSession, folder: str) -> DataFrame:
     return table(spark, folder, "documents").select("doc_id", "text")
 
 
+# Spark and DuckDB SQL: what documents.text becomes, by doc_id, to meet rules that no given text meets.
+MADE_TEXT = """CASE doc_id % 12
+    WHEN 0 THEN replace(replace(text, 'e', '“'), 'n', '’')
+    WHEN 1 THEN replace(replace(text, 'a', chr(11)), 'r', chr(127))
+    WHEN 2 THEN concat(text, repeat('z', CAST(6 + doc_id % 7 AS INT)))
+    WHEN 3 THEN translate(text, 'aeioutrnsh', 'жщюяыэфцчш')
+    WHEN 4 THEN CASE WHEN doc_id % 24 = 4 THEN '' ELSE NULL END
+    WHEN 5 THEN concat('function f', CAST(doc_id AS VARCHAR(20)), ' (x) ', text)
+    WHEN 6 THEN concat('        ', replace(text, '. ', concat(chr(10), '        ')))
+    WHEN 7 THEN replace(text, ' ', ' lambda yield {x} ')
+    WHEN 8 THEN replace(text, ' ', ' [q] (r) ')
+    WHEN 9 THEN replace(text, ', ', '.go(')
+    WHEN 10 THEN replace(text, '. ', concat(chr(10), 'x = ', chr(39)))
+    ELSE concat('lambda yield await global bool = {', left(text, 40), '};') END"""
+
+
+def made_documents(spark: SparkSession, folder: str) -> DataFrame:
+    return table(spark, folder, "documents").select("doc_id", F.expr(MADE_TEXT).alias("text"))
+
+
 def pages(spark: SparkSession, folder: str) -> DataFrame:
     return table(spark, folder, "pages")
 
 
-def _columns(**columns: Callable[[Column], Column]) -> Query:
-    """A query that adds columns worked out from documents.text."""
+def _columns(source: Query = documents, **columns: Callable[[Column], Column]) -> Query:
+    """A query that adds columns worked out from the text of documents."""
 
     def query(spark: SparkSession, folder: str) -> DataFrame:
         text = F.col("text")
         made = [make(text).alias(name) for name, make in columns.items()]
-        return documents(spark, folder).select("doc_id", *made)
+        return source(spark, folder).select("doc_id", *made)
 
     return query
 
 
-def _where(condition: Callable[[Column], Column]) -> Query:
+def _where(condition: Callable[[Column], Column], source: Query = documents) -> Query:
     """A query for the documents that a rule holds for."""
 
     def query(spark: SparkSession, folder: str) -> DataFrame:
-        return documents(spark, folder).filter(condition(F.col("text"))).select("doc_id")
+        return source(spark, folder).filter(condition(F.col("text"))).select("doc_id")
 
     return query
 
@@ -148,37 +168,37 @@ def prepared_pages(spark, folder):
 # Code rules
 
 
-def _measured(spark, folder):
-    return code_features(documents(spark, folder).withColumn("tokens", at.tokenize(F.col("text"))), "text")
+def _measured(spark, folder, source=documents):
+    return code_features(source(spark, folder).withColumn("tokens", at.tokenize(F.col("text"))), "text")
 
 
-def code_line_features(spark, folder):
-    return _measured(spark, folder).select("doc_id", "lines", "codey_lines", "indented_lines")
+def code_line_features(spark, folder, source=documents):
+    return _measured(spark, folder, source).select("doc_id", "lines", "codey_lines", "indented_lines")
 
 
-def code_char_features(spark, folder):
+def code_char_features(spark, folder, source=documents):
     chars = F.greatest("chars", F.lit(1))
-    return _measured(spark, folder).select(
+    return _measured(spark, folder, source).select(
         "doc_id",
         (F.col("punctuation") / chars).alias("punctuation_ratio"),
         (F.col("bracket_pairs") / chars * 100).alias("bracket_density"),
     )
 
 
-def code_token_features(spark, folder):
-    return _measured(spark, folder).select("doc_id", "words", "stopwords", "keywords")
+def code_token_features(spark, folder, source=documents):
+    return _measured(spark, folder, source).select("doc_id", "words", "stopwords", "keywords")
 
 
-def code_verdict(spark, folder):
-    return _measured(spark, folder).select("doc_id", code_reason().alias("omit_reason"))
+def code_verdict(spark, folder, source=documents):
+    return _measured(spark, folder, source).select("doc_id", code_reason().alias("omit_reason"))
 
 
 # Quality
 
 
-def preliminary_reason(spark, folder):
+def preliminary_reason(spark, folder, source=documents):
     text = F.col("text")
-    measured = documents(spark, folder).withColumns(at.attributes(text))
+    measured = source(spark, folder).withColumns(at.attributes(text))
     reason = quality.preliminary_reason(
         text, F.col("char_count"), F.col("ascii_ratio"), F.col("symbol_ratio"), CONFIG
     )
@@ -512,3 +532,28 @@ QUERIES: dict[str, Query] = {
     "redaction_counts": _report(reports.redaction_counts),
     "selection_rate": selection_rate,
 }
+
+# The same operators over texts made from all documents so that each rule fires.
+
+
+def made_nonblank(spark, folder):
+    """What no blank text is left of, as every rule below sees it."""
+    return made_documents(spark, folder).filter(jsonl.nonblank(F.col("text")))
+
+
+QUERIES |= {
+    "made_nonblank_text": lambda spark, folder: made_nonblank(spark, folder).select("doc_id"),
+    "made_strip_control": _columns(made_nonblank, text=normalize.strip_control),
+    "made_straight_quotes": _columns(made_nonblank, text=normalize.straight_quotes),
+    "made_normalize": _columns(made_nonblank, text=normalize.normalize),
+    "made_filter_non_ascii": _where(lambda text: quality.non_ascii_heavy(at.ascii_ratio(text), CONFIG), made_nonblank),
+    "made_filter_long_repeat": _where(quality.long_repeat, made_nonblank),
+    "made_preliminary_reason": partial(preliminary_reason, source=made_nonblank),
+    "made_code_function_def": _where(code.function_def, made_nonblank),
+    "made_code_method_calls": _columns(made_nonblank, method_calls=code.method_calls),
+    "made_code_assignments": _columns(made_nonblank, assignments=code.assignments),
+    "made_code_line_features": partial(code_line_features, source=made_nonblank),
+    "made_code_char_features": partial(code_char_features, source=made_nonblank),
+    "made_code_token_features": partial(code_token_features, source=made_nonblank),
+    "made_code_reason": partial(code_verdict, source=made_nonblank),
+}
