@@ -501,6 +501,12 @@ ORACLE: dict[str, str] = {
             count(*) FILTER (omit_stage = stage) AS omits
         FROM stages CROSS JOIN rows GROUP BY ALL
     ) SELECT *, round(CASE WHEN rows_in > 0 THEN omits * 100.0 / rows_in ELSE 0 END, 6) AS omit_percent FROM funnel""",
+    "insight_steps": f"""{CHAIN}, stages(stage, name) AS (VALUES {_STAGES}), funnel AS (
+        SELECT stage, name, count(*) FILTER (omit_stage IS NULL OR omit_stage >= stage) AS number_of_calls,
+            count(*) FILTER (omit_stage = stage) AS number_of_omits
+        FROM stages CROSS JOIN rows GROUP BY ALL
+    ) SELECT name, number_of_calls, number_of_omits, round(CASE WHEN number_of_calls > 0
+        THEN number_of_omits * 100.0 / number_of_calls ELSE 0 END, 6) AS omit_percentage FROM funnel""",
     "length_series": f"""{CHAIN} SELECT id, 'original' AS series, length(original) AS length FROM rows
         UNION ALL SELECT id, 'cleaned', length(cleaned) FROM rows WHERE omit_reason IS NULL
         UNION ALL SELECT id, 'omitted', length(original) FROM rows WHERE omit_reason IS NOT NULL""",

@@ -224,11 +224,24 @@ def dedup_groups(spark, folder):
     return dedup.dedup_groups(_fingerprints(spark, folder))
 
 
+ARRIVALS = 3
+
+
+def _arriving(spark, folder) -> DataFrame:
+    """All documents as a stream of one file per batch, in id order."""
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    low, high = docs.agg(F.min("doc_id"), F.max("doc_id")).first()
+    path = new_path(spark, "arriving")
+    for part in range(ARRIVALS):
+        start = low + (high + 1 - low) * part // ARRIVALS
+        stop = low + (high + 1 - low) * (part + 1) // ARRIVALS
+        docs.filter((F.col("doc_id") >= start) & (F.col("doc_id") < stop)).coalesce(1).write.mode("append").parquet(path)
+    return spark.readStream.schema(docs.schema).option("maxFilesPerTrigger", 1).parquet(path)
+
+
 def stream_dedup(spark, folder):
-    """dedup_mark over documents arriving as a stream."""
-    schema = table(spark, folder, "documents").schema
-    stream = spark.readStream.schema(schema).option("pathGlobFilter", "documents.parquet").parquet(folder)
-    arriving = stream.select("doc_id", fingerprint_of(F.col("text")).alias("fingerprint"))
+    """dedup_mark over documents arriving as a stream, in several batches."""
+    arriving = _arriving(spark, folder).select("doc_id", fingerprint_of(F.col("text")).alias("fingerprint"))
     out = new_path(spark, "stream")
     incremental.start_dedup_stream(arriving, out, "doc_id").awaitTermination()
     return incremental.read_batches(spark, out, "marks").select(F.col("id").alias("doc_id"), "duplicate")
@@ -395,6 +408,14 @@ def insight_counts(spark, folder):
     return parsed.select(F.explode("i.omit_reasons").alias("omit_reason", "n"))
 
 
+def insight_steps(spark, folder):
+    """Calls, omits and percentage of each step as the insight document states them."""
+    schema = "steps map<string, struct<number_of_calls: bigint, number_of_omits: bigint, omit_percentage: double>>"
+    parsed = reports.insights(run(spark, folder)[0]).select(F.from_json("insights", schema).alias("i"))
+    steps = parsed.select(F.explode("i.steps").alias("name", "step")).select("name", "step.*")
+    return steps.withColumn("omit_percentage", F.round("omit_percentage", 6))
+
+
 def stage_timing(spark, folder):
     rows, timings, _ = run(spark, folder)
     return reports.stage_timing(rows, timings.seconds)
@@ -439,12 +460,10 @@ def custom_steps(spark, folder):
 
 
 def stream_chain(spark, folder):
-    """The whole plan over documents arriving as a stream, with the models of the batch run."""
+    """The whole plan over documents arriving in several batches, with the models of the batch run."""
     models = run(spark, folder)[2]
-    schema = table(spark, folder, "documents").schema
-    stream = spark.readStream.schema(schema).option("pathGlobFilter", "documents.parquet").parquet(folder)
     out = new_path(spark, "stream")
-    arriving = stream.select("doc_id", "text")
+    arriving = _arriving(spark, folder)
     incremental.start_stream(arriving, out, CONFIG, models, "doc_id").awaitTermination()
     rows = incremental.read_batches(spark, out, "rows")
     return rows.select("id", "lang", "omit_reason", "omit_stage", "anonymized", "cleaned")
@@ -522,6 +541,7 @@ QUERIES: dict[str, Query] = {
     "written_shards": written_shards,
     "insight_json": insight_json,
     "insight_counts": insight_counts,
+    "insight_steps": insight_steps,
     "omit_reason_counts": _report(reports.omit_reason_counts),
     "omit_reason_share": omit_reason_share,
     "stage_funnel": stage_funnel,
