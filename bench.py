@@ -71,7 +71,7 @@ def main() -> None:
     stage("html", n_pages, lambda: run_steps(page_records, [html_step()]))
     stage("code", n_documents, lambda: run_steps(measured_records, [code_step()]))
     prints = plain.select("doc_id", fingerprint(text).alias("fingerprint"))
-    stage("dedup", n_documents, lambda: dedup.dedup_mark(prints, "doc_id"))
+    stage("dedup", n_documents, lambda: dedup.dedup_mark(write_staged(prints, "prints"), "doc_id"))
     stage("language", n_documents, lambda: detect_language(plain, models.language, "doc_id"))
     stage("toxicity", n_documents, lambda: plain.select("doc_id", models.toxicity(text).alias("toxicity")))
     stage("pii", n_documents, lambda: mask_live_rows(records, None, False))

@@ -209,7 +209,9 @@ def preliminary_reason(spark, folder, source=documents):
 
 
 def _fingerprints(spark, folder):
-    return documents(spark, folder).select("doc_id", fingerprint_of(F.col("text")).alias("fingerprint"))
+    """Written, because the operators read it twice: each fingerprint is worked out once."""
+    prints = documents(spark, folder).select("doc_id", fingerprint_of(F.col("text")).alias("fingerprint"))
+    return write_staged(prints, "fingerprints")
 
 
 def dedup_keep(spark, folder):

@@ -3,7 +3,8 @@
 Only (fingerprint, id) pairs are shuffled, and they are aggregated before the
 shuffle, so a group of copies that holds a large part of all rows reaches its
 reducer as one pair per task. Rows are then matched on the unique id, never on
-the fingerprint.
+the fingerprint. The pairs are read twice: hand in a written table, as the plan
+does, or they are worked out twice.
 """
 
 from __future__ import annotations

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from textsieve.config import PrepConfig
-from textsieve.operators.dedup import first_copies, later_copies
+from textsieve.operators.dedup import first_copies
 from textsieve.operators.steps import alive, as_records
 from textsieve.plans.prepare import Models, base_rows, prepare
 from textsieve.staging import write_staged
