@@ -24,6 +24,7 @@ from functools import reduce
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql.pandas.types import to_arrow_type
 
 from textsieve.llm.common import id_text, id_type, slices, without
 from textsieve.llm.hashing import LOWER, SPACE, U
@@ -160,8 +161,8 @@ def leaks(docs: DataFrame, benchmark: DataFrame, id_column: str = "doc_id", text
     """doc_id, item_id, start, stop and n_edits of each place of a benchmark item."""
     rows = id_text(docs, id_column, text_column)
     items = benchmark.select("item_id", "text")
-    item_type = items.schema["item_id"].dataType.simpleString()
-    schema = f"doc_id {id_type(rows)}, item_id {item_type}, start bigint, stop bigint, n_edits bigint"
+    item_type = items.schema["item_id"].dataType
+    schema = f"doc_id {id_type(rows)}, item_id {item_type.simpleString()}, start bigint, stop bigint, n_edits bigint"
 
     def search(block: list[tuple[object, bytes]]) -> DataFrame:
         shared = rows.sparkSession.sparkContext.broadcast(block)
@@ -176,10 +177,9 @@ def leaks(docs: DataFrame, benchmark: DataFrame, id_column: str = "doc_id", text
                     for i, start, stop, edits in find(index, normal(text))
                 ]
                 n, ids, *numbers = list(zip(*out)) or [()] * 5
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column("doc_id").take(pa.array(n, pa.int64())), pa.array(ids, ITEM_TYPES.get(item_type)), *[pa.array(x, pa.int64()) for x in numbers]],
-                    ["doc_id", "item_id", "start", "stop", "n_edits"],
-                )
+                of = batch.column("doc_id").take(pa.array(n, pa.int64()))
+                columns = [of, pa.array(ids, to_arrow_type(item_type)), *[pa.array(x, pa.int64()) for x in numbers]]
+                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "item_id", "start", "stop", "n_edits"])
 
         return rows.mapInArrow(run, schema)
 
@@ -187,9 +187,6 @@ def leaks(docs: DataFrame, benchmark: DataFrame, id_column: str = "doc_id", text
     return reduce(DataFrame.union, found) if found else rows.sparkSession.createDataFrame([], schema)
 
 
-ITEM_TYPES = {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string()}
-
-
 def decontaminate(docs: DataFrame, benchmark: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """docs without those that hold a benchmark item."""
     return without(docs, leaks(docs, benchmark, id_column, text_column), id_column)
