@@ -324,3 +324,25 @@ def test_config_is_checked():
         PrepConfig(noise_scope="page")
     with pytest.raises(ValueError):
         PrepConfig(shard_size=0)
+
+
+def test_jsonl_stream_numbers_over_arrivals(spark, sample, rows, tmp_path):
+    """Bad and blank lines take no id, and ids go on in the second batch."""
+    texts = [r["original"] for r in sorted(sample.collect(), key=lambda r: r["id"])]
+    out, folder = str(tmp_path / "out"), tmp_path / "in"
+    folder.mkdir()
+    for name, part in (("1.jsonl", texts[:4]), ("2.jsonl", texts[4:])):
+        lines = [json.dumps({"text": t, "url": name}) + "\n" for t in part]
+        (folder / name).write_text("{bad\n" + '{"text": ""}\n'.join(lines))
+        incremental.start_jsonl_stream(spark, str(folder), out, models=Models(LANGUAGE, TOXICITY)).awaitTermination()
+    names = ["id", "cleaned", "lang", "anonymized", "omit_reason", "omit_stage"]
+    result = incremental.read_batches(spark, out, "rows").select(names)
+    assert result.count() == 10
+    assert result.exceptAll(rows.select(names)).count() == 0
+
+
+def test_store_errors_are_not_taken_for_an_empty_store(spark, tmp_path):
+    """Only a missing path means that nothing was stored yet."""
+    assert incremental._earlier(spark, str(tmp_path / "none"), "batch bigint", 3).count() == 0
+    with pytest.raises(Exception, match="(?i)schema|parse"):
+        incremental._earlier(spark, str(tmp_path), "no such type", 3)

@@ -16,8 +16,10 @@ from pyspark.sql.streaming import StreamingQuery
 
 from textsieve.config import PrepConfig
 from textsieve.operators.dedup import first_copies
+from textsieve.operators.ids import assign_ids
 from textsieve.operators.steps import alive, as_records
 from textsieve.plans.prepare import Models, base_rows, prepare
+from textsieve.sources.jsonl import nonblank, parse_lines
 from textsieve.staging import write_staged
 
 _STORE_SCHEMA = "fingerprint string, batch bigint"
@@ -88,6 +90,39 @@ def start_stream(
     )
 
 
+def start_jsonl_stream(
+    spark: SparkSession,
+    path: str,
+    folder: str,
+    config: PrepConfig = PrepConfig(),
+    models: Models = Models(),
+    on_batch: Callable[[DataFrame, int], None] | None = None,
+) -> StreamingQuery:
+    """start_stream over arriving files of line-delimited JSON in the folder path.
+
+    Lines are taken as read_jsonl takes them. Ids go on from batch to batch, dense
+    from 1; within a batch they follow the order in which Spark reads its lines. A
+    batch that runs again numbers from the same start.
+    """
+
+    def handle(frame: DataFrame, batch: int) -> None:
+        rows = parse_lines(frame).filter(nonblank(F.col("text")))
+        rows = write_staged(rows.withColumn("line", F.monotonically_increasing_id()), "arrived")
+        before = _earlier(spark, f"{folder}/rows", "batch bigint", batch).count()
+        numbered = assign_ids(rows, "line").withColumn("id", F.col("id") + before).drop("line")
+        done = process_batch(as_records(numbered, url="url"), batch, folder, config, models)
+        if on_batch:
+            on_batch(done, batch)
+
+    return (
+        spark.readStream.text(path)
+        .writeStream.foreachBatch(handle)
+        .option("checkpointLocation", f"{folder}/checkpoint")
+        .trigger(availableNow=True)
+        .start()
+    )
+
+
 def start_dedup_stream(
     arriving: DataFrame, folder: str, id_col: str = "id", fp_col: str = "fingerprint"
 ) -> StreamingQuery:
