@@ -8,9 +8,8 @@ full shingle sets.
 
 Documents with the same set are one class. Within a bucket no pairs are listed:
 each class is compared with the smallest and the largest class of its buckets,
-best match first. Only what is then still apart is compared further: members
-outside a bucket's main component with the members of other components. Two
-sets of Jaccard 0.8 meet in no bucket with probability 2e-5, less above it.
+best match first. Members of a bucket that are then still in different
+components are compared by prefixes of their sets, which is exact. Two sets of Jaccard 0.8 meet in no bucket with probability 2e-5, less above it.
 
 Results: null or empty text and text without words has no shingles, is linked
 with nothing and is its own component. Rows of a repeated doc_id with one text
@@ -20,11 +19,13 @@ Other columns are not looked at.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
-from textsieve.llm.common import by_slice, id_text, id_type
+from textsieve.llm.common import by_slice, id_text, id_type, slices, without
 from textsieve.llm.components import components
 from textsieve.llm.hashing import U, mix, word_hashes
 from textsieve.staging import write_staged
@@ -173,21 +174,62 @@ def near_links(classes: DataFrame, docs: DataFrame, length: int, percent: int) -
     found = write_staged(components(links), "components")
 
     held = write_staged(labelled(members.filter("size > 2").select("key", "doc_id", "n_shingles"), "doc_id", found), "held")
-    parts = held.groupBy("key", "component_id").agg(F.count("*").alias("n"))
-    mixed = write_staged(
-        parts.groupBy("key").agg(F.count("*").alias("parts"), F.max_by("component_id", F.struct("n", "component_id")).alias("main")).filter("parts > 1"),
-        "mixed",
-    )
-    of_mixed = write_staged(held.join(mixed, "key"), "mixed")
-    minor = of_mixed.filter("component_id != main").select("key", F.col("doc_id").alias("other"), F.col("n_shingles").alias("m"), F.col("component_id").alias("part"))
-    met = of_mixed.join(minor, "key").filter("component_id != part").select(pair("doc_id", "other", "n_shingles", "m").alias("p"))
-    rest = write_staged(met.select("p.*").filter("a < b").distinct().join(pairs.select("a", "b"), ["a", "b"], "left_anti"), "pairs")
+    parts = held.groupBy("key").agg(F.min("component_id").alias("a"), F.max("component_id").alias("b")).filter("a != b")
+    mixed = held.join(write_staged(parts.select("key"), "mixed"), "key", "left_semi")
+    mixed = write_staged(mixed.select("doc_id", "n_shingles", "component_id").distinct(), "mixed")
+    rest = write_staged(across(mixed, sets, percent).join(pairs.select("a", "b"), ["a", "b"], "left_anti"), "pairs")
     late = write_staged(confirm(rest, sets, percent), "links")
     if late.isEmpty():
         return found
     return write_staged(components(links.union(late)), "components")
 
 
+def across(rows: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of rows (doc_id, n_shingles, component_id) in different components
+    that may be near, by prefixes: exact, and without listing pairs of a bucket.
+
+    Near sets share at least ceil(percent n / 100) of the n shingles of either, so
+    in any order of all shingles their first n - that + 1 ones have one in common.
+    Shingles of one component alone cannot be shared and come first, the others
+    from rare to frequent. What sets a text apart from its family fills its prefix.
+    Two sets share no more than the fewer of their shingles that several components
+    hold; pairs for which that is too little are left out where they meet.
+    """
+
+    def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, 64):
+            found = [np.frombuffer(x, np.int64) for x in batch.column("shingles").to_pylist()]
+            of = pa.array(np.repeat(np.arange(len(found)), [len(x) for x in found]))
+            columns = [batch.column(c).take(of) for c in ("doc_id", "n_shingles", "component_id")]
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(np.concatenate(found))], ["doc_id", "n_shingles", "component_id", "s"])
+
+    kind = id_type(rows)
+    schema = f"doc_id {kind}, n_shingles bigint, component_id {kind}, s bigint"
+    joined = rows.join(sets, "doc_id").select("doc_id", "n_shingles", "component_id", "shingles")
+    shingles = write_staged(joined.mapInArrow(spread, schema), "shingles")
+    shared = shingles.groupBy("s").agg(F.count("*").alias("n"), F.min("component_id").alias("x"), F.max("component_id").alias("y"))
+    shared = write_staged(shared.filter("x != y").select("s", "n"), "shared")
+    own = Window.partitionBy("doc_id")
+    places = F.col("common") - F.ceil(F.col("n_shingles") * percent / 100) + 1
+    prefixes = (
+        shingles.join(shared, "s")
+        .withColumn("common", F.count("*").over(own))
+        .withColumn("places", places)
+        .filter("places > 0")
+        .withColumn("place", F.row_number().over(own.orderBy("n", "s")))
+        .filter("place <= places")
+        .select("s", "doc_id", "n_shingles", "common", "component_id")
+    )
+    prefixes = write_staged(prefixes, "prefixes")
+    parts = prefixes.groupBy("s", "component_id").agg(F.count("*").alias("n"))
+    main = parts.groupBy("s").agg(F.count("*").alias("parts"), F.max_by("component_id", F.struct("n", "component_id")).alias("main"))
+    held = write_staged(prefixes.join(write_staged(main.filter("parts > 1").select("s", "main"), "main"), "s"), "prefixes")
+    minor = held.filter("component_id != main").select("s", F.col("doc_id").alias("other"), F.col("n_shingles").alias("m"), F.col("common").alias("c"), F.col("component_id").alias("part"))
+    most = F.least("common", "c")
+    near = (F.col("component_id") != F.col("part")) & (100 * most >= percent * (F.col("n_shingles") + F.col("m") - most))
+    return held.join(minor, "s").filter(near).select(F.least("doc_id", "other").alias("a"), F.greatest("doc_id", "other").alias("b")).distinct()
+
+
 def near_duplicates(docs: DataFrame, length: int = 5, percent: int = 80, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """doc_id, n_shingles, component_id and kept (the smallest id of its component)."""
     rows = id_text(docs, id_column, text_column)
@@ -212,5 +254,4 @@ def near_duplicates(docs: DataFrame, length: int = 5, percent: int = 80, id_colu
 def drop_near_duplicates(docs: DataFrame, length: int = 5, percent: int = 80, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """docs without those of a group but the smallest id; rows without an id stay."""
     found = near_duplicates(docs, length, percent, id_column, text_column)
-    dropped = found.filter("not kept").select(F.col("doc_id").alias("_dropped")).distinct()
-    return docs.join(dropped, F.col(id_column) == F.col("_dropped"), "left_anti")
+    return without(docs, found.filter("not kept"), id_column)
