@@ -8,8 +8,8 @@ is added to the learning rows of the other. At the end each view is calibrated
 on labelled rows held out of the fit, and the score of a document is the
 probability that the summed calibrated evidence gives.
 
-Bounded by parameters, and only in the fit: MOST_LABELLED labelled rows, those
-of the smallest id hash, and MOST_PSEUDO pseudo-labels per round, class and view.
+Bounded by parameters, and only in the fit: about MOST_LABELLED labelled rows,
+those of the smallest id hash, and MOST_PSEUDO pseudo-labels per round, class and view.
 Features, the search for confident rows, and the scores cover all documents.
 
 Results, row by row: null text counts as empty; null metadata is a value of its
@@ -172,8 +172,10 @@ def pseudo_labels(found: DataFrame, evidence: str, features_: str) -> tuple[np.n
     edge = float(np.log(CONFIDENT / (1 - CONFIDENT)))
     xs, ys = [], []
     for label, sure, order in ((1, F.col(evidence) >= edge, F.desc(evidence)), (0, F.col(evidence) <= -edge, F.asc(evidence))):
-        best = found.filter(F.col("label").isNull() & sure).orderBy(order, F.xxhash64("doc_id")).limit(MOST_PSEUDO)
-        x = unpack(best.select(features_).toArrow().column(0))
+        sure = found.filter(F.col("label").isNull() & sure)
+        # Narrow rows are ordered; the features are fetched for the few that are taken.
+        best = sure.select("doc_id", evidence).orderBy(order, F.xxhash64("doc_id")).limit(MOST_PSEUDO)
+        x = unpack(sure.join(F.broadcast(best.select("doc_id")), "doc_id", "left_semi").select(features_).toArrow().column(0))
         if len(x):
             xs.append(x)
             ys.append(np.full(len(x), float(label)))
@@ -186,7 +188,9 @@ def score_quality(docs: DataFrame, labels: DataFrame) -> DataFrame:
     docs has doc_id, text, source, lang and n_chars; labels has doc_id and quality.
     """
     table = write_staged(features(docs, labels), "features")
-    sample = table.filter("label is not null").orderBy(F.xxhash64("doc_id"), "doc_id").limit(MOST_LABELLED)
+    labelled = table.filter("label is not null")
+    share = min(1.0, MOST_LABELLED / max(1, labelled.count()))
+    sample = labelled.filter(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < F.lit(int(share * (1 << 30))))
     sample = sample.select("label", "held", "by_text", "by_meta").toArrow()
     y = np.array(sample.column("label").to_pylist(), float)
     held = np.array(sample.column("held").to_pylist(), bool)
