@@ -110,22 +110,27 @@ def sets_of(docs: DataFrame, length: int) -> DataFrame:
     return docs.mapInArrow(by_slice(make), f"doc_id {id_type(docs)}, shingles binary")
 
 
-def confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) whose full sets have at least that Jaccard similarity."""
+def overlaps(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """Pairs (a, b) with the sizes of their full sets, n and m, and of what they share, both."""
 
     def make(batch: pa.RecordBatch) -> pa.RecordBatch:
-        keep = []
-        for x, y in zip(batch.column("x").to_pylist(), batch.column("y").to_pylist()):
-            x, y = np.frombuffer(x, U), np.frombuffer(y, U)
-            common = len(np.intersect1d(x, y, assume_unique=True))
-            keep.append(100 * common >= percent * (len(x) + len(y) - common))
-        return pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
+        x, y = ([np.frombuffer(v, U) for v in batch.column(c).to_pylist()] for c in "xy")
+        both = [len(np.intersect1d(v, w, assume_unique=True)) for v, w in zip(x, y)]
+        sizes = [pa.array(list(map(len, v)), pa.int64()) for v in (x, y)]
+        return pa.RecordBatch.from_arrays(
+            [batch.column("a"), batch.column("b"), *sizes, pa.array(both, pa.int64())], ["a", "b", "n", "m", "both"]
+        )
 
     left = sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("x"))
     right = sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("y"))
     joined = pairs.select("a", "b").join(left, "a").join(right, "b").select("a", "b", "x", "y")
     kind = joined.schema["a"].dataType.simpleString()
-    return joined.mapInArrow(by_slice(make), f"a {kind}, b {kind}")
+    return joined.mapInArrow(by_slice(make), f"a {kind}, b {kind}, n bigint, m bigint, both bigint")
+
+
+def confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) whose full sets have at least that Jaccard similarity."""
+    return overlaps(pairs, sets).filter(100 * F.col("both") >= percent * (F.col("n") + F.col("m") - F.col("both"))).select("a", "b")
 
 
 def labelled(rows: DataFrame, column: str, found: DataFrame) -> DataFrame:
@@ -192,8 +197,12 @@ def across(rows: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     in any order of all shingles their first n - that + 1 ones have one in common.
     Shingles of one component alone cannot be shared and come first, the others
     from rare to frequent. What sets a text apart from its family fills its prefix.
-    Two sets share no more than the fewer of their shingles that several components
-    hold; pairs for which that is too little are left out where they meet.
+
+    A pair is left out where it meets if counts alone tell that it is not near.
+    Each text is set against one hub, the text of the main component with the
+    fewest shingles of its own. Two texts differ in what sets either apart from the
+    hub, less what sets both apart in the same way; the latter is at most what one
+    of them lacks of the hub, or has besides it and shares with anything.
     """
 
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -224,10 +233,27 @@ def across(rows: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     parts = prefixes.groupBy("s", "component_id").agg(F.count("*").alias("n"))
     main = parts.groupBy("s").agg(F.count("*").alias("parts"), F.max_by("component_id", F.struct("n", "component_id")).alias("main"))
     held = write_staged(prefixes.join(write_staged(main.filter("parts > 1").select("s", "main"), "main"), "s"), "prefixes")
-    minor = held.filter("component_id != main").select("s", F.col("doc_id").alias("other"), F.col("n_shingles").alias("m"), F.col("common").alias("c"), F.col("component_id").alias("part"))
-    most = F.least("common", "c")
-    near = (F.col("component_id") != F.col("part")) & (100 * most >= percent * (F.col("n_shingles") + F.col("m") - most))
-    return held.join(minor, "s").filter(near).select(F.least("doc_id", "other").alias("a"), F.greatest("doc_id", "other").alias("b")).distinct()
+    own_first = F.struct((F.col("n_shingles") - F.col("common")).alias("own"), F.col("doc_id").alias("hub"), F.col("n_shingles").alias("h"))
+    hubs = held.filter("component_id = main").groupBy("main").agg(F.min(own_first).alias("hub")).select("main", "hub.*")
+    against = write_staged(held.select("doc_id", "main", "common").distinct().join(write_staged(hubs, "hubs"), "main"), "hubs")
+    shares = overlaps(against.select(F.col("doc_id").alias("a"), F.col("hub").alias("b")).distinct(), sets)
+    apart_by = shares.select(F.col("a").alias("doc_id"), F.col("b").alias("hub"), "n", "both")
+    lacks, besides = F.col("h") - F.col("both"), F.col("n") - F.col("both")
+    shared_besides = F.least(besides, F.greatest(F.lit(0), F.col("common") - F.col("both") + F.col("own")))
+    bounds = against.join(apart_by, ["doc_id", "hub"]).select(
+        "doc_id", "main", (lacks + besides).alias("differs"), (lacks + shared_besides).alias("alike")
+    )
+    held = write_staged(held.select("s", "main", "doc_id", "n_shingles", "component_id").join(write_staged(bounds, "bounds"), ["doc_id", "main"]), "prefixes")
+    renamed = {"doc_id": "other", "n_shingles": "m", "component_id": "part", "differs": "d", "alike": "e"}
+    minor = held.filter("component_id != main").drop("main").withColumnsRenamed(renamed)
+    most, size = F.least("alike", "e"), F.col("n_shingles") + F.col("m")
+    near = (100 + percent) * (F.col("differs") + F.col("d") - 2 * most) <= (100 - percent) * size
+    return (
+        held.join(minor, "s")
+        .filter((F.col("component_id") != F.col("part")) & near)
+        .select(F.least("doc_id", "other").alias("a"), F.greatest("doc_id", "other").alias("b"))
+        .distinct()
+    )
 
 
 def near_duplicates(docs: DataFrame, length: int = 5, percent: int = 80, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
