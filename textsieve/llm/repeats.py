@@ -16,8 +16,9 @@ by side just the same:
 - different phrases of one core: their strings are sorted one by one, those of
   a repeated phrase from one document only.
 So only phrases at the borders of repeated passages are looked into. The bytes
-of such phrases meet by core; where a core has very many different phrases, its
-strings are dealt out one by one instead, so that no task gets them all.
+of such phrases meet by core. Where a core has very many different phrases, they
+are cut into parts with longer cores of their own, and the strings of the parts
+whose core is not alone are dealt out one by one, so that no task gets them all.
 
 Results: null text counts as empty. A row without doc_id is not compared and
 keeps all bytes. Rows that repeat a doc_id are occurrences like any others; if
@@ -45,8 +46,9 @@ TRIGGER = 16
 REACH = 320
 #: Phrases are cut where the anchor is so far from the start, so that cores are long.
 CUT = 160
-#: Cores with more different phrases than this are dealt out string by string.
+#: Cores with more different phrases than this are cut into parts of so many starts.
 MEETING = 500
+PART = 20
 #: Bytes of one block of a text.
 BLOCK = 1 << 20
 _LOW = U((1 << 24) - 1)
@@ -151,7 +153,8 @@ def runs(starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def border_bytes(docs: DataFrame, length: int) -> DataFrame:
-    """core, phrases, doc_id, first start and bytes of the phrases listed for each text."""
+    """core, phrases, doc_id, first start, anchor behind it, and bytes of the phrases
+    listed for each text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
@@ -161,20 +164,22 @@ def border_bytes(docs: DataFrame, length: int) -> DataFrame:
                 for border in borders:
                     first = border["place"] >> 20
                     extent = border["place"] >> 10 & 1023
-                    rows.append((border["core"], border["phrases"], i, first, text[first : first + extent + length]))
-            core, phrases_, at, first, data = list(zip(*rows)) or ((),) * 5
+                    data = text[first : first + extent + length]
+                    rows.append((border["core"], border["phrases"], i, first, border["place"] & 1023, data))
+            core, phrases_, at, first, anchor, data = list(zip(*rows)) or ((),) * 6
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(core, pa.int64()),
                     pa.array(phrases_, pa.int64()),
                     batch.column("doc_id").take(pa.array(at, pa.int64())),
                     pa.array(first, pa.int64()),
+                    pa.array(anchor, pa.int64()),
                     pa.array(data, pa.binary()),
                 ],
-                ["core", "phrases", "doc_id", "first", "data"],
+                ["core", "phrases", "doc_id", "first", "anchor", "data"],
             )
 
-    return docs.mapInArrow(run, f"core bigint, phrases bigint, doc_id {id_type(docs)}, first bigint, data binary")
+    return docs.mapInArrow(run, f"core bigint, phrases bigint, doc_id {id_type(docs)}, first bigint, anchor bigint, data binary")
 
 
 def strings_in(data: list[bytes], length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -235,6 +240,39 @@ def repeated_at_borders(phrases_: DataFrame, length: int) -> DataFrame:
     return dealt.mapInArrow(run, f"doc_id {id_type(phrases_)}, first bigint, last bigint")
 
 
+def parts_of(phrases_: DataFrame, length: int) -> DataFrame:
+    """core, doc_id, first start and bytes of parts of phrases.
+
+    Parts are cut where the distance to the anchor is a multiple of PART; a part's
+    core is what all strings at its distances contain, and stands for the phrase's.
+    """
+
+    def make(batch: pa.RecordBatch) -> pa.RecordBatch:
+        data = batch.column("data").to_pylist()
+        cores = batch.column("core").to_numpy().view(U)
+        begin = np.cumsum([0] + [len(x) for x in data])
+        rows: list[tuple[int, int, bytes]] = []
+        ends: list[tuple[int, int, int, int]] = []
+        for i, (text, first, anchor) in enumerate(zip(data, batch.column("first").to_pylist(), batch.column("anchor").to_pylist())):
+            starts = len(text) - length + 1
+            if starts < 1:
+                continue
+            for block in range((anchor - starts + 1) // PART, anchor // PART + 1):
+                low, high = block * PART, block * PART + PART - 1
+                start, last = max(0, anchor - high), min(starts - 1, anchor - low)
+                rows.append((i, first + start, text[start : last + length]))
+                ends.append((i, block, begin[i] + anchor - low, begin[i] + anchor - high + length))
+        of, block, left, right = np.array(ends, np.int64).reshape(-1, 4).T
+        core = Spans(np.frombuffer(b"".join(data), np.uint8))(left, right)
+        core = mix(core ^ mix(cores[of] + block.astype(U)))
+        at, first, pieces = list(zip(*rows)) or ((),) * 3
+        ids = batch.column("doc_id").take(pa.array(at, pa.int64()))
+        columns = [pa.array(core.view(np.int64)), ids, pa.array(first, pa.int64()), pa.array(pieces, pa.binary())]
+        return pa.RecordBatch.from_arrays(columns, ["core", "doc_id", "first", "data"])
+
+    return phrases_.mapInArrow(by_slice(make), f"core bigint, doc_id {id_type(phrases_)}, first bigint, data binary")
+
+
 def single_strings(phrases_: DataFrame, length: int) -> DataFrame:
     """128-bit key, doc_id and start of every string of the phrases."""
 
@@ -289,7 +327,9 @@ def repeated_ranges(rows: DataFrame, length: int) -> DataFrame:
     text = rows.join(borders, "doc_id").select("doc_id", "text", "borders")
     data = write_staged(border_bytes(text, length), "borders")
     met = repeated_at_borders(data.filter(F.col("phrases") <= MEETING), length)
-    strings = write_staged(single_strings(data.filter(F.col("phrases") > MEETING), length), "strings")
+    parts = write_staged(parts_of(data.filter(F.col("phrases") > MEETING), length), "parts")
+    shared = write_staged(parts.groupBy("core").agg(F.count("*").alias("n")).filter("n > 1").select("core"), "parts")
+    strings = write_staged(single_strings(parts.join(shared, "core"), length), "strings")
     twice = write_staged(strings.groupBy("k1", "k2").agg(F.count("*").alias("times")).filter("times > 1"), "twice")
     single = strings.join(twice, ["k1", "k2"]).select("doc_id", F.col("start").alias("first"), F.col("start").alias("last"))
     return whole.union(met).union(single)
