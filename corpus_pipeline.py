@@ -16,10 +16,13 @@ from textsieve.llm.common import documents
 from textsieve.llm.queries import tokenizer
 from textsieve.staging import write_staged
 
+#: A line above the rules' number of documents goes, whatever share of its source they are.
+LINE_PERCENT = 0
+
 
 def quality_rules(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """Documents that the rules keep."""
-    return rules.keep_good(docs)
+    return rules.keep_good(docs, line_percent=LINE_PERCENT)
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:

@@ -155,3 +155,14 @@ def test_leaks_and_blocks(spark, make_docs, prose, monkeypatch):
     found = {(r["doc_id"], r["item_id"]) for r in decontaminate.leaks(make_docs(texts), benchmark).collect()}
     assert found == {(1, 3), (2, 0), (2, 4)}
     assert [r["doc_id"] for r in decontaminate.decontaminate(make_docs(texts), benchmark).collect()] == [0]
+
+
+def test_lines_above_a_limit_of_documents_in_a_large_host(make_docs, prose):
+    """The limit does not rise with the host if it is a number of documents alone."""
+    footer = prose(8, 70)
+    texts = [prose(1000 + i, 60) + ("\n" + footer if i % 20 == 0 else "") for i in range(480)]  # 24 of 240 in src0
+    docs = make_docs(texts)
+    left = {r["doc_id"]: r["words_left"] for r in rules.quality_rules(docs, line_percent=0).collect()}
+    assert set(left.values()) == {60}
+    left = {r["doc_id"]: r["words_left"] for r in rules.quality_rules(docs).collect()}
+    assert sorted(set(left.values())) == [60, 130]

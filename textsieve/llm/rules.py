@@ -2,8 +2,9 @@
 
 Only column functions run here. Each line is normalised (blank runs to one
 blank, ends trimmed, lower case) and hashed; for each host the documents holding
-it are counted. A line above the host's limit is removed, and a document left
-with too few of its words is rejected. A line that only copies of one text hold
+it are counted. Lines above the host's limit are a table that the lines of each
+text meet by host and hash. A line above the limit is removed, and a document
+left with too few of its words is rejected. A line that only copies of one text hold
 is no boilerplate and stays.
 
 Results, row by row: null or empty text has no words, fails the base rules and
@@ -24,11 +25,14 @@ SYMBOL = r"[#*$%&|<>]"
 WINDOW = 3
 LEAST_WORDS = 50
 MOST_REPEATED_PERCENT = 50
-#: A line is boilerplate in more documents of its host than this many and this share.
+#: A line is boilerplate in more documents of its host than this many and this share;
+#: with a share of 0 the number alone is the limit, however large the host is.
 LINE_DOCUMENTS = 10
 LINE_PERCENT = 20
 #: A document is depleted if fewer than so many in a hundred of its words are left.
 LEAST_LEFT_PERCENT = 30
+#: Columns of text_keys.
+KEYS = ("k1", "k2")
 
 
 def repeated_words(words: Column) -> Column:
@@ -66,74 +70,101 @@ def line_hash(line: Column) -> Column:
     return F.xxhash64(F.lower(F.trim(F.regexp_replace(line, r"[\x20\x09-\x0D]+", " "))))
 
 
+def text_keys(text: Column) -> dict[str, Column]:
+    """Two fingerprints that tell texts apart, 128 bits together."""
+    return {"k1": F.xxhash64(text), "k2": F.xxhash64(F.lit("text"), text)}
+
+
 def host_of(host: Column) -> Column:
     return F.coalesce(host.cast("string"), F.lit(""))
 
 
-def shared_lines(docs: DataFrame, text: Column, host: Column) -> DataFrame:
-    """Hosts and hashes of the lines above their limit. The share bounds them: at most
-    a hundred / LINE_PERCENT times the mean number of lines of a host's documents."""
+def numbered_lines(docs: DataFrame, text: Column, host: Column) -> DataFrame:
+    """Host, 128-bit key of the text, place, hash and words of each line that holds a word."""
+    line = F.col("line")
+    rows = docs.select(host.alias("host"), *[k.alias(n) for n, k in text_keys(text).items()], F.posexplode(F.split(text, "\n", -1)).alias("place", "line"))
+    held = rows.filter(line.rlike(WORD))
+    return held.select("host", *KEYS, "place", line_hash(line).alias("h"), F.regexp_count(line, F.lit(WORD)).alias("words"))
+
+
+def shared_lines(docs: DataFrame, text: Column, host: Column, percent: int) -> DataFrame:
+    """Hosts and hashes of the lines above their limit."""
     hashes = F.array_distinct(F.transform(lines_of(text), line_hash))
-    lines = docs.select(host.alias("_host"), F.hash(text).alias("text"), F.explode(hashes).alias("h"))
+    lines = docs.select(host.alias("host"), F.hash(text).alias("text"), F.explode(hashes).alias("h"))
     counts = (
-        lines.groupBy("_host", "h")
+        lines.groupBy("host", "h")
         .agg(F.count("*").alias("n"), F.min("text").alias("a"), F.max("text").alias("b"))
         .filter((F.col("n") > LINE_DOCUMENTS) & (F.col("a") != F.col("b")))
     )
-    hosts = docs.select(host.alias("_host")).groupBy("_host").agg(F.count("*").alias("documents"))
-    above = counts.join(hosts, "_host").filter(F.col("n") * 100 > F.col("documents") * LINE_PERCENT)
-    return above.groupBy("_host").agg(F.collect_list("h").alias("_shared"))
+    if percent <= 0:
+        return counts.select("host", "h")
+    hosts = docs.select(host.alias("host")).groupBy("host").agg(F.count("*").alias("documents"))
+    return counts.join(hosts, "host").filter(F.col("n") * 100 > F.col("documents") * percent).select("host", "h")
+
+
+def lines_above(docs: DataFrame, text: Column, host: Column, percent: int) -> DataFrame:
+    """For each host and text that has any: words and places of its lines above the limit.
+
+    Lines meet the limit's table by an equality join; copies of a text are one text."""
+    shared = write_staged(shared_lines(docs, text, host, percent), "shared")
+    met = numbered_lines(docs, text, host).join(shared, ["host", "h"])
+    each = met.groupBy("host", *KEYS, "place").agg(F.max("words").alias("words"))
+    return each.groupBy("host", *KEYS).agg(F.sum("words").alias("gone"), F.sort_array(F.collect_list("place")).alias("places"))
 
 
-def measures(text: Column, shared: Column) -> Column:
-    """Base measures, words left without the shared lines, and the verdict, as a struct."""
+def measures(text: Column) -> Column:
+    """Base measures, as a struct."""
 
     def measured(x: Column) -> Column:
         words, lines = x["words"], x["lines"]
-        own = F.filter(lines, lambda line: ~F.coalesce(F.array_contains(shared, line_hash(line)), F.lit(False)))
-        left = F.when(shared.isNull(), F.size(words)).otherwise(
-            F.aggregate(own, F.lit(0), lambda a, line: a + F.regexp_count(line, F.lit(WORD)))
-        )
         return F.struct(
             F.size(words).cast("bigint").alias("n_words"),
             (F.length(text) - F.regexp_count(text, F.lit(r"[\x20\x09-\x0D]"))).cast("bigint").alias("word_chars"),
             F.regexp_count(text, F.lit(SYMBOL)).cast("bigint").alias("n_symbols"),
             (F.size(lines) - F.size(F.array_distinct(lines))).cast("bigint").alias("n_dup_lines"),
             repeated_words(words).alias("n_repeat_words"),
-            left.cast("bigint").alias("words_left"),
-        )
-
-    def verdict(m: Column) -> Column:
-        failed = (m["n_words"] < LEAST_WORDS) | (100 * m["n_repeat_words"] > MOST_REPEATED_PERCENT * m["n_words"])
-        names = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
-        return F.struct(
-            *[m[n].alias(n) for n in names],
-            failed.alias("base_failed"),
-            (~failed & (100 * m["words_left"] >= LEAST_LEFT_PERCENT * m["n_words"])).alias("kept"),
-            m["words_left"].alias("words_left"),
         )
 
     # Bound step by step, so that no text is split twice however the result is used.
     parts = F.struct(F.regexp_extract_all(text, F.lit(WORD), F.lit(0)).alias("words"), lines_of(text).alias("lines"))
-    return let(let(parts, measured), verdict)
+    return let(parts, measured)
+
+
+def verdict(m: Column, gone: Column) -> Column:
+    """The measures with base_failed, kept and the words left without those gone."""
+    failed = (m["n_words"] < LEAST_WORDS) | (100 * m["n_repeat_words"] > MOST_REPEATED_PERCENT * m["n_words"])
+    left = m["n_words"] - F.coalesce(gone, F.lit(0))
+    names = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
+    return F.struct(
+        *[m[n].alias(n) for n in names],
+        failed.alias("base_failed"),
+        (~failed & (100 * left >= LEAST_LEFT_PERCENT * m["n_words"])).alias("kept"),
+        left.alias("words_left"),
+    )
 
 
-def judged(docs: DataFrame, text_column: str = "text", host_column: str = "source") -> tuple[DataFrame, str]:
-    """docs with a struct of base measures, words left, base_failed and kept; its name."""
+def judged(docs: DataFrame, columns: list[str], text_column: str, host_column: str, percent: int) -> tuple[DataFrame, str, str]:
+    """Columns of docs with a struct of base measures, base_failed, kept and words left,
+    and the places of the lines above their limit; the names of these two."""
     text, host = F.coalesce(F.col(text_column), F.lit("")), host_of(F.col(host_column))
-    of, own, verdict = (unused(docs, name) for name in ("host", "shared", "rules"))
-    shared = write_staged(shared_lines(docs, text, host), "shared").withColumnsRenamed({"_host": of, "_shared": own})
-    rows = docs.withColumn(of, host).join(shared, of, "left")
-    return rows.withColumn(verdict, measures(text, F.col(own))).drop(of, own), verdict
-
-
-def quality_rules(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", host_column: str = "source") -> DataFrame:
+    found = lines_above(docs, text, host, percent)
+    own = {name: unused(docs, name) for name in ("host", *KEYS, "gone", "places", "rules")}
+    keys = [own[name] for name in ("host", *KEYS)]
+    # Measured before the join, so that a text moves only if columns has it.
+    rows = docs.withColumns({own["host"]: host, **{own[n]: k for n, k in text_keys(text).items()}, own["rules"]: measures(text)})
+    rows = rows.select(*columns, *keys, own["rules"]).join(found.withColumnsRenamed(own), keys, "left")
+    return rows.withColumn(own["rules"], verdict(F.col(own["rules"]), F.col(own["gone"]))), own["rules"], own["places"]
+
+
+def quality_rules(
+    docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", host_column: str = "source", line_percent: int = LINE_PERCENT
+) -> DataFrame:
     """doc_id, the base measures, base_failed, kept, and the words left."""
-    rows, verdict = judged(docs.select(id_column, text_column, host_column), text_column, host_column)
-    return rows.select(F.col(id_column).alias("doc_id"), f"{verdict}.*")
+    rows, verdicts, _ = judged(docs.select(id_column, text_column, host_column), [id_column], text_column, host_column, line_percent)
+    return rows.select(F.col(id_column).alias("doc_id"), f"{verdicts}.*")
 
 
-def keep_good(docs: DataFrame, text_column: str = "text", host_column: str = "source") -> DataFrame:
+def keep_good(docs: DataFrame, text_column: str = "text", host_column: str = "source", line_percent: int = LINE_PERCENT) -> DataFrame:
     """Rows of docs that are kept, with their columns as they are."""
-    rows, verdict = judged(docs, text_column, host_column)
-    return rows.filter(F.col(verdict)["kept"]).select(docs.columns)
+    rows, verdicts, _ = judged(docs, docs.columns, text_column, host_column, line_percent)
+    return rows.filter(F.col(verdicts)["kept"]).select(docs.columns)
