@@ -21,8 +21,9 @@ LINE_PERCENT = 0
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
-    """Documents that the rules keep."""
-    return rules.keep_good(docs, line_percent=LINE_PERCENT)
+    """Documents that the rules keep, without the lines that too many documents of their source hold."""
+    rows = rules.keep_good(docs, line_percent=LINE_PERCENT)
+    return rows.withColumn("n_chars", F.length("text").cast("bigint")).select(docs.columns)
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:

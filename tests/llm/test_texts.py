@@ -166,3 +166,25 @@ def test_lines_above_a_limit_of_documents_in_a_large_host(make_docs, prose):
     assert set(left.values()) == {60}
     left = {r["doc_id"]: r["words_left"] for r in rules.quality_rules(docs).collect()}
     assert sorted(set(left.values())) == [60, 130]
+
+
+def test_kept_documents_lose_the_lines_above_the_limit(make_docs, prose):
+    shared = prose(7, 55)
+    own = [prose(100 + i, 70) for i in range(30)]
+    texts = [f"{shared}\n{x}\n\n {shared.upper()} " for x in own[:15]] + [f"{x}\n{shared}\nlast {i}" for i, x in enumerate(own[15:])]
+    texts += [prose(300, 80)] * 3 + [shared + "\nlittle of its own"] * 2
+    rows = {r["doc_id"]: r["text"] for r in rules.keep_good(make_docs(texts).repartition(2)).collect()}
+    assert rows == {
+        **{i: own[i] + "\n" for i in range(15)},
+        **{15 + i: f"{x}\nlast {i}" for i, x in enumerate(own[15:])},
+        **{i: texts[i] for i in range(30, 33)},
+    }
+
+
+def test_pipeline_stage_of_rules_renews_the_length(spark, make_docs, prose):
+    import corpus_pipeline
+
+    texts = [prose(100 + i, 70) + "\n" + prose(7, 10) for i in range(30)]
+    rows = corpus_pipeline.quality_rules(spark, make_docs(texts), "").collect()
+    assert len(rows) == 30
+    assert all(r["text"] == prose(100 + r["doc_id"], 70) and r["n_chars"] == len(r["text"]) for r in rows)

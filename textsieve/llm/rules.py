@@ -112,6 +112,21 @@ def lines_above(docs: DataFrame, text: Column, host: Column, percent: int) -> Da
     return each.groupBy("host", *KEYS).agg(F.sum("words").alias("gone"), F.sort_array(F.collect_list("place")).alias("places"))
 
 
+def without_lines(text: Column, places: Column) -> Column:
+    """text without the lines at places (in order); as it is if places is null."""
+
+    def left(lines: Column, at: Column) -> Column:
+        # What stands between one place and the next.
+        edges = F.concat(F.array(F.lit(-1)), at, F.array(F.size(lines)))
+        between = F.transform(at, lambda x, k: F.slice(lines, F.get(edges, k) + 2, x - F.get(edges, k) - 1))
+        last = F.get(edges, F.size(at))
+        rest = F.slice(lines, last + 2, F.size(lines) - last - 1)
+        return F.array_join(F.concat(F.flatten(between), rest), "\n")
+
+    parts = F.struct(F.split(text, "\n", -1).alias("lines"), places.alias("at"))
+    return F.when(places.isNull(), text).otherwise(let(parts, lambda x: left(x["lines"], x["at"])))
+
+
 def measures(text: Column) -> Column:
     """Base measures, as a struct."""
 
@@ -165,6 +180,7 @@ def quality_rules(
 
 
 def keep_good(docs: DataFrame, text_column: str = "text", host_column: str = "source", line_percent: int = LINE_PERCENT) -> DataFrame:
-    """Rows of docs that are kept, with their columns as they are."""
-    rows, verdicts, _ = judged(docs, docs.columns, text_column, host_column, line_percent)
-    return rows.filter(F.col(verdicts)["kept"]).select(docs.columns)
+    """Rows of docs that are kept, their text without the lines above the limit; other columns as they are."""
+    rows, verdicts, places = judged(docs, docs.columns, text_column, host_column, line_percent)
+    kept = rows.filter(F.col(verdicts)["kept"])
+    return kept.withColumn(text_column, without_lines(F.col(text_column), F.col(places))).select(docs.columns)
