@@ -5,6 +5,7 @@ from collections import Counter
 
 import numpy as np
 
+from textsieve.llm import repeats
 from textsieve.llm.repeats import remove_repeats, sliding_least
 
 LENGTH = 400
@@ -62,3 +63,17 @@ def test_many_different_neighbours(make_docs, prose):
 def test_same_document_only(make_docs, prose):
     passage = prose(4, 100)
     same(make_docs, [passage + prose(5, 40) + passage])
+
+
+def test_a_run_of_one_character_is_looked_into_once(make_docs, prose, monkeypatch):
+    """Each start of a run is a phrase of its own with the same core; one place of each is enough."""
+    looked = []
+
+    def border_bytes(docs, length, make=repeats.border_bytes):
+        data = make(docs, length)
+        looked.append(data.count())
+        return data
+
+    monkeypatch.setattr(repeats, "border_bytes", border_bytes)
+    same(make_docs, [prose(1, 100) + "z" * 5000 + prose(2, 100), prose(3, 100) + "z" * 700 + prose(4, 100)])
+    assert looked[0] < 1000

@@ -14,7 +14,7 @@ by side just the same:
 - a core alone in its class: no string of the phrase occurs elsewhere;
 - a phrase that occurs twice: all of its strings do;
 - different phrases of one core: their strings are sorted one by one, those of
-  a repeated phrase from one document only.
+  a repeated phrase from one of its places only.
 So only phrases at the borders of repeated passages are looked into. The bytes
 of such phrases meet by core. Where a core has very many different phrases, they
 are cut into parts with longer cores of their own, and the strings of the parts
@@ -315,14 +315,15 @@ def repeated_ranges(rows: DataFrame, length: int) -> DataFrame:
         return df.select("doc_id", first.alias("first"), last.alias("last"))
 
     several = shared.filter("not same")
-    dictionary = several.groupBy("core", "whole").agg(F.count("*").alias("times"), F.min("doc_id").alias("one"))
+    dictionary = several.groupBy("core", "whole").agg(F.count("*").alias("times"), F.min(F.struct("doc_id", "place")).alias("one"))
     dictionary = write_staged(dictionary, "dictionary")
     sizes = write_staged(dictionary.groupBy("core").agg(F.count("*").alias("phrases")), "sizes")
     classes = write_staged(dictionary.join(sizes, "core"), "classes")
     found = write_staged(several.drop("same").join(classes, ["core", "whole"]), "found")
     whole = ranges(shared.filter("same")).union(ranges(found.filter("times > 1")))
 
-    at_border = found.filter("times = 1 or doc_id = one")
+    # All strings of a repeated phrase are settled, so that one place of it stands for the others.
+    at_border = found.filter("times = 1 or (doc_id = one.doc_id and place = one.place)")
     borders = at_border.groupBy("doc_id").agg(F.collect_list(F.struct("core", "phrases", "place")).alias("borders"))
     text = rows.join(borders, "doc_id").select("doc_id", "text", "borders")
     data = write_staged(border_bytes(text, length), "borders")
