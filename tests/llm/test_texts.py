@@ -188,3 +188,28 @@ def test_pipeline_stage_of_rules_renews_the_length(spark, make_docs, prose):
     rows = corpus_pipeline.quality_rules(spark, make_docs(texts), "").collect()
     assert len(rows) == 30
     assert all(r["text"] == prose(100 + r["doc_id"], 70) and r["n_chars"] == len(r["text"]) for r in rows)
+
+
+def test_short_items_are_found(spark, make_docs, prose):
+    items = ["17 * 23 = ?", "is it so", "\u56db\u4e2a\u5b57", "caf\u00e9", "a", "what is a noun?", "name the capital of it", "  "]
+    texts = ["So 17 * 23 = ? he asked", "this it so", "\u8fd9\u662f\u56db\u4e2a\u5b57\u5417", "two caf\u00e9s", "Caf\u00e9, caf\u00e9", "IS\tIT SO", "", "name teh capital of i"]
+    texts += ["x" * 30 + " name the kapital of it", "x a_a a\u0301 (a)", "217 * 23 = ?"]
+    benchmark = spark.createDataFrame(list(enumerate(items)), "item_id bigint, text string")
+    found = {tuple(r) for r in decontaminate.leaks(make_docs(texts), benchmark).collect()}
+    assert found == {(0, 0, 3, 14, 0), (2, 2, 6, 15, 0), (4, 3, 0, 5, 0), (4, 3, 7, 12, 0), (5, 1, 0, 8, 0), (8, 6, 31, 53, 1), (9, 4, 11, 12, 0)}
+
+
+def test_short_items_have_their_whole_budget(prose):
+    rng = random.Random(5)
+    texts = [normal(prose(700 + m, 20))[:m] for m in (19, 20, 21, 22, 23, 24, 39, 40)]
+    items = Items(list(enumerate(texts)))
+    assert items.edits.tolist() == [0, 1, 1, 1, 1, 1, 1, 2]
+    for trial in range(160):
+        i = rng.randrange(len(texts))
+        changed = bytearray(texts[i])
+        for _ in range(rng.randint(0, int(items.edits[i]) + 1)):
+            at = rng.randrange(len(changed))
+            rng.choice([lambda: changed.insert(at, 120), lambda: changed.pop(at), lambda: changed.__setitem__(at, 120)])()
+        text = b"zzz " + bytes(changed) + b" zzz"
+        least = edits(texts[i], text)
+        assert ((i, least) in [(j, n) for j, _, _, n in find(items, text)]) == (least <= items.edits[i])
