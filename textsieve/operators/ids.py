@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from textsieve.staging import write_staged
 
@@ -43,18 +43,23 @@ def number_file_rows(df: DataFrame, name: str) -> DataFrame:
     return rows.join(splits, "split").withColumn(name, F.col("shift") + F.col("seq")).drop("shift", "split")
 
 
-def rank_by_key(df: DataFrame, key: str, name: str) -> DataFrame:
-    """(key, rank) for a unique key, ranks dense from 1.
+def rank_rows(df: DataFrame, name: str, *order: Column | str) -> DataFrame:
+    """All rows with dense ranks from 1 in this order, no two the same.
 
-    Only the keys are sorted, by range over all tasks, and written with their
-    position; ranks are then the partition's offset plus the position in it.
+    Rows are sorted by range over all tasks and written with their position;
+    ranks are then the partition's offset plus the position in it.
     """
-    ordered = df.select(key).orderBy(key).select(key, F.monotonically_increasing_id().alias("seq"))
-    keys = write_staged(ordered, "keys").withColumn("part", F.shiftright("seq", _ROW_BITS))
-    counts = keys.groupBy("part").agg(F.count(F.lit(1)).alias("rows"))
+    ordered = df.orderBy(*order).withColumn("seq", F.monotonically_increasing_id())
+    rows = write_staged(ordered, "ordered").withColumn("part", F.shiftright("seq", _ROW_BITS))
+    counts = rows.groupBy("part").agg(F.count(F.lit(1)).alias("rows"))
     offsets = write_staged(_running_offset(counts, "part").drop("rows"), "offsets")
     position = F.col("seq").bitwiseAND(F.lit(_ROW_MASK))
-    return keys.join(offsets, "part").select(key, (F.col("before") + position + 1).alias(name))
+    return rows.join(offsets, "part").withColumn(name, F.col("before") + position + 1).drop("part", "seq", "before")
+
+
+def rank_by_key(df: DataFrame, key: str, name: str) -> DataFrame:
+    """(key, rank) for a unique key, ranks dense from 1. Only the keys are sorted."""
+    return rank_rows(df.select(key), name, key)
 
 
 def assign_ids(df: DataFrame, key: str, name: str = "id") -> DataFrame:
