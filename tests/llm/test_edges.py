@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from textsieve.llm import bpe, brown, cotrain, decontaminate, langid, licenses, lines, minhash, repeats, rules
+from textsieve.llm import bpe, brown, cotrain, decontaminate, langid, lexical, licenses, lines, maintext, minhash, repeats, resample, rules
 from textsieve.llm.queries import tokenizer
 
 SCHEMA = "doc_id bigint, text string, lang string, source string, n_chars bigint"
@@ -30,6 +30,7 @@ OPERATORS = {
     "cotrain": lambda s, d: cotrain.score_quality(d, labels(s)),
     "minhash": lambda s, d: minhash.near_duplicates(d, 2),
     "langid": lambda s, d: langid.identify(d),
+    "resample": lambda s, d: resample.resample(d, benchmark(s)),
     "bpe": lambda s, d: bpe.digests(d, *tokenizer()),
 }
 
@@ -80,6 +81,29 @@ def test_odd_rows_of_decontamination(spark, odd):
     assert decontaminate.decontaminate(odd, benchmark(spark)).columns == odd.columns
 
 
+def test_odd_rows_of_search(spark, odd):
+    rows = lexical.search(lexical.build_index(odd), benchmark(spark)).collect()
+    assert {r["item_id"] for r in rows} == {1}  # the item of null id has no word of the documents
+    assert len({r["rank"] for r in rows}) == len(rows) <= 10
+    again = spark.createDataFrame([(None, "plain"), (7, "plain"), (7, "PLAIN short"), (8, "id")], "item_id bigint, text string")
+    found = lexical.search(lexical.build_index(odd), again.withColumn("rank", F.lit("x"))).collect()
+    assert [(r["doc_id"], r["rank"]) for r in found if r["item_id"] is None] == [(6, 1), (6, 2)]
+    assert sorted(r["doc_id"] for r in found if r["item_id"] == 7) == [6] * 4
+    assert [r["doc_id"] for r in found if r["item_id"] == 8] == [None]
+    assert lexical.search(lexical.build_index(odd.limit(0)), benchmark(spark)).collect() == []
+    assert lexical.search(lexical.build_index(odd), benchmark(spark).limit(0)).collect() == []
+
+
+def test_odd_rows_of_main_text(spark):
+    long = "<article>" + "<p>word " * 50_000
+    rows = [(None, "u", "<p>a</p>"), (1, None, None), (2, "u", ""), (3, "u", long), (3, "u", long), (4, "u", "<" * 3000 + "&" * 3000), (5, "u", "<div>" * 20_000 + "</p>" * 20_000)]
+    pages = spark.createDataFrame(rows, "page_id bigint, url string, html string").withColumns({c: F.lit("x") for c in ("text", "n_chars", "words")})
+    found = maintext.main_text(pages).collect()
+    assert sorted(((r["page_id"], r["n_chars"]) for r in found), key=str) == [(1, 0), (2, 0), (3, 249_999), (3, 249_999), (4, 0), (5, 0), (None, 0)]
+    assert {r["url"] for r in found} == {None, "u"}
+    assert maintext.main_text(pages.limit(0)).collect() == []
+
+
 def test_values_of_odd_rows(spark, odd):
     repeated = {r["doc_id"]: r for r in repeats.remove_repeats(odd).collect()}
     assert (repeated[5]["n_bytes"], repeated[5]["n_removed"], repeated[5]["n_spans"]) == (8000, 8000, 1)
@@ -91,6 +115,8 @@ def test_values_of_odd_rows(spark, odd):
     assert [language[i]["lang_pred"] for i in (1, 2, 3)] == ["und"] * 3
     ruled = {r["doc_id"]: r for r in rules.quality_rules(odd).collect()}
     assert (ruled[1]["n_words"], ruled[1]["base_failed"], ruled[1]["kept"]) == (0, True, False)
+    drawn = {r["doc_id"]: r for r in resample.resample(odd, benchmark(spark)).collect()}
+    assert (drawn[1]["n_features"], drawn[1]["weight"], drawn[1]["rank"], drawn[5]["n_features"]) == (0, 0, None, 1)
     found = {r["doc_id"]: r for r in licenses.license_scan(odd).collect()}
     assert (found[1]["labels"], found[1]["first_word"], found[1]["score"]) == ("", None, 0.0)
 

@@ -15,7 +15,7 @@ FOLDER = "/root/testdata/sf0.001"
 
 def test_one_query_for_each_operator():
     numbers = sorted(int(re.match(r"op(\d+)_", name)[1]) for name in QUERIES)
-    assert numbers == list(range(1, 11))
+    assert numbers == list(range(1, 14))
     assert set(ORACLE) <= set(QUERIES)
     assert set(QUERIES) | {"pipeline"} <= set(entry.queries())
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import string
 
-from textsieve.llm import licenses
+from textsieve.llm import lexical, licenses, resample
 
 ORACLE: dict[str, str] = {}
 
@@ -136,3 +136,67 @@ SELECT doc_id, len(words)::BIGINT AS n_words, coalesce(n_base, 0)::BIGINT AS n_b
        CASE WHEN n_base > 0 THEN 1.0 ELSE coalesce(share, 0) END::DOUBLE AS score
 FROM d LEFT JOIN b USING (doc_id) LEFT JOIN l USING (doc_id)
 """
+
+_LOWER = f"translate(coalesce(text, ''), '{string.ascii_uppercase}', '{string.ascii_lowercase}')"
+
+ORACLE["op11_lexical_search"] = rf"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all({_LOWER}, '{lexical.TERM}') AS terms FROM documents
+), g AS (
+  SELECT count(*) AS docs, sum(len(terms))::BIGINT AS terms FROM d WHERE len(terms) > 0
+), q AS (
+  SELECT q, item_id, unnest(list_distinct(terms)) AS term
+  FROM (SELECT row_number() OVER () AS q, item_id, regexp_extract_all({_LOWER}, '{lexical.TERM}') AS terms FROM benchmark)
+), p AS (
+  SELECT r, doc_id, n, term, count(*) AS tf FROM (SELECT r, doc_id, len(terms) AS n, unnest(terms) AS term FROM d)
+  WHERE term IN (SELECT term FROM q) GROUP BY r, doc_id, n, term
+), w AS (
+  SELECT term, floor(1000 * ln((2 * any_value(docs) + 2)::DOUBLE / (2 * count(*) + 1)))::BIGINT AS w FROM p, g GROUP BY term
+), s AS (
+  SELECT q, item_id, r, doc_id,
+         sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * docs) // g.terms))))::BIGINT AS score
+  FROM p JOIN w USING (term) JOIN q USING (term), g GROUP BY q, item_id, r, doc_id
+), k AS (
+  SELECT item_id, row_number() OVER (PARTITION BY q ORDER BY score DESC, doc_id)::INT AS rank, doc_id, score FROM s WHERE score > 0
+)
+SELECT * FROM k WHERE rank <= 10
+"""
+
+# One step of CRC-32 for each value of a byte, then one per byte of a word.
+_STEP = "CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END"
+_BYTES = "list_transform(range(strlen(word)), lambda i: ('0x' || substr(hex(encode(word)), (2 * i + 1)::BIGINT, 2))::BIGINT)"
+
+ORACLE["op12_importance_resampling"] = rf"""
+WITH b AS (
+  SELECT list(list_reduce([v::BIGINT] || range(8), lambda c, x: {_STEP}) ORDER BY v) AS t FROM range(256) AS r(v)
+), d AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all({_LOWER}, '{resample.WORD}') AS words FROM documents
+), e AS (
+  SELECT unnest(regexp_extract_all({_LOWER}, '{resample.WORD}')) AS word FROM benchmark
+), f AS (
+  SELECT r, unnest(words) AS word FROM d
+), v AS (
+  SELECT word, xor(list_reduce([4294967295] || {_BYTES}, lambda c, x: xor(c >> 8, t[(xor(c, x) & 255) + 1])), 4294967295) % 10000 AS bucket
+  FROM (SELECT word FROM f UNION SELECT word FROM e), b
+), s AS (
+  SELECT bucket, count(*) AS s FROM f JOIN v USING (word) GROUP BY bucket
+), t AS (
+  SELECT bucket, count(*) AS t FROM e JOIN v USING (word) GROUP BY bucket
+), g AS (
+  SELECT bucket, floor(1000 * ln(((coalesce(t, 0) + 1)::DOUBLE * ((SELECT count(*) FROM f) + 10000))
+                                 / ((s + 1)::DOUBLE * ((SELECT count(*) FROM e) + 10000))))::BIGINT AS gain
+  FROM s LEFT JOIN t USING (bucket)
+), w AS (
+  SELECT r, sum(gain) AS weight FROM f JOIN v USING (word) JOIN g USING (bucket) GROUP BY r
+), c AS (
+  SELECT r, doc_id, len(words)::BIGINT AS n_features, coalesce(weight, 0)::BIGINT AS weight,
+         coalesce(weight, 0)::BIGINT + floor(-1000 * ln(-ln((('0x' || substr(sha256('2024:' || doc_id::VARCHAR), 1, 8))::BIGINT + 0.5::DOUBLE)
+                                                       / 4294967296)))::BIGINT AS score
+  FROM d LEFT JOIN w USING (r)
+), k AS (
+  SELECT r, row_number() OVER (ORDER BY score DESC, doc_id) AS rank FROM c WHERE n_features >= 20
+)
+SELECT doc_id, n_features, weight, score,
+       CASE WHEN rank <= (SELECT 10 * count(*) // 100 FROM k) THEN rank END::BIGINT AS rank
+FROM c LEFT JOIN k USING (r)
+"""

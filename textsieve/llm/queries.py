@@ -1,4 +1,4 @@
-"""The ten operators over their whole tables, and the pipeline, as queries."""
+"""The operators over their whole tables, and the pipeline, as queries."""
 
 from __future__ import annotations
 
@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from textsieve.llm import bpe, brown, cotrain, decontaminate, langid, licenses, lines, minhash, repeats, rules
+from textsieve.llm import bpe, brown, cotrain, decontaminate, langid, lexical, licenses, lines, maintext, minhash, repeats, resample, rules
 from textsieve.llm.common import documents
 
 
@@ -58,6 +58,18 @@ def op10_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.digests(documents(spark, folder), *tokenizer())
 
 
+def op11_lexical_search(spark: SparkSession, folder: str) -> DataFrame:
+    return lexical.search(lexical.build_index(documents(spark, folder)), spark.read.parquet(f"{folder}/benchmark.parquet"))
+
+
+def op12_importance_resampling(spark: SparkSession, folder: str) -> DataFrame:
+    return resample.resample(documents(spark, folder), spark.read.parquet(f"{folder}/benchmark.parquet"))
+
+
+def op13_main_text(spark: SparkSession, folder: str) -> DataFrame:
+    return maintext.main_text(spark.read.parquet(f"{folder}/pages.parquet"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_repeated_strings": op1_repeated_strings,
     "op2_line_dedup": op2_line_dedup,
@@ -69,4 +81,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_language_id": op8_language_id,
     "op9_brown_lm": op9_brown_lm,
     "op10_byte_bpe": op10_byte_bpe,
+    "op11_lexical_search": op11_lexical_search,
+    "op12_importance_resampling": op12_importance_resampling,
+    "op13_main_text": op13_main_text,
 }
