@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import string
 
-from checks.queries import CONFIG, INPUT_LIMIT, MADE_TEXT, SHARD_SIZE
+from checks.queries import CONFIG, INPUT_LIMIT, MADE_TEXT, NAME_PATTERNS, SHARD_SIZE
 from textsieve.config import STAGES
 from textsieve.functions import code, pii
 from textsieve.operators import language, toxicity
@@ -360,22 +360,66 @@ def _lines(limit: int | None = None) -> str:
     return f"SELECT id, original FROM ({numbered}) WHERE id <= {(limit + 1) // 2}"
 
 
-def _entities() -> str:
-    parts, text = [], "text"
-    for entity, (pattern, _) in pii.PATTERNS.items():
-        values = f"unnest(regexp_extract_all({text}, {quote(pattern)}))"
-        parts.append(f"SELECT doc_id, '{entity}' AS entity, {values} AS value FROM documents")
-        text = mask(text, entity)
-    return " UNION ALL ".join(parts)
+def _entities(then: str = "") -> str:
+    """CTEs found0, found1, … (r, entity, value, start, end) and, with all pattern matches blanked out, left(r, text).
+
+    A match is overwritten by as many "<" as it has characters, so that places in what is left are those in the text.
+    """
+    parts, text = ["text0 AS (SELECT row_number() OVER () AS r, doc_id, text FROM documents)"], "text0"
+    for n, (entity, (pattern, _)) in enumerate(pii.PATTERNS.items()):
+        parts.append(f"""cut{n} AS (
+            SELECT r, string_split_regex(text, {quote(pattern)}) AS p, regexp_extract_all(text, {quote(pattern)}) AS v FROM {text}
+        ), found{n} AS (
+            SELECT r, '{entity}' AS entity, v[i] AS value,
+                (list_sum(list_transform(p[1:i], lambda x: len(x))) + coalesce(list_sum(list_transform(v[1:i - 1], lambda x: len(x))), 0))::BIGINT AS start
+            FROM (SELECT *, unnest(range(1, len(v) + 1)) AS i FROM cut{n})
+        ), text{n + 1} AS (
+            SELECT r, array_to_string(list_transform(range(1, len(p) + 1), lambda i: p[i] || coalesce(repeat('<', len(v[i])), '')), '') AS text
+            FROM cut{n}
+        )""")
+        text = f"text{n + 1}"
+    union = " UNION ALL ".join(f"SELECT * FROM found{n}" for n in range(len(pii.PATTERNS)))
+    return f"WITH RECURSIVE {', '.join(parts)}, patterns AS ({union}) {then or _placed('patterns')}"
+
+
+def _placed(found: str) -> str:
+    return f'''SELECT doc_id, entity, value, start, start + len(value) AS "end" FROM {found} JOIN text0 USING (r)'''
+
+
+NAMES = " UNION ".join(
+    f"SELECT unnest(regexp_extract_all(text, {quote(pattern)})) AS phrase FROM conversations" for pattern in NAME_PATTERNS
+)
+
+
+def _entities_names() -> str:
+    """Names one after the other, longest first, each overwritten before the next is looked for."""
+    pattern = f"{quote(EDGE_BEFORE)} || phrase || {quote(EDGE_AFTER)}"
+    once = f"regexp_replace(text, {pattern}, '\\1' || repeat('<', len(phrase)) || '\\2', 'g')"
+    twice = f"regexp_replace({once}, {pattern}, '\\1' || repeat('<', len(phrase)) || '\\2', 'g')"
+    last = f"text{len(pii.PATTERNS)}"
+    return _entities(f""", names AS ({NAMES}), hits AS (
+        SELECT r, phrase, row_number() OVER (PARTITION BY r ORDER BY len(phrase) DESC, phrase) AS k
+        FROM text0 JOIN names ON contains(text, phrase)
+    ), steps AS (
+        SELECT r, 0 AS k, '' AS phrase, '' AS before, text FROM {last}
+        UNION ALL
+        SELECT r, hits.k, hits.phrase, text, {twice.replace('phrase', 'hits.phrase')} FROM steps JOIN hits USING (r) WHERE hits.k = steps.k + 1
+    ), tries AS (
+        SELECT r, phrase, before, text, string_split(before, phrase) AS p FROM steps WHERE text <> before
+    ), places AS (
+        SELECT *, (list_sum(list_transform(p[1:i], lambda x: len(x))) + (i - 1) * len(phrase))::BIGINT AS start
+        FROM (SELECT *, unnest(range(1, len(p))) AS i FROM tries)
+    ), found AS (
+        SELECT * FROM patterns
+        UNION ALL SELECT r, 'PERSON', phrase, start FROM places WHERE text[start + 1:start + len(phrase)] = repeat('<', len(phrase))
+    ) {_placed('found')}""")
 
 
 def _mask_person() -> str:
     pattern = f"{quote(EDGE_BEFORE)} || x || {quote(EDGE_AFTER)}"
     once = f"regexp_replace(masked, {pattern}, '\\1<PERSON>\\2', 'g')"
     twice = f"regexp_replace({once}, {pattern}, '\\1<PERSON>\\2', 'g')"
-    return f"""WITH names AS (
-        SELECT DISTINCT unnest(regexp_extract_all(text, '[A-Z][a-z]+ [A-Z][a-z]+')) AS phrase FROM conversations
-    ), hits AS (
+    return f"""WITH names AS ({NAMES}), hits AS (
         SELECT doc_id, list(phrase ORDER BY length(phrase) DESC, phrase) AS phrases
         FROM documents JOIN names ON contains(text, phrase) GROUP BY doc_id
     ), masked AS (
@@ -463,6 +507,7 @@ ORACLE: dict[str, str] = {
     "mask_location": """SELECT c_custkey, c_name || ' of <LOCATION>, <LOCATION>.' AS text, true AS named
         FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey""",
     "pii_entities": _entities(),
+    "pii_entities_names": _entities_names(),
     "neutralize_pronouns": columns(text=pronouns("text")),
     "conversation_pronouns": f"SELECT conv_id, turn, {pronouns('text')} AS text FROM conversations",
     "anonymized_flag": columns(anonymized=f"{pronouns(mask_patterns('text'))} <> text"),

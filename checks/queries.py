@@ -289,8 +289,7 @@ def toxicity_weights(spark, folder):
 
 
 def toxicity(spark, folder):
-    score = _toxicity(spark, folder)(F.col("text"))
-    return documents(spark, folder).select("doc_id", score.alias("toxicity"))
+    return tox.score_toxicity(documents(spark, folder), _toxicity(spark, folder), "doc_id")
 
 
 def toxicity_score(spark, folder):
@@ -320,15 +319,23 @@ def pii_entities(spark, folder):
     return entities.pii_entities(documents(spark, folder), "doc_id")
 
 
-def _capitalized_pairs(spark, folder):
-    """Stand-in for a list of names: pairs of capitalized words in conversations."""
-    pairs = F.regexp_extract_all("text", F.lit("([A-Z][a-z]+ [A-Z][a-z]+)"), F.lit(1))
-    found = table(spark, folder, "conversations").select(F.explode(pairs).alias("phrase")).distinct()
-    return found.select(F.lit("PERSON").alias("entity"), "phrase")
+def pii_entities_names(spark, folder):
+    """Names as well: each match with its place in the given text."""
+    return entities.pii_entities(documents(spark, folder), "doc_id", gazetteer=_names(spark, folder))
+
+
+# Stand-ins for names: starts of sentences in conversations, of two and of three words.
+NAME_PATTERNS = ("[A-Z][a-z]+ [a-z]+", "[A-Z][a-z]+ [a-z]+ [a-z]+")
+
+
+def _names(spark, folder):
+    found = F.concat(*(F.regexp_extract_all("text", F.lit(f"({pattern})"), F.lit(1)) for pattern in NAME_PATTERNS))
+    phrases = table(spark, folder, "conversations").select(F.explode(found).alias("phrase")).distinct()
+    return phrases.select(F.lit("PERSON").alias("entity"), "phrase")
 
 
 def mask_person(spark, folder):
-    masked = entities.mask_gazetteer(documents(spark, folder), _capitalized_pairs(spark, folder), "doc_id")
+    masked = entities.mask_gazetteer(documents(spark, folder), _names(spark, folder), "doc_id")
     return masked.select("doc_id", "text", "named")
 
 
@@ -528,6 +535,7 @@ QUERIES: dict[str, Query] = {
     "mask_person": mask_person,
     "mask_location": mask_location,
     "pii_entities": pii_entities,
+    "pii_entities_names": pii_entities_names,
     "neutralize_pronouns": _columns(text=pii.neutralize_pronouns),
     "conversation_pronouns": conversation_pronouns,
     "anonymized_flag": anonymized_flag,

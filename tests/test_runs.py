@@ -172,8 +172,8 @@ def test_bypass_makes_no_language_call(sample):
     assert found[5]["omit_reason"] is None and found[5]["lang"] is None
 
 
-def test_fitted_toxicity_in_mixed_slots(sample):
-    native = ToxicityModel(-3000, (("ugly", 9000),))
+def test_fitted_toxicity_in_mixed_slots(spark, sample):
+    native = ToxicityModel(-3000, spark.createDataFrame([("ugly", 9000)], "word string, w bigint"))
     for language in (LANGUAGE, None):
         found = by_id(prepare(sample, models=Models(language, native)))
         assert found[6]["omit_reason"] == "toxic_content"

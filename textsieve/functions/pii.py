@@ -5,6 +5,7 @@ The patterns hold no look-around, so that any SQL engine can check them.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, functions as F
@@ -72,20 +73,52 @@ def mask_patterns(text: Column) -> Column:
     return reduce(mask, PATTERNS, text)
 
 
-def pattern_values(text: Column) -> Column:
-    """array<struct<entity, value>> of every pattern match, in masking order."""
+def whole(text: Column) -> Column:
+    """One untouched piece. Pieces are array<struct<text, entity>>; their texts joined are the
+    original text, and those with an entity are its matches."""
+    return F.array(F.struct(text.alias("text"), F.lit(None).cast("string").alias("entity")))
+
+
+def cut(pieces: Column, pattern: Column, entity: Column, needed: Callable[[Column], Column]) -> Column:
+    """Cut the pattern's matches out of the untouched pieces for which needed holds.
+
+    Masks begin with "<" and end with ">", which no entity pattern can take in and
+    no word edge tells from the ends of a text. So the matches in the pieces are
+    those that would be found in the text with all earlier matches masked.
+    """
+
+    def parts(text: Column) -> Column:
+        between = F.split(text, pattern, -1)
+        found = F.regexp_extract_all(text, F.concat(F.lit("("), pattern, F.lit(")")), F.lit(1))
+        none = F.lit(None).cast("string")
+
+        def pair(before: Column, match: Column) -> Column:
+            return F.array(
+                F.struct(before.alias("text"), none.alias("entity")),
+                F.struct(match.alias("text"), entity.alias("entity")),
+            )
+
+        return F.filter(F.flatten(F.zip_with(between, found, pair)), lambda piece: piece["text"] != "")
+
+    def step(piece: Column) -> Column:
+        open_ = piece["entity"].isNull() & needed(piece["text"])
+        return F.when(open_, parts(piece["text"])).otherwise(F.array(piece))
+
+    return F.flatten(F.transform(pieces, step))
+
+
+def cut_patterns(text: Column) -> Column:
+    """Pieces of a text after all pattern entities, in masking order."""
+    pieces = whole(text)
+    for entity, (pattern, needed) in PATTERNS.items():
+        pieces = cut(pieces, F.lit(pattern), F.lit(entity), lambda part, needed=needed: part.rlike(needed))
+    return pieces
 
-    def found(entity: str, searched: Column) -> Column:
-        values = F.regexp_extract_all(searched, F.lit(f"({PATTERNS[entity][0]})"), F.lit(1))
-        return F.transform(
-            values, lambda value: F.struct(F.lit(entity).alias("entity"), value.alias("value"))
-        )
 
-    parts = []
-    for entity in PATTERNS:
-        parts.append(found(entity, text))
-        text = mask(text, entity)
-    return F.concat(*parts)
+def masked_pieces(pieces: Column) -> Column:
+    """The text with each match replaced by its mask."""
+    shown = F.transform(pieces, lambda piece: F.coalesce(F.concat(F.lit("<"), piece["entity"], F.lit(">")), piece["text"]))
+    return F.array_join(shown, "")
 
 
 def changed(masked: Column, text: Column) -> Column:

@@ -2,27 +2,20 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from textsieve.functions.classes import NOT_AFTER_WORD, NOT_BEFORE_WORD, WORD_SET
-from textsieve.functions.pii import ENTITIES, changed, pattern_values
+from textsieve.functions.pii import ENTITIES, changed, cut, cut_patterns
+from textsieve.staging import write_staged
 
 
 def name_words(text: Column) -> Column:
     return F.regexp_extract_all(text, F.lit(f"([{WORD_SET}]+)"), F.lit(1))
 
 
-def _word_runs(words: Column, longest: int) -> Column:
-    """Distinct runs of 1 to longest words."""
-
-    def runs(length: int) -> Column:
-        starts = F.sequence(F.lit(1), F.size(words) - (length - 1))
-        return F.when(
-            F.size(words) >= length,
-            F.transform(starts, lambda at: F.array_join(F.slice(words, at, length), " ")),
-        ).otherwise(F.array().cast("array<string>"))
-
-    return F.array_distinct(F.flatten(F.array(*(runs(n) for n in range(1, longest + 1)))))
+def _different_words(df: DataFrame, text: str, *columns: str) -> DataFrame:
+    """One row for each different word of a row's text."""
+    return df.select(*columns, F.explode(F.array_distinct(name_words(F.col(text)))).alias("word"))
 
 
 def gazetteer_hits(
@@ -30,27 +23,29 @@ def gazetteer_hits(
 ) -> DataFrame:
     """(id, names): names is array<struct<entity, phrase>>, the gazetteer names a text may hold.
 
-    Texts meet the gazetteer (entity, phrase) by equality of word runs, so its
-    size decides between broadcast and shuffle, and no text moves. Ids without a
-    name are left out.
+    A name is filed under that word of it which the fewest texts hold. Texts give
+    out single words, at most one row for each different word of theirs that is in
+    some name, however long the names are; a text that holds a name's rarest word
+    is a candidate, and the name itself is looked for in place when it is masked.
+    Texts meet the words by equality, so the gazetteer's size decides between
+    broadcast and shuffle, and no text moves. Ids without a candidate are left out.
     """
     names = gazetteer.select("entity", "phrase").distinct()
-    names = names.withColumn("run", F.array_join(name_words(F.col("phrase")), " ")).filter("run <> ''")
-    longest = names.agg(F.max(F.size(F.split("run", " ")))).first()[0] or 1
-    words = df.select(F.col(id_col), name_words(F.col(text)).alias("words"))
-    runs = words.select(id_col, F.explode(_word_runs(F.col("words"), longest)).alias("run"))
-    return (
-        runs.join(names, "run")
-        .groupBy(id_col)
-        .agg(F.collect_set(F.struct("entity", "phrase")).alias("names"))
-    )
-
-
-def mask_names(text: Column, names: Column) -> Column:
-    """Replace whole-word occurrences of the names, longest name first."""
-    ordered = F.array_sort(
+    parts = write_staged(_different_words(names, "phrase", "entity", "phrase"), "name-parts")
+    known = parts.select("word").distinct()
+    seen = write_staged(_different_words(df, text, id_col).join(known, "word", "left_semi"), "words-of-names")
+    texts = seen.groupBy("word").agg(F.count(F.lit(1)).alias("texts"))
+    rarest = F.min(F.struct(F.coalesce("texts", F.lit(0)).alias("texts"), F.col("word")))
+    filed = parts.join(texts, "word", "left").groupBy("entity", "phrase").agg(rarest["word"].alias("word"))
+    return seen.join(filed, "word").groupBy(id_col).agg(F.collect_set(F.struct("entity", "phrase")).alias("names"))
+
+
+def _in_order(names: Column, text: Column) -> Column:
+    """The names that the text holds, longest first."""
+    held = F.filter(names, lambda name: F.contains(text, name["phrase"]))
+    return F.array_sort(
         F.transform(
-            names,
+            held,
             lambda n: F.struct(
                 (-F.length(n["phrase"])).alias("longest_first"),
                 n["phrase"].alias("phrase"),
@@ -59,15 +54,31 @@ def mask_names(text: Column, names: Column) -> Column:
         )
     )
 
+
+def _whole_word(name: Column) -> Column:
+    quoted = F.replace(name["phrase"], F.lit(r"\E"), F.lit(r"\E\\E\Q"))
+    # A phrase that is itself the name of a mask must not be found inside one.
+    inside = name["phrase"].isin(*ENTITIES)
+    before = F.when(inside, F.lit("(?<!<)")).otherwise(F.lit(""))
+    return F.concat(before, F.lit(NOT_AFTER_WORD + r"\Q"), quoted, F.lit(r"\E" + NOT_BEFORE_WORD))
+
+
+def mask_names(text: Column, names: Column) -> Column:
+    """Replace whole-word occurrences of the names, longest name first."""
+
     def replace(masked: Column, name: Column) -> Column:
-        quoted = F.replace(name["phrase"], F.lit(r"\E"), F.lit(r"\E\\E\Q"))
-        # A phrase that is itself the name of a mask must not be found inside one.
-        inside = name["phrase"].isin(*ENTITIES)
-        before = F.when(inside, F.lit("(?<!<)")).otherwise(F.lit(""))
-        pattern = F.concat(before, F.lit(NOT_AFTER_WORD + r"\Q"), quoted, F.lit(r"\E" + NOT_BEFORE_WORD))
-        return F.regexp_replace(masked, pattern, F.concat(F.lit("<"), name["entity"], F.lit(">")))
+        return F.regexp_replace(masked, _whole_word(name), F.concat(F.lit("<"), name["entity"], F.lit(">")))
+
+    return F.when(names.isNotNull(), F.aggregate(_in_order(names, text), text, replace)).otherwise(text)
+
+
+def cut_names(pieces: Column, text: Column, names: Column) -> Column:
+    """Cut the names out of a text's untouched pieces, longest name first."""
 
-    return F.when(names.isNotNull(), F.aggregate(ordered, text, replace)).otherwise(text)
+    def step(done: Column, name: Column) -> Column:
+        return cut(done, _whole_word(name), name["entity"], lambda part: F.contains(part, name["phrase"]))
+
+    return F.when(names.isNotNull(), F.aggregate(_in_order(names, text), pieces, step)).otherwise(pieces)
 
 
 def mask_gazetteer(
@@ -84,7 +95,34 @@ def mask_gazetteer(
     )
 
 
-def pii_entities(df: DataFrame, id_col: str = "id", text: str = "text") -> DataFrame:
-    """Long table (id, entity, value), one row per match of a pattern entity."""
-    found = df.select(F.col(id_col), F.explode(pattern_values(F.col(text))).alias("found"))
-    return found.select(id_col, "found.entity", "found.value")
+def pii_entities(
+    df: DataFrame, id_col: str = "id", text: str = "text", gazetteer: DataFrame | None = None
+) -> DataFrame:
+    """Long table (id, entity, value, start, end), one row per match, with its place in the
+    original text (characters from 0, end excluded).
+
+    Matches are those that masking replaces: pattern entities in their order, then
+    the gazetteer's names, longest first; none overlaps another. A text is cut into
+    pieces once per entity, and a place is the running length of the pieces before
+    it: short rows, of texts that hold a match alone, go to a window per text.
+    """
+    original = F.col(text)
+    if gazetteer is None:
+        rows, pieces = df, cut_patterns(original)
+    else:
+        rows = df.join(gazetteer_hits(df, gazetteer, id_col, text), id_col, "left")
+        pieces = cut_names(cut_patterns(original), original, F.col("names"))
+    row = F.monotonically_increasing_id().alias("_row")
+    cuts = rows.select(F.col(id_col), row, pieces.alias("_pieces"))
+    matched = cuts.filter(F.exists("_pieces", lambda piece: piece["entity"].isNotNull()))
+    listed = matched.select(id_col, "_row", F.posexplode("_pieces").alias("_at", "_piece")).select(
+        id_col,
+        "_row",
+        "_at",
+        F.length("_piece.text").alias("_length"),
+        F.col("_piece.entity").alias("entity"),
+        F.when(F.col("_piece.entity").isNotNull(), F.col("_piece.text")).alias("value"),
+    )
+    so_far = Window.partitionBy("_row").orderBy("_at").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    placed = listed.withColumn("end", F.sum("_length").over(so_far)).filter(F.col("entity").isNotNull())
+    return placed.select(id_col, "entity", "value", (F.col("end") - F.col("_length")).alias("start"), "end")

@@ -30,7 +30,7 @@ from textsieve.functions.quality import preliminary_reason
 from textsieve.operators.dedup import later_copies
 from textsieve.operators.entities import gazetteer_hits, mask_names
 from textsieve.operators.language import LanguageProfile, detect_language, language_reason
-from textsieve.operators.toxicity import toxicity_reason
+from textsieve.operators.toxicity import ToxicityModel, score_toxicity, toxicity_reason
 from textsieve.staging import write_staged
 
 Step = Callable[[DataFrame, int], DataFrame]
@@ -244,11 +244,18 @@ def language_step(model: LanguageProfile | ColumnModel | None, wanted: str = "en
     return step
 
 
-def toxicity_step(model: ColumnModel | None, threshold: float) -> Step:
+def toxicity_step(model: ToxicityModel | ColumnModel | None, threshold: float) -> Step:
+    """Omit live rows above the threshold. A fitted model is met on a narrow table, as in language_step."""
+
     def step(rows: DataFrame, number: int) -> DataFrame:
         if model is None:
             return rows
-        rows = rows.withColumn("toxicity", model(live(F.col("cleaned"))))
+        if isinstance(model, ToxicityModel):
+            rows = write_staged(rows, "rows")
+            scores = score_toxicity(rows.filter(alive()), model, text="cleaned")
+            rows = rows.join(scores, "id", "left")
+        else:
+            rows = rows.withColumn("toxicity", model(live(F.col("cleaned"))))
         reason = toxicity_reason(F.col("toxicity"), threshold)
         return filter_step(reason)(rows, number).drop("toxicity")
 

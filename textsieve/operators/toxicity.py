@@ -8,7 +8,8 @@ from math import log
 from pyspark.sql import Column, DataFrame, Row, functions as F
 
 from textsieve.functions.attributes import tokenize
-from textsieve.operators.scoring import MILLI, milli_log
+from textsieve.operators.scoring import MILLI, milli_log, sum_weights
+from textsieve.staging import write_staged
 
 # Fixed values of the fit: pseudo-count, and the least chi-square of a word that is kept.
 SMOOTHING = 5.0
@@ -17,24 +18,27 @@ LEAST_EVIDENCE = 30.0
 
 @dataclass(frozen=True)
 class ToxicityModel:
-    """Thousandths of a natural logarithm: the prior, and the weight of each word with enough evidence."""
+    """Thousandths of a natural logarithm: the prior, and a table (word, w) of the weight of
+    each word with enough evidence. The table may have any size; it never leaves the executors."""
 
     prior: int
-    weights: tuple[tuple[str, int], ...]
+    weights: DataFrame
 
-    def __call__(self, text: Column) -> Column:
-        """Score in [0, 1]. The words are few, so a row is scored where it is, without a join."""
 
-        def add(total: Column, word: Column) -> Column:
-            weight = F.lit(0)
-            for known, value in self.weights:
-                weight = F.when(word == known, value).otherwise(weight)
-            return (total + weight).cast("bigint")
+def score_toxicity(df: DataFrame, model: ToxicityModel, id_col: str = "id", text: str = "text") -> DataFrame:
+    """(id, toxicity): score in [0, 1], each different word of a text counted once; null for a null text.
 
-        words = [word for word, _ in self.weights]
-        known = F.array_distinct(F.filter(tokenize(text), lambda word: word.isin(*words)))
-        logit = F.aggregate(known, F.lit(self.prior).cast("bigint"), add) / F.lit(float(MILLI))
-        return 1 / (1 + F.exp(-logit))
+    The weights meet the texts' words by equality, so their size decides between
+    broadcast and shuffle. No text moves: words are given out inside the task and
+    summed per id.
+    """
+    weights = model.weights.select(F.col("word").alias("bucket"), "w")
+    present = df.filter(F.col(text).isNotNull())
+    sums = sum_weights(present, id_col, F.array_distinct(tokenize(F.col(text))), weights, ["w"])
+    logit = (F.col("w") + model.prior) / F.lit(float(MILLI))
+    scored = sums.select(id_col, (1 / (1 + F.exp(-logit))).alias("toxicity"))
+    missing = df.filter(F.col(text).isNull()).select(id_col, F.lit(None).cast("double").alias("toxicity"))
+    return scored.unionByName(missing)
 
 
 def _class_sizes(texts: DataFrame, toxic: str) -> Row:
@@ -83,9 +87,9 @@ def toxicity_weights(
 
 
 def fit_toxicity(labelled: DataFrame, text: str = "text", toxic: str = "toxic") -> ToxicityModel:
+    """The weights are written, so that their real size is known wherever they are used."""
     prior, weights = toxicity_weights(labelled, text, toxic)
-    # Words with evidence only: few, however long the texts are.
-    return ToxicityModel(prior, tuple(sorted((row["word"], row["w"]) for row in weights.collect())))
+    return ToxicityModel(prior, write_staged(weights, "toxicity-weights"))
 
 
 def toxicity_reason(score: Column, threshold: float) -> Column:

@@ -38,6 +38,7 @@ from textsieve.operators.steps import (
     run_steps,
     toxicity_step,
 )
+from textsieve.operators.toxicity import ToxicityModel, score_toxicity, toxicity_reason
 from textsieve.staging import write_staged
 
 STAGE_NUMBER = {name: number for number, name in enumerate(STAGES, 1)}
@@ -45,14 +46,14 @@ STAGE_NUMBER = {name: number for number, name in enumerate(STAGES, 1)}
 
 @dataclass(frozen=True)
 class Models:
-    """What stages 7-9 use. Language and toxicity are functions from a text Column to a
-    label or score Column, such as a pandas UDF or a fitted ToxicityModel; language
-    may also be a fitted LanguageProfile. entities maps text to array<struct<entity, start, end>>; gazetteer is a table
+    """What stages 7-9 use. Language and toxicity are a fitted LanguageProfile and ToxicityModel,
+    or functions from a text Column to a label or score Column, such as a batch_model.
+    entities maps text to array<struct<entity, start, end>>; gazetteer is a table
     (entity, phrase). An empty slot leaves its part out.
     """
 
     language: LanguageProfile | ColumnModel | None = None
-    toxicity: ColumnModel | None = None
+    toxicity: ToxicityModel | ColumnModel | None = None
     entities: ColumnModel | None = None
     gazetteer: DataFrame | None = None
 
@@ -84,7 +85,8 @@ def base_rows(records: DataFrame, config: PrepConfig = PrepConfig()) -> DataFram
 
 
 def _verdicts(base: DataFrame, config: PrepConfig, models: Models, later: DataFrame) -> DataFrame:
-    """(id, omit_reason, omit_stage, lang) of rows omitted as copies or by the language profile."""
+    """(id, omit_reason, omit_stage, lang, toxic) of rows omitted as copies or by the language
+    profile, and of rows that a fitted toxicity model puts above the threshold."""
     living = base.filter(alive())
     rows = living.select("id", "lang", "omit_reason", "omit_stage")
     rows = rows.join(later.withColumn("_later", F.lit(True)), "id", "left")
@@ -93,7 +95,14 @@ def _verdicts(base: DataFrame, config: PrepConfig, models: Models, later: DataFr
         labels = detect_language(living, models.language, text="cleaned")
         rows = rows.drop("lang").join(labels, "id", "left").withColumn("lang", live(F.col("lang")))
         rows = filter_step(language_reason(F.col("lang"), ENGLISH))(rows, STAGE_NUMBER["language"])
-    return rows.filter(~alive()).select("id", "omit_reason", "omit_stage", "lang")
+    toxic = F.lit(False)
+    if isinstance(models.toxicity, ToxicityModel):
+        scores = score_toxicity(living, models.toxicity, text="cleaned")
+        above = scores.filter(toxicity_reason(F.col("toxicity"), config.toxicity_threshold).isNotNull())
+        rows = rows.join(above.select("id", F.lit(True).alias("_toxic")), "id", "left")
+        toxic = F.coalesce("_toxic", F.lit(False))
+    found = rows.withColumn("toxic", toxic).filter(~alive() | F.col("toxic"))
+    return found.select("id", "omit_reason", "omit_stage", "lang", "toxic")
 
 
 def prepare(
@@ -126,6 +135,7 @@ def prepare(
             F.col("omit_reason").alias("_reason"),
             F.col("omit_stage").alias("_stage"),
             F.col("lang").alias("_lang"),
+            F.col("toxic").alias("_toxic"),
         )
         rows = base.drop("fingerprint").join(found, "id", "left")
         rows = rows.withColumns(
@@ -141,8 +151,11 @@ def prepare(
                 rows = rows.withColumn("lang", F.coalesce(F.col("lang"), live(F.lit(ENGLISH))))
             else:
                 rows = language_step(models.language, ENGLISH)(rows, STAGE_NUMBER["language"])
-        toxicity = toxicity_step(models.toxicity, config.toxicity_threshold)
-        rows = toxicity(rows, STAGE_NUMBER["toxicity"])
+        if isinstance(models.toxicity, ToxicityModel):
+            toxicity = filter_step(F.when(F.col("_toxic"), "toxic_content"))
+        else:
+            toxicity = toxicity_step(models.toxicity, config.toxicity_threshold)
+        rows = toxicity(rows, STAGE_NUMBER["toxicity"]).drop("_toxic")
         if models.gazetteer is not None:
             hits = gazetteer_hits(base.filter(alive()), models.gazetteer, text="cleaned")
             rows = rows.join(hits, "id", "left")
