@@ -546,6 +546,23 @@ ORACLE: dict[str, str] = {
             count(*) FILTER (omit_stage = stage) AS omits
         FROM stages CROSS JOIN rows GROUP BY ALL
     ) SELECT *, round(CASE WHEN rows_in > 0 THEN omits * 100.0 / rows_in ELSE 0 END, 6) AS omit_percent FROM funnel""",
+    "step_measures": f"""{CHAIN}, stages(stage, name) AS (VALUES {_STAGES})
+        SELECT stage, name, count(*) FILTER (omit_stage IS NULL OR omit_stage >= stage) AS rows_in,
+            count(*) FILTER (omit_stage = stage) AS omits, true AS timed
+        FROM stages CROSS JOIN rows GROUP BY ALL""",
+    "insight_times": f"""{CHAIN}, stages(stage, name) AS (VALUES {_STAGES})
+        SELECT name, count(*) FILTER (omit_stage IS NULL OR omit_stage >= stage) AS number_of_calls, true AS timed
+        FROM stages CROSS JOIN rows GROUP BY ALL""",
+    "measured_chain": f"{CHAIN} {_OUTPUT}",
+    "insight_document": f"""{CHAIN}, stages(stage, name) AS (VALUES {_STAGES}), funnel AS (
+        SELECT stage, name, count(*) FILTER (omit_stage IS NULL OR omit_stage >= stage) AS calls,
+            count(*) FILTER (omit_stage = stage) AS omits
+        FROM stages CROSS JOIN rows GROUP BY ALL
+    ), omitted AS (SELECT omit_reason, count(*) AS n FROM rows WHERE omit_reason IS NOT NULL GROUP BY 1)
+    SELECT '{{"omit_reasons":{{' || (SELECT string_agg('"' || omit_reason || '":' || n, ',' ORDER BY omit_reason) FROM omitted)
+        || '}},"steps":{{' || (SELECT string_agg('"' || name || '":{{"number_of_calls":' || calls || ',"number_of_omits":' || omits
+            || ',"omit_percentage":' || CASE WHEN calls > 0 THEN omits::DOUBLE * 100.0 / calls ELSE 0.0::DOUBLE END::VARCHAR || '}}',
+            ',' ORDER BY stage) FROM funnel) || '}}}}' AS insights""",
     "insight_steps": f"""{CHAIN}, stages(stage, name) AS (VALUES {_STAGES}), funnel AS (
         SELECT stage, name, count(*) FILTER (omit_stage IS NULL OR omit_stage >= stage) AS number_of_calls,
             count(*) FILTER (omit_stage = stage) AS number_of_omits

@@ -27,6 +27,7 @@ from textsieve.operators.steps import (
 from textsieve.operators import toxicity as tox
 from textsieve.operators.toxicity import ToxicityModel, fit_toxicity, toxicity_reason
 from textsieve.plans import reports
+from textsieve.plans.measure import StepMeasure, measured_run
 from textsieve.plans.prepare import Models, Timings, kept_rows, omitted_rows, prepare
 from textsieve.sources import jsonl, outputs
 from textsieve.staging import new_path, write_staged
@@ -41,6 +42,7 @@ INPUT_LIMIT = 300
 
 # Results of the default plan, fitted models included, by session and table folder.
 _runs: dict[tuple[str, str], tuple[DataFrame, Timings, Models]] = {}
+_measured_runs: dict[tuple[str, str], tuple[DataFrame, list[StepMeasure]]] = {}
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -230,15 +232,20 @@ ARRIVALS = 3
 
 
 def _arriving(spark, folder) -> DataFrame:
-    """All documents as a stream of one file per batch, in id order."""
+    """All documents as a stream of several batches, in id order; files keep the partitions they come from."""
     docs = table(spark, folder, "documents").select("doc_id", "text")
     low, high = docs.agg(F.min("doc_id"), F.max("doc_id")).first()
     path = new_path(spark, "arriving")
+    files = 0
     for part in range(ARRIVALS):
         start = low + (high + 1 - low) * part // ARRIVALS
         stop = low + (high + 1 - low) * (part + 1) // ARRIVALS
-        docs.filter((F.col("doc_id") >= start) & (F.col("doc_id") < stop)).coalesce(1).write.mode("append").parquet(path)
-    return spark.readStream.schema(docs.schema).option("maxFilesPerTrigger", 1).parquet(path)
+        rows = (F.col("doc_id") >= start) & (F.col("doc_id") < stop)
+        if part == 0:
+            rows = rows | F.col("doc_id").isNull()
+        docs.filter(rows).write.mode("append").parquet(path)
+        files = max(files, len(spark.read.parquet(path).inputFiles()) - files)
+    return spark.readStream.schema(docs.schema).option("maxFilesPerTrigger", max(files, 1)).parquet(path)
 
 
 def stream_dedup(spark, folder):
@@ -325,7 +332,7 @@ def pii_entities_names(spark, folder):
 
 
 # Stand-ins for names: starts of sentences in conversations, of two and of three words.
-NAME_PATTERNS = ("[A-Z][a-z]+ [a-z]+", "[A-Z][a-z]+ [a-z]+ [a-z]+")
+NAME_PATTERNS = ("[A-Z][a-z]{2,} [a-z]{3,}", "[A-Z][a-z]+ [a-z]+ [a-z]+")
 
 
 def _names(spark, folder):
@@ -425,9 +432,48 @@ def insight_steps(spark, folder):
     return steps.withColumn("omit_percentage", F.round("omit_percentage", 6))
 
 
-def stage_timing(spark, folder):
+def measured(spark, folder):
+    """The nine steps over documents with the models of the plan, each timed. Its result serves a session."""
+    key = (spark.sparkContext.applicationId, folder)
+    if key not in _measured_runs:
+        models = run(spark, folder)[2]
+        _measured_runs[key] = measured_run(as_records(documents(spark, folder), "doc_id"), CONFIG, models)
+    return _measured_runs[key]
+
+
+def part_timing(spark, folder):
     rows, timings, _ = run(spark, folder)
-    return reports.stage_timing(rows, timings.seconds)
+    return reports.part_timing(rows, timings.seconds)
+
+
+def stage_timing(spark, folder):
+    return reports.stage_timing(spark, measured(spark, folder)[1])
+
+
+def step_measures(spark, folder):
+    """The observed counts of each step, and whether its time was taken."""
+    return stage_timing(spark, folder).select("stage", "name", "rows_in", "omits", (F.col("seconds") > 0).alias("timed"))
+
+
+def measured_chain(spark, folder):
+    rows = measured(spark, folder)[0]
+    return rows.select("id", "lang", "omit_reason", "omit_stage", "anonymized", "cleaned")
+
+
+def insight_document(spark, folder):
+    """The whole document but for its times."""
+    return reports.insights(run(spark, folder)[0])
+
+
+def insight_times(spark, folder):
+    """Of each step in the document of a measured run: its calls, and whether its times fit them."""
+    rows, measures = measured(spark, folder)
+    step = "struct<number_of_calls: bigint, total_time_seconds: double, average_time_per_call_seconds: double>"
+    parsed = reports.insights(rows, measures=measures).select(F.from_json("insights", f"steps map<string, {step}>").alias("i"))
+    steps = parsed.select(F.explode("i.steps").alias("name", "step")).select("name", "step.*")
+    total = F.col("average_time_per_call_seconds") * F.col("number_of_calls")
+    fits = (F.col("total_time_seconds") > 0) & (F.abs(total - F.col("total_time_seconds")) < 1e-6)
+    return steps.select("name", "number_of_calls", fits.alias("timed"))
 
 
 def stage_funnel(spark, folder):
@@ -556,6 +602,11 @@ QUERIES: dict[str, Query] = {
     "omit_reason_share": omit_reason_share,
     "stage_funnel": stage_funnel,
     "stage_timing": stage_timing,
+    "part_timing": part_timing,
+    "step_measures": step_measures,
+    "measured_chain": measured_chain,
+    "insight_document": insight_document,
+    "insight_times": insight_times,
     "length_series": _report(reports.length_series),
     "length_histogram": length_histogram,
     "kept_flag_shares": kept_flag_shares,

@@ -19,7 +19,7 @@ def test_entry(spark):
 
 def test_every_sql_has_a_query():
     assert set(entry.oracle_sql()) <= set(entry.queries())
-    assert set(QUERIES) - set(ORACLE) == {"insight_json", "stage_timing"}
+    assert set(QUERIES) - set(ORACLE) == {"insight_json", "stage_timing", "part_timing"}
 
 
 @pytest.mark.parametrize(

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import re
 from pathlib import Path
 
 import pytest
@@ -13,6 +14,7 @@ from textsieve.functions.fingerprint import fingerprint
 from textsieve.operators.steps import as_records, run_steps
 from textsieve.operators.toxicity import ToxicityModel
 from textsieve.plans import reports
+from textsieve.plans.measure import measured_run
 from textsieve.plans.prepare import Models, Timings, base_rows, kept_rows, omitted_rows, prepare
 from textsieve.sources import jsonl, outputs
 from textsieve.streaming import incremental
@@ -109,6 +111,20 @@ def test_limit_leaves_later_files_closed(spark, tmp_path):
     assert jsonl.read_jsonl(spark, str(tmp_path), 15).count() == 15
 
 
+def test_jobs_grow_with_the_logarithm_of_the_files(spark, tmp_path):
+    for i in range(40):
+        (tmp_path / f"f {i:02}.jsonl").write_text('{"text": "t"}\n' * (i % 3))
+    context = spark.sparkContext
+    for lines, files, most in ((1, 2, 2), (30, 30, 5), (39, 39, 6), (1000, 40, 6)):
+        context.setJobGroup(f"count {lines}", "")
+        found = jsonl.first_files(spark, str(tmp_path), lines)
+        assert len(found) == files
+        # A count is one job, or two where the result of its shuffle is read by another.
+        assert len(context.statusTracker().getJobIdsForGroup(f"count {lines}")) <= 2 * most + 2
+    context.setLocalProperty("spark.jobGroup.id", None)
+    assert jsonl.read_jsonl(spark, str(tmp_path), 30).count() == 30
+
+
 @pytest.fixture(scope="module")
 def sample(spark):
     texts = [
@@ -214,9 +230,21 @@ def test_outputs(spark, rows, tmp_path):
     assert insights["seconds"] == {"all": 1.5}
 
 
-def test_shards_hold_whole_files(spark, rows, tmp_path):
-    outputs.write_shards(rows, str(tmp_path / "s"), 2)
-    assert len(list(Path(tmp_path, "s", "shard=0").glob("*.json"))) == 1
+def test_each_shard_is_one_file(spark, tmp_path):
+    """Also where the keys' order is uneven and shards are many."""
+    n = 1003
+    rows = spark.range(0, n * n, n).selectExpr(
+        "id", "'t' AS cleaned", "false AS anonymized", "false AS html_extracted", "CAST(NULL AS STRING) AS omit_reason", "true AS kept"
+    )
+    outputs.write_shards(rows, str(tmp_path / "s"), 50)
+    folders = sorted(Path(tmp_path, "s").glob("shard=*"), key=lambda p: int(p.name[6:]))
+    assert [p.name for p in folders] == [f"shard={i}" for i in range(21)]
+    held = []
+    for folder in folders:
+        (file,) = folder.glob("*.json")
+        held.append([json.loads(line)["id"] for line in file.read_text().splitlines()])
+    assert [len(ids) for ids in held] == [50] * 20 + [3]
+    assert [i for ids in held for i in ids] == [i * n for i in range(n)]
 
 
 def test_no_kept_rows(spark, records, tmp_path):
@@ -265,11 +293,34 @@ def test_histogram_like_numpy(spark):
 def test_timings(rows, sample):
     timings = Timings()
     prepare(sample, timings=timings)
-    table = reports.stage_timing(rows, timings.seconds).collect()
+    table = reports.part_timing(rows, timings.seconds).collect()
     assert [r["part"] for r in table] == ["stages 1-5", "dedup", "verdicts", "masks and output"]
     assert all(r["rows"] == 10 and r["seconds"] > 0 for r in table)
 
 
+def test_measured_run(spark, sample, rows):
+    """Nine steps, each with the rows it received and omitted as the funnel has them, and with its time."""
+    measured, measures = measured_run(sample, models=Models(LANGUAGE, TOXICITY))
+    names = ["id", "cleaned", "lang", "anonymized", "html_extracted", "omit_reason", "omit_stage", "kept"]
+    assert measured.select(names).exceptAll(rows.select(names)).count() == 0 and measured.count() == 10
+    funnel = reports.stage_funnel(rows).orderBy("stage").collect()
+    assert [(m.name, m.rows_in, m.omits) for m in measures] == [(r["name"], r["rows_in"], r["omits"]) for r in funnel]
+    table = reports.stage_timing(spark, measures).orderBy("stage").collect()
+    assert len(table) == 9 and all(r["seconds"] > 0 for r in table)
+    assert all(r["seconds_per_row"] == pytest.approx(r["seconds"] / r["rows_in"]) for r in table)
+    document = json.loads(reports.insights(measured, measures=measures).first()[0])
+    assert document["omit_reasons"]["duplicate"] == 3
+    assert document["steps"]["dedup"]["number_of_omits"] == 3
+    assert all(step["total_time_seconds"] > 0 for step in document["steps"].values())
+    one = document["steps"]["toxicity"]
+    assert one["average_time_per_call_seconds"] == pytest.approx(one["total_time_seconds"] / one["number_of_calls"])
+
+
+def test_measured_run_of_no_rows(sample):
+    _, measures = measured_run(sample.limit(0))
+    assert [(m.rows_in, m.omits) for m in measures] == [(0, 0)] * 9
+
+
 def write_batch(folder, name, rows):
     folder.mkdir(exist_ok=True)
     (folder / name).write_text("".join(json.dumps({"id": i, "text": t}) + "\n" for i, t in rows))
@@ -341,8 +392,87 @@ def test_jsonl_stream_numbers_over_arrivals(spark, sample, rows, tmp_path):
     assert result.exceptAll(rows.select(names)).count() == 0
 
 
+def fingerprints(spark, numbers, first_id=0):
+    rows = spark.createDataFrame([(first_id + i, n) for i, n in enumerate(numbers)], "id bigint, n bigint")
+    return rows.select("id", F.sha1(F.col("n").cast("string").cast("binary")).alias("fingerprint"))
+
+
+def later_ids(spark, store, batch, numbers, first_id=0):
+    later = incremental.duplicates_with_store(fingerprints(spark, numbers, first_id), store, batch)
+    return sorted(r["id"] for r in later.collect())
+
+
+def test_store_over_many_batches(spark, tmp_path):
+    """Runs are merged as they come, old ones go, and replays of any batch change nothing."""
+    store, seen = str(tmp_path / "store"), set()
+    for batch in range(9):
+        numbers = [n % 60 for n in range(batch * 11, batch * 11 + 20)] + [1000 + batch] * 2
+        expected = [i for i, n in enumerate(numbers) if n in seen or n in numbers[:i]]
+        assert later_ids(spark, store, batch, numbers) == expected
+        if batch % 3 == 0:
+            assert later_ids(spark, store, batch, numbers) == expected
+        seen |= set(numbers)
+    kept = incremental.FingerprintStore(spark, store)
+    runs = kept._runs(9)
+    assert sum(rows for _, rows in runs) == len(seen) and len(runs) <= 4
+    assert all(a >= 2 * b for (_, a), (_, b) in zip(runs, runs[1:]))
+    assert kept._read([name for name, _ in runs]).distinct().count() == len(seen)
+    left = {p.name for p in (tmp_path / "store" / "runs").iterdir()}
+    assert {name for name, _ in runs} <= left <= {name for name, _ in runs} | {name for name, _ in kept._runs(8)}
+
+
+def test_a_batch_reads_only_its_parts_of_the_store(spark, tmp_path):
+    store = str(tmp_path / "store")
+    later_ids(spark, store, 0, range(3000))
+    kept = incremental.FingerprintStore(spark, store)
+    wanted = fingerprints(spark, [5, 17])
+    known = kept.known(1, wanted)
+    prefixes = {r[0][: incremental.PREFIX_DIGITS] for r in wanted.select("fingerprint").collect()}
+    plan = known._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"PartitionFilters: \[[^\]]*prefix", plan)
+    files = [r[0] for r in known.select("_metadata.file_path").distinct().collect()]
+    folders = {file.split("prefix=")[1][: incremental.PREFIX_DIGITS] for file in files}
+    assert folders == prefixes
+    assert 2 <= known.count() < 100
+
+
+def test_rows_without_fingerprint_are_one_group(spark, tmp_path):
+    pairs = spark.createDataFrame([(1, None), (2, None), (3, "ab")], "id bigint, fingerprint string")
+    for batch, expected in ((0, [2]), (1, [1, 2, 3])):
+        later = incremental.duplicates_with_store(pairs, str(tmp_path / "store"), batch)
+        assert sorted(r["id"] for r in later.collect()) == expected
+
+
+def test_ledger(spark, tmp_path):
+    """A batch starts from the one before it, whatever later ones wrote; a batch without an entry is looked past."""
+    ledger = incremental.Ledger(spark, str(tmp_path / "ledger"))
+    assert ledger.before(0) == ledger.before(7) == 0
+    ledger.enter(0, 10)
+    ledger.enter(1, 25)
+    assert [ledger.before(n) for n in range(4)] == [0, 10, 25, 25]
+    ledger.enter(1, 20)
+    ledger.enter(4, 30)
+    assert [ledger.before(n) for n in (1, 2, 4, 5)] == [10, 20, 20, 30]
+
+
+def test_ids_go_on_from_the_ledger_alone(spark, tmp_path):
+    """The rows of earlier batches are not read again: they may even be gone."""
+    import shutil
+
+    folder, out = tmp_path / "in", tmp_path / "out"
+    folder.mkdir()
+    starts = []
+    for n in range(3):
+        (folder / f"{n}.jsonl").write_text("".join(json.dumps({"text": f"{SENTENCE} {n} {i}"}) + "\n" for i in range(4)))
+        incremental.start_jsonl_stream(
+            spark, str(folder), str(out), on_batch=lambda df, batch: starts.append(sorted(r["id"] for r in df.collect()))
+        ).awaitTermination()
+        shutil.rmtree(out / "rows")
+    assert starts == [[1, 2, 3, 4], [5, 6, 7, 8], [9, 10, 11, 12]]
+
+
 def test_store_errors_are_not_taken_for_an_empty_store(spark, tmp_path):
     """Only a missing path means that nothing was stored yet."""
-    assert incremental._earlier(spark, str(tmp_path / "none"), "batch bigint", 3).count() == 0
+    assert incremental._stored(spark, str(tmp_path / "none"), "batch bigint") is None
     with pytest.raises(Exception, match="(?i)schema|parse"):
-        incremental._earlier(spark, str(tmp_path), "no such type", 3)
+        incremental._stored(spark, str(tmp_path), "no such type")

@@ -18,6 +18,9 @@ STAGES = (
 )
 ENGLISH = "en"
 
+# Texts that a pretrained model gets in one call.
+MODEL_BATCH_SIZE = 1000
+
 
 @dataclass(frozen=True)
 class PrepConfig:
@@ -32,9 +35,12 @@ class PrepConfig:
     # "document": a noisy class/id drops everything after it, until some noise
     # tag closes. "element": only that element is dropped.
     noise_scope: str = "document"
+    model_batch_size: int = MODEL_BATCH_SIZE
 
     def __post_init__(self) -> None:
         if self.noise_scope not in ("document", "element"):
             raise ValueError(f"unknown noise_scope: {self.noise_scope}")
         if self.shard_size < 1:
             raise ValueError("shard_size must be at least 1")
+        if self.model_batch_size < 1:
+            raise ValueError("model_batch_size must be at least 1")

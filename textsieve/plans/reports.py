@@ -6,10 +6,13 @@ at most one row per reason, stage, series or bin.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from textsieve.config import STAGES
 from textsieve.functions.pii import ENTITIES, PRONOUN_TOKENS, token
+from textsieve.plans.measure import StepMeasure
 
 BIN_WIDTH = 10
 
@@ -115,7 +118,7 @@ def redaction_counts(rows: DataFrame) -> DataFrame:
     return sums.unpivot([], list(kinds), "kind", "n")
 
 
-def stage_timing(rows: DataFrame, seconds: dict[str, float]) -> DataFrame:
+def part_timing(rows: DataFrame, seconds: dict[str, float]) -> DataFrame:
     """Wall seconds of each written part of a run, and seconds per row."""
     total = rows.count()
     table = rows.sparkSession.createDataFrame(list(seconds.items()), "part string, seconds double")
@@ -123,18 +126,39 @@ def stage_timing(rows: DataFrame, seconds: dict[str, float]) -> DataFrame:
     return table.select("part", "seconds", F.lit(total).alias("rows"), per_row.alias("seconds_per_row"))
 
 
-def insights(rows: DataFrame, seconds: dict[str, float] | None = None) -> DataFrame:
-    """One row, one JSON document: omit_reasons, steps and, if given, seconds per written part."""
+def stage_timing(spark: SparkSession, measures: Sequence[StepMeasure]) -> DataFrame:
+    """Per step of a measured run: rows in, omits, wall seconds, and seconds per row."""
+    schema = "stage int, name string, rows_in bigint, omits bigint, seconds double"
+    table = spark.createDataFrame([(m.stage, m.name, m.rows_in, m.omits, m.seconds) for m in measures], schema)
+    per_row = F.when(F.col("rows_in") > 0, F.col("seconds") / F.col("rows_in")).otherwise(0.0)
+    return table.withColumn("seconds_per_row", per_row)
+
+
+def insights(
+    rows: DataFrame, seconds: dict[str, float] | None = None, measures: Sequence[StepMeasure] | None = None
+) -> DataFrame:
+    """One row, one JSON document: omit_reasons, steps and, if given, seconds per written part.
+
+    With the measures of a measured run, each step also has its time, in all and per call.
+    """
     pairs = F.array_sort(F.collect_list(F.struct("omit_reason", "n")))
     reasons = omit_reason_counts(rows).agg(F.map_from_entries(pairs))
-    step = F.struct(
+    fields = [
         F.col("rows_in").alias("number_of_calls"),
         F.col("omits").alias("number_of_omits"),
         F.col("omit_percent").alias("omit_percentage"),
-    )
-    ordered = F.array_sort(F.collect_list(F.struct("stage", "name", step.alias("step"))))
+    ]
+    funnel = stage_funnel(rows)
+    if measures:
+        timing = stage_timing(rows.sparkSession, measures).select("stage", "seconds", "seconds_per_row")
+        funnel = funnel.join(F.broadcast(timing), "stage")  # nine rows
+        fields += [
+            F.col("seconds").alias("total_time_seconds"),
+            F.col("seconds_per_row").alias("average_time_per_call_seconds"),
+        ]
+    ordered = F.array_sort(F.collect_list(F.struct("stage", "name", F.struct(*fields).alias("step"))))
     entries = F.transform(ordered, lambda e: F.struct(e["name"], e["step"]))
-    steps = stage_funnel(rows).agg(F.map_from_entries(entries))
+    steps = funnel.agg(F.map_from_entries(entries))
     parts = [reasons.scalar().alias("omit_reasons"), steps.scalar().alias("steps")]
     if seconds:
         timed = [column for part, value in seconds.items() for column in (F.lit(part), F.lit(value))]

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from urllib.parse import unquote
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from textsieve.operators.ids import assign_ids, first_rows, number_file_rows
@@ -13,13 +15,23 @@ _OPTIONS = {"allowSingleQuotes": "false"}
 
 
 def first_files(spark: SparkSession, path: str, lines: int) -> list[str]:
-    """The first files by name that hold so many lines, or all. The rest is not opened."""
-    files = sorted(spark.read.text(path).inputFiles())
-    taken = 0
-    for end in range(1, len(files) + 1):
-        taken += spark.read.text(files[end - 1]).count()
-        if taken >= lines:
-            return files[:end]
+    """The first files by name that hold so many lines, or all. The rest is not opened.
+
+    Lines are counted in groups of 1, 2, 4, ... files, each in one job over all its
+    files, so that at most about as many files again as are needed are read, and
+    the number of jobs grows with the logarithm of that of the files.
+    """
+    files = sorted(map(unquote, spark.read.text(path).inputFiles()))
+    taken, start, size = 0, 0, 1
+    while start < len(files):
+        group = files[start : start + size]
+        counts = spark.read.text(group).groupBy(F.input_file_name().alias("file")).count().collect()
+        held = {unquote(row["file"]): row["count"] for row in counts}
+        for end, file in enumerate(group, start + 1):
+            taken += held.get(file, 0)
+            if taken >= lines:
+                return files[:end]
+        start, size = start + size, 2 * size
     return files
 
 

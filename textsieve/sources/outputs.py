@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, functions as F
 
 from textsieve.operators.ids import shard_numbers
+from textsieve.plans.measure import StepMeasure
 from textsieve.plans.prepare import kept_rows, omitted_rows
 from textsieve.plans.reports import insights
 from textsieve.staging import write_staged
@@ -24,24 +27,36 @@ def shard_assignment(rows: DataFrame, shard_size: int) -> DataFrame:
 
 
 def write_shards(rows: DataFrame, path: str, shard_size: int) -> None:
-    """One folder per shard of kept rows, in id order. No empty shards."""
+    """One folder with one file per shard of kept rows, in id order. No empty shards.
+
+    A row goes to the task of its shard's number, so that a shard is whole in one
+    task and each task writes one shard; all but the last have the same size.
+    """
     shards = write_staged(shard_assignment(rows, shard_size), "shards")
     n = (shards.agg(F.max("shard")).first()[0] or 0) + 1
     sharded = kept_rows(rows).join(shards, "id")
-    # A shard per task: each shard is whole in one task, all are the same size.
-    ranged = sharded.repartitionByRange(n, "shard").sortWithinPartitions("shard", "id")
-    ranged.write.partitionBy("shard").json(path)
+    placed = sharded.repartitionById(n, F.col("shard").cast("int")).sortWithinPartitions("shard", "id")
+    placed.write.partitionBy("shard").json(path)
 
 
-def write_insights(rows: DataFrame, path: str, seconds: dict[str, float] | None = None) -> None:
-    insights(rows, seconds).coalesce(1).write.text(path)
+def write_insights(
+    rows: DataFrame,
+    path: str,
+    seconds: dict[str, float] | None = None,
+    measures: Sequence[StepMeasure] | None = None,
+) -> None:
+    insights(rows, seconds, measures).coalesce(1).write.text(path)
 
 
 def write_outputs(
-    rows: DataFrame, folder: str, shard_size: int, seconds: dict[str, float] | None = None
+    rows: DataFrame,
+    folder: str,
+    shard_size: int,
+    seconds: dict[str, float] | None = None,
+    measures: Sequence[StepMeasure] | None = None,
 ) -> None:
     """All outputs of a run, read from its written rows."""
     write_cleaned(rows, f"{folder}/cleaned")
     write_omitted(rows, f"{folder}/omitted")
     write_shards(rows, f"{folder}/shards", shard_size)
-    write_insights(rows, f"{folder}/insights", seconds)
+    write_insights(rows, f"{folder}/insights", seconds, measures)
