@@ -7,7 +7,7 @@ import pytest
 import tiktoken
 from hypothesis import given, settings, strategies as st
 
-from textsieve.llm.bpe import Encoder, PrefixTable, decode, encode, merge_greedily, read_ranks
+from textsieve.llm.bpe import Encoder, PrefixTable, Vocabulary, decode, encode, merge_greedily, read_ranks
 from textsieve.llm.queries import tokenizer
 
 PATH, PATTERN = tokenizer()
@@ -62,3 +62,30 @@ def test_round_trip(make_docs):
     tokens = encode(docs, PATH, PATTERN)
     back = {r["doc_id"]: r["text"] for r in decode(tokens, PATH).collect()}
     assert back == {r["doc_id"]: r["text"] for r in docs.collect()}
+
+
+def grown(seed):
+    """A small vocabulary of tokens put together from earlier ones, some of which the merges never reach."""
+    rng = random.Random(seed)
+    tokens = [b"a", b"b", b"c"]
+    while len(tokens) < 40:
+        new = rng.choice(tokens) + rng.choice(tokens)
+        if new not in tokens and len(new) < 12:
+            tokens.append(new)
+    rng.shuffle(single := tokens[:3])
+    return {token: rank for rank, token in enumerate(single + tokens[3:])}
+
+
+@pytest.mark.parametrize("seed", range(25))
+def test_prefix_tables_follow_the_merges(seed):
+    """Whatever the vocabulary: pieces, pairs of tokens, and tokens that no merge leads to."""
+    ranks, rng = grown(seed), random.Random(seed)
+    vocabulary = Vocabulary(ranks)
+    for token, rank in ranks.items():
+        assert (token in vocabulary.usable) == (merge_greedily(token, ranks) == [rank])
+    for _ in range(300):
+        left, right = rng.choice(list(vocabulary.usable.values())), rng.choice(list(vocabulary.usable.values()))
+        both = vocabulary.tokens[left] + vocabulary.tokens[right]
+        assert vocabulary.beside(left, right) == (merge_greedily(both, ranks) == [left, right])
+        piece = bytes(rng.choice(b"abc") for _ in range(rng.randint(1, 40)))
+        assert PrefixTable(vocabulary, piece).ids() == merge_greedily(piece, ranks)

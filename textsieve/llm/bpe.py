@@ -16,9 +16,9 @@ from __future__ import annotations
 
 import base64
 import hashlib
-import os
 import re
-from collections.abc import Callable, Iterable, Iterator
+from array import array
+from collections.abc import Callable, Iterator
 from itertools import chain
 
 import numpy as np
@@ -50,14 +50,64 @@ def merge_greedily(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
 
 
 class Vocabulary:
-    """Tokens with their ranks, and which of them may stand side by side."""
+    """Tokens with their ranks, and which of them may stand side by side.
+
+    halves says which two tokens of lower rank a token is merged from; a token that
+    the merges never lead to has none and is of no use inside a piece. A vocabulary
+    in which merges lead to a token by way of higher ranks was not made by merging;
+    it is handled by the defining rule alone, which is slower.
+    """
 
     def __init__(self, ranks: dict[bytes, int]):
         self.ranks = ranks
         self.tokens = {rank: token for token, rank in ranks.items()}
+        self.sizes = {rank: len(token) for token, rank in ranks.items()}
         self.longest = max(map(len, ranks), default=1)
+        self.halves: dict[int, tuple[int, int] | None] = {}
+        self.usable: dict[bytes, int] = {}
+        for rank in sorted(self.tokens, key=lambda rank: (self.sizes[rank] > 1, rank)):
+            token = self.tokens[rank]
+            self.halves[rank] = found = self._halves(token, rank)
+            if found or len(token) == 1:
+                self.usable[token] = rank
+        alone = (rank for rank, found in self.halves.items() if not found and self.sizes[rank] > 1)
+        self.ordered = not any(merge_greedily(self.tokens[rank], ranks) == [rank] for rank in alone)
+        if not self.ordered:
+            self.usable = {token: rank for token, rank in ranks.items() if merge_greedily(token, ranks) == [rank]}
+        #: For each three bytes, the length of the longest token that ends with them.
+        self.reach: dict[bytes, int] = {}
+        for token in self.usable:
+            self.reach[token[-3:]] = max(len(token), self.reach.get(token[-3:], 2))
         self._beside: dict[int, bool] = {}
 
+    def _halves(self, token: bytes, rank: int) -> tuple[int, int] | None:
+        for cut in range(1, len(token)):
+            left, right = self.usable.get(token[:cut]), self.usable.get(token[cut:])
+            if left is not None and right is not None and self._apart(left, right, rank):
+                return left, right
+        return None
+
+    def _apart(self, left: int, right: int, until: int) -> bool:
+        """Whether nothing merges across the border of two tokens before the merge of rank until.
+
+        Merges come in the order of their ranks, the leftmost first. Going back in
+        time, the token made last falls into its halves; the two that then touch
+        the border stood there until that merge, and must not merge before it. Of
+        two merges of equal rank that on the left comes first.
+        """
+        find, tokens, halves = self.ranks.get, self.tokens, self.halves
+        while True:
+            merged = find(tokens[left] + tokens[right])
+            if merged is not None and merged < until:
+                return False
+            in_left, in_right = halves[left], halves[right]
+            if in_left and (not in_right or left > right):
+                until, left = left, in_left[1]
+            elif in_right:
+                until, right = right + 1, in_right[0]
+            else:
+                return True
+
     def beside(self, left: int, right: int) -> bool:
         """Whether merging the bytes of both gives these two tokens again."""
         key = left << 32 | right
@@ -65,8 +115,10 @@ class Vocabulary:
         if known is None:
             if len(self._beside) >= PAIRS_REMEMBERED:
                 self._beside.clear()
-            both = self.tokens[left] + self.tokens[right]
-            known = both not in self.ranks and merge_greedily(both, self.ranks) == [left, right]
+            if self.ordered:
+                known = self._apart(left, right, 1 << 62)
+            else:
+                known = merge_greedily(self.tokens[left] + self.tokens[right], self.ranks) == [left, right]
             self._beside[key] = known
         return known
 
@@ -84,10 +136,12 @@ class PrefixTable:
         self.append(piece)
 
     def _extend(self, ends: range) -> None:
-        piece, last, longest = self.piece, self.last, self.vocabulary.longest
-        find, beside = self.vocabulary.ranks.get, self.vocabulary.beside
+        piece, last, reach = self.piece, self.last, self.vocabulary.reach.get
+        find, beside = self.vocabulary.usable.get, self.vocabulary.beside
         for end in ends:
-            for start in range(end - longest if end > longest else 0, end):
+            # The longest token that could end here; one or two bytes are tried in any case.
+            far = end - reach(piece[end - 3 : end], 2) if end > 2 else 0
+            for start in range(far if far > 0 else 0, end):
                 token = find(piece[start:end])
                 if token is not None and (not start or beside(last[start], token)):
                     last.append(token)
@@ -103,7 +157,11 @@ class PrefixTable:
 
     def change_to(self, piece: bytes) -> None:
         """Another piece; what is stored for the prefixes both share stays."""
-        shared = len(os.path.commonprefix([self.piece, piece]))
+        shared = 0
+        for old, new in zip(self.piece, piece):
+            if old != new:
+                break
+            shared += 1
         self.piece = piece[:shared]
         del self.last[shared + 1 :]
         self.append(piece[shared:])
@@ -131,11 +189,11 @@ class PrefixTable:
         return end - start - 1
 
     def ids(self) -> list[int]:
-        found, end = [], len(self.piece)
+        found, last, sizes, end = [], self.last, self.vocabulary.sizes, len(self.piece)
         while end:
-            token = self.last[end]
+            token = last[end]
             found.append(token)
-            end -= len(self.vocabulary.tokens[token])
+            end -= sizes[token]
         return found[::-1]
 
 
@@ -158,20 +216,37 @@ class Encoder:
         self._chunks: dict[str, bytes] = {}
         self._characters = 0
 
-    def _learn(self, chunks: Iterable[str]) -> None:
-        """Encode what is new in chunks; pieces in byte order, so that each prefix
-        which neighbours share is worked out once."""
-        matches = {chunk: self.split(chunk) for chunk in set(chunks) - self._chunks.keys()}
-        new = set(chain.from_iterable(matches.values())) - self._pieces.keys()
-        table = PrefixTable(self.vocabulary)
-        for data, piece in sorted((piece.encode("utf-8", "surrogatepass"), piece) for piece in new):
-            whole = self.vocabulary.ranks.get(data)
-            if whole is None:
+    def _learn(self, chunks: set[str]) -> None:
+        """Encode new chunks; pieces in byte order, so that each prefix which
+        neighbours share is worked out once."""
+        split, known = self.split, self._chunks
+        alone: set[str] = set()  # chunks that are one piece
+        several: dict[str, list[str]] = {}
+        for chunk in chunks:
+            pieces = split(chunk)
+            if len(pieces) == 1 and len(pieces[0]) == len(chunk):
+                alone.add(chunk)
+            else:
+                several[chunk] = pieces
+        parts = set(chain.from_iterable(several.values())).difference(self._pieces)
+        encoded = self._encode_pieces(alone | parts)
+        known.update(zip(alone, map(encoded.__getitem__, alone)))
+        self._pieces.update(zip(parts, map(encoded.__getitem__, parts)))
+        for chunk, pieces in several.items():
+            known[chunk] = b"".join(map(self._pieces.__getitem__, pieces))
+        self._characters += sum(map(len, encoded)) + sum(map(len, several))
+
+    def _encode_pieces(self, pieces: set[str]) -> dict[str, bytes]:
+        """Packed ids of each piece."""
+        whole, table, encoded = self.vocabulary.ranks.get, PrefixTable(self.vocabulary), {}
+        for data, piece in sorted((piece.encode("utf-8", "surrogatepass"), piece) for piece in pieces):
+            token = whole(data)
+            if token is None:
                 table.change_to(data)
-            self._pieces[piece] = np.array(table.ids() if whole is None else [whole], "<u4").tobytes()
-        self._characters += sum(map(len, new)) + sum(map(len, matches))
-        for chunk, pieces in matches.items():
-            self._chunks[chunk] = b"".join(map(self._pieces.__getitem__, pieces))
+                encoded[piece] = array("I", table.ids()).tobytes()
+            else:
+                encoded[piece] = token.to_bytes(4, "little")
+        return encoded
 
     def _forget(self) -> None:
         if self._characters > CHARACTERS_REMEMBERED:
@@ -181,13 +256,20 @@ class Encoder:
 
     def encode_all(self, texts: list[str]) -> list[bytes]:
         """For each text its ids as little-endian unsigned 32-bit integers."""
-        cut = []
+        self._forget()
+        chunks, ends = [], [0]
         for text in texts:
             first, *rest = SINGLE.split(text) if UNEVEN.search(text) else text.split(" ")
-            cut.append([first, *map(" ".__add__, rest)])
-        self._forget()
-        self._learn(chain.from_iterable(cut))
-        return [b"".join(map(self._chunks.__getitem__, chunks)) for chunks in cut]
+            chunks.append(first)
+            chunks.extend(map(" ".__add__, rest))
+            ends.append(len(chunks))
+        found = list(map(self._chunks.get, chunks))
+        missing = [i for i, packed in enumerate(found) if packed is None]
+        if missing:
+            self._learn({chunks[i] for i in missing})
+            for i in missing:
+                found[i] = self._chunks[chunks[i]]
+        return [b"".join(found[start:end]) for start, end in zip(ends, ends[1:])]
 
     def encode(self, text: str) -> bytes:
         return self.encode_all([text])[0]
