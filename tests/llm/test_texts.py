@@ -8,6 +8,7 @@ import string
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
 from textsieve.llm import decontaminate, licenses, lines, rules
 from textsieve.llm.decontaminate import Items, align, find, normal
@@ -79,6 +80,47 @@ def test_license_scan(make_docs):
     assert [rows[i]["labels"] for i in (4, 5, 6, 7, 8)] == ["gpl-3", "all-rights-reserved", "", "mit", ""]
 
 
+BSD = "Redistribution and use in source and binary forms, with or without modification, are permitted."
+
+
+def brute_labels(text, templates):
+    words = re.findall(licenses.WORD, text.translate(str.maketrans(string.ascii_uppercase, string.ascii_lowercase)))
+    labels = {label for phrase, label in licenses.PHRASES.items() if f" {phrase} " in f" {' '.join(words)} "}
+    for label, template, key in templates:
+        parts, own = template.split(), key.split()
+        offset = licenses.key_offset(template, key)
+        for i in range(len(words)):
+            if words[i : i + len(own)] == own:
+                there = sum(0 <= i - offset + j < len(words) and words[i - offset + j] == part for j, part in enumerate(parts))
+                if there / len(parts) >= licenses.LEAST_SHARE:
+                    labels.add(label)
+    return ",".join(sorted(labels))
+
+
+def test_no_template_is_lost(make_docs, prose):
+    """Several licences in a file, common words, templates with their beginning cut off, whole templates in prose."""
+    texts = ["All rights reserved."] * 30 + [f"{BSD} text. All rights reserved."]
+    texts += [template for _, template, _ in licenses.TEMPLATES]
+    texts += [f"{prose(i, 30)} {template.title()}, {prose(50 + i, 30)}" for i, (_, template, _) in enumerate(licenses.TEMPLATES)]
+    texts += [" ".join(template for _, template, _ in licenses.TEMPLATES), "use in source and binary forms with or without modification are permitted"]
+    texts += [template.split(" ", 1)[1] for _, template, _ in licenses.TEMPLATES] + [" ".join(licenses.vocabulary(licenses.TEMPLATES) * 40)]
+    rows = {r["doc_id"]: r["labels"] for r in licenses.license_scan(make_docs(texts)).collect()}
+    assert rows[30] == "all-rights-reserved,bsd"
+    assert rows == {i: brute_labels(text, licenses.TEMPLATES) for i, text in enumerate(texts)}
+
+
+def test_many_templates(make_docs, prose):
+    """A table of its own, of hundreds of templates."""
+    templates = []
+    for i in range(300):
+        words = prose(i, 12).split()
+        templates.append((f"own-{i}", " ".join(words), " ".join(words[3:7])))
+    texts = [f"{prose(900 + i, 20)} {templates[i][1]} {templates[299 - i][1]}" for i in range(0, 300, 7)] + ["nothing of that"]
+    rows = {r["doc_id"]: r["labels"] for r in licenses.license_scan(make_docs(texts), templates=templates).collect()}
+    assert rows == {i: brute_labels(text, templates) for i, text in enumerate(texts)}
+    assert rows[0] == "own-0,own-299"
+
+
 def brute_lines(texts, min_lines=3, long_line=20):
     """All runs in order; a run seen before loses its lines."""
     seen, gone = set(), {i: set() for i in range(len(texts))}
@@ -162,12 +204,26 @@ def test_lines_above_a_limit_of_documents_in_a_large_host(make_docs, prose):
     footer = prose(8, 70)
     texts = [prose(1000 + i, 60) + ("\n" + footer if i % 20 == 0 else "") for i in range(480)]  # 24 of 240 in src0
     docs = make_docs(texts)
-    left = {r["doc_id"]: r["words_left"] for r in rules.quality_rules(docs, line_percent=0).collect()}
-    assert set(left.values()) == {60}
     left = {r["doc_id"]: r["words_left"] for r in rules.quality_rules(docs).collect()}
+    assert set(left.values()) == {60}
+    left = {r["doc_id"]: r["words_left"] for r in rules.quality_rules(docs, line_percent=20).collect()}
     assert sorted(set(left.values())) == [60, 130]
 
 
+def test_limit_in_a_host_of_ten_thousand_documents(spark, prose):
+    """A footer of 11 among 10,000 documents goes, one of 10 stays; rows of one id are one document."""
+    filler = prose(9, 50)
+    rows = spark.range(10_000).selectExpr("id AS doc_id", f"concat('{filler} ', id) AS text", "'host' AS source")
+    eleven, ten = prose(10, 130), prose(11, 130)
+    rows = rows.withColumn("text", F.when(F.col("doc_id") < 11, F.concat("text", F.lit("\n" + eleven))).otherwise(F.col("text")))
+    rows = rows.withColumn("text", F.when((F.col("doc_id") > 100) & (F.col("doc_id") <= 110), F.concat("text", F.lit("\n" + ten))).otherwise(F.col("text")))
+    rows = rows.union(rows.filter("doc_id = 101").withColumn("text", F.concat("text", F.lit(" \nmore"))))
+    found = {(r["doc_id"], r["words_left"]): r["kept"] for r in rules.quality_rules(rows).filter("doc_id <= 110").collect()}
+    assert all(found[i, 51] is False for i in range(11))  # depleted: 51 of 181 words are left
+    assert all(found[i, 181] for i in range(101, 111)) and found[101, 182]
+    assert all(found[i, 51] for i in range(11, 101))
+
+
 def test_kept_documents_lose_the_lines_above_the_limit(make_docs, prose):
     shared = prose(7, 55)
     own = [prose(100 + i, 70) for i in range(30)]

@@ -32,7 +32,6 @@ WITH d AS (
 ), f AS (
   SELECT host, line FROM n GROUP BY host, line
   HAVING count(DISTINCT doc_id) > 10 AND count(DISTINCT text) > 1
-     AND count(DISTINCT doc_id) * 100 > 20 * (SELECT count(*) FROM d WHERE d.host = n.host)
 ), s AS (
   SELECT doc_id, sum(k) AS k FROM n JOIN f USING (host, line) GROUP BY doc_id
 ), m AS (
@@ -89,52 +88,39 @@ def _offset(template: str, key: str) -> int:
 
 _PHRASES = ", ".join(f"({_list(phrase)}, '{label}')" for phrase, label in licenses.PHRASES.items())
 _TEMPLATES = ", ".join(
-    f"({t}, '{label}', {_list(template)}, {_list(key)}, {_offset(template, key)})"
-    for t, (label, template, key) in enumerate(licenses.TEMPLATES)
+    f"('{label}', {_list(template)}, {_list(key)}, {_offset(template, key)})" for label, template, key in licenses.TEMPLATES
 )
 
 ORACLE["op4_license_scan"] = rf"""
 WITH d AS (
-  SELECT doc_id, regexp_extract_all(
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(
     translate(coalesce(text, ''), '{string.ascii_uppercase}', '{string.ascii_lowercase}'), '{licenses.WORD}') AS words
   FROM documents
 ), w AS (
-  SELECT doc_id, unnest(words) AS word, generate_subscripts(words, 1) - 1 AS i FROM d
+  SELECT r, unnest(words) AS word, generate_subscripts(words, 1) - 1 AS i FROM d
 ), p(phrase, label) AS (VALUES {_PHRASES}
 ), places AS (
-  SELECT w.doc_id, i, label FROM w JOIN p ON word = phrase[1] JOIN d ON d.doc_id = w.doc_id
+  SELECT w.r, i, label FROM w JOIN p ON word = phrase[1] JOIN d ON d.r = w.r
   WHERE words[i + 1 : i + len(phrase)] = phrase
-), t(t, label, template, key, o) AS (VALUES {_TEMPLATES}
-), postings AS (
-  SELECT t, unnest(template) AS word, generate_subscripts(template, 1) - 1 AS j FROM t
-), present AS (
-  SELECT DISTINCT doc_id, word FROM w WHERE word IN (SELECT word FROM postings)
-), df AS (
-  SELECT word, count(*) AS n FROM present GROUP BY word
-), rare AS (
-  SELECT doc_id, word FROM present JOIN df USING (word)
-  QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY n, word) <= {licenses.RARE_WORDS}
-), votes AS (
-  SELECT doc_id, t, i - j AS s FROM w JOIN rare USING (doc_id, word) JOIN postings USING (word)
-  WHERE i >= j GROUP BY doc_id, t, s HAVING count(DISTINCT word) > 1
+), t(label, template, key, o) AS (VALUES {_TEMPLATES}
 ), found AS (
-  SELECT doc_id, label, list_sum(list_transform(range(1, len(template) + 1),
-           lambda j: CASE WHEN words[s + j] = template[j] THEN 1 ELSE 0 END)) / len(template)::DOUBLE AS share
-  FROM votes JOIN t USING (t) JOIN d USING (doc_id) WHERE words[s + o + 1 : s + o + len(key)] = key
+  SELECT w.r, label, list_sum(list_transform(range(1, len(template) + 1),
+           lambda j: CASE WHEN i - o + j > 0 AND words[i - o + j] = template[j] THEN 1 ELSE 0 END)) / len(template)::DOUBLE AS share
+  FROM w JOIN t ON word = key[1] JOIN d ON d.r = w.r WHERE words[i + 1 : i + len(key)] = key
 ), b AS (
-  SELECT doc_id, count(*) AS n_base, min(i) AS first_word, max(i) AS last_word,
+  SELECT r, count(*) AS n_base, min(i) AS first_word, max(i) AS last_word,
          string_agg(DISTINCT label, ',' ORDER BY label) AS base_labels
-  FROM places GROUP BY doc_id
+  FROM places GROUP BY r
 ), l AS (
-  SELECT doc_id, string_agg(DISTINCT label, ',' ORDER BY label) AS labels, max(share) AS share FROM (
-    SELECT doc_id, label, NULL AS share FROM places
-    UNION ALL SELECT doc_id, label, share FROM found WHERE share >= {licenses.LEAST_SHARE}
-  ) GROUP BY doc_id
+  SELECT r, string_agg(DISTINCT label, ',' ORDER BY label) AS labels, max(share) AS share FROM (
+    SELECT r, label, NULL AS share FROM places
+    UNION ALL SELECT r, label, share FROM found WHERE share >= {licenses.LEAST_SHARE}
+  ) GROUP BY r
 )
 SELECT doc_id, len(words)::BIGINT AS n_words, coalesce(n_base, 0)::BIGINT AS n_base, first_word::BIGINT AS first_word,
        last_word::BIGINT AS last_word, coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels,
        CASE WHEN n_base > 0 THEN 1.0 ELSE coalesce(share, 0) END::DOUBLE AS score
-FROM d LEFT JOIN b USING (doc_id) LEFT JOIN l USING (doc_id)
+FROM d LEFT JOIN b USING (r) LEFT JOIN l USING (r)
 """
 
 _LOWER = f"translate(coalesce(text, ''), '{string.ascii_uppercase}', '{string.ascii_lowercase}')"

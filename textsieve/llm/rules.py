@@ -25,10 +25,10 @@ SYMBOL = r"[#*$%&|<>]"
 WINDOW = 3
 LEAST_WORDS = 50
 MOST_REPEATED_PERCENT = 50
-#: A line is boilerplate in more documents of its host than this many and this share;
-#: with a share of 0 the number alone is the limit, however large the host is.
+#: A line is boilerplate in more different documents of its host than this many, however
+#: large the host is; a caller may ask for a share of the host's documents besides.
 LINE_DOCUMENTS = 10
-LINE_PERCENT = 20
+LINE_PERCENT = 0
 #: A document is depleted if fewer than so many in a hundred of its words are left.
 LEAST_LEFT_PERCENT = 30
 #: Columns of text_keys.
@@ -87,13 +87,15 @@ def numbered_lines(docs: DataFrame, text: Column, host: Column) -> DataFrame:
     return held.select("host", *KEYS, "place", line_hash(line).alias("h"), F.regexp_count(line, F.lit(WORD)).alias("words"))
 
 
-def shared_lines(docs: DataFrame, text: Column, host: Column, percent: int) -> DataFrame:
-    """Hosts and hashes of the lines above their limit."""
+def shared_lines(docs: DataFrame, id_column: str, text: Column, host: Column, percent: int) -> DataFrame:
+    """Hosts and hashes of the lines above their limit. Rows of one id are one document."""
     hashes = F.array_distinct(F.transform(lines_of(text), line_hash))
-    lines = docs.select(host.alias("host"), F.hash(text).alias("text"), F.explode(hashes).alias("h"))
+    # In a struct, so that a null id counts as an id.
+    id_ = F.struct(F.col(id_column)).alias("id")
+    lines = docs.select(host.alias("host"), id_, F.xxhash64(text).alias("text"), F.explode(hashes).alias("h"))
     counts = (
         lines.groupBy("host", "h")
-        .agg(F.count("*").alias("n"), F.min("text").alias("a"), F.max("text").alias("b"))
+        .agg(F.count_distinct("id").alias("n"), F.min("text").alias("a"), F.max("text").alias("b"))
         .filter((F.col("n") > LINE_DOCUMENTS) & (F.col("a") != F.col("b")))
     )
     if percent <= 0:
@@ -102,11 +104,11 @@ def shared_lines(docs: DataFrame, text: Column, host: Column, percent: int) -> D
     return counts.join(hosts, "host").filter(F.col("n") * 100 > F.col("documents") * percent).select("host", "h")
 
 
-def lines_above(docs: DataFrame, text: Column, host: Column, percent: int) -> DataFrame:
+def lines_above(docs: DataFrame, id_column: str, text: Column, host: Column, percent: int) -> DataFrame:
     """For each host and text that has any: words and places of its lines above the limit.
 
     Lines meet the limit's table by an equality join; copies of a text are one text."""
-    shared = write_staged(shared_lines(docs, text, host, percent), "shared")
+    shared = write_staged(shared_lines(docs, id_column, text, host, percent), "shared")
     met = numbered_lines(docs, text, host).join(shared, ["host", "h"])
     each = met.groupBy("host", *KEYS, "place").agg(F.max("words").alias("words"))
     return each.groupBy("host", *KEYS).agg(F.sum("words").alias("gone"), F.sort_array(F.collect_list("place")).alias("places"))
@@ -158,11 +160,11 @@ def verdict(m: Column, gone: Column) -> Column:
     )
 
 
-def judged(docs: DataFrame, columns: list[str], text_column: str, host_column: str, percent: int) -> tuple[DataFrame, str, str]:
+def judged(docs: DataFrame, columns: list[str], id_column: str, text_column: str, host_column: str, percent: int) -> tuple[DataFrame, str, str]:
     """Columns of docs with a struct of base measures, base_failed, kept and words left,
     and the places of the lines above their limit; the names of these two."""
     text, host = F.coalesce(F.col(text_column), F.lit("")), host_of(F.col(host_column))
-    found = lines_above(docs, text, host, percent)
+    found = lines_above(docs, id_column, text, host, percent)
     own = {name: unused(docs, name) for name in ("host", *KEYS, "gone", "places", "rules")}
     keys = [own[name] for name in ("host", *KEYS)]
     # Measured before the join, so that a text moves only if columns has it.
@@ -175,12 +177,14 @@ def quality_rules(
     docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", host_column: str = "source", line_percent: int = LINE_PERCENT
 ) -> DataFrame:
     """doc_id, the base measures, base_failed, kept, and the words left."""
-    rows, verdicts, _ = judged(docs.select(id_column, text_column, host_column), [id_column], text_column, host_column, line_percent)
+    rows, verdicts, _ = judged(docs.select(id_column, text_column, host_column), [id_column], id_column, text_column, host_column, line_percent)
     return rows.select(F.col(id_column).alias("doc_id"), f"{verdicts}.*")
 
 
-def keep_good(docs: DataFrame, text_column: str = "text", host_column: str = "source", line_percent: int = LINE_PERCENT) -> DataFrame:
+def keep_good(
+    docs: DataFrame, text_column: str = "text", host_column: str = "source", line_percent: int = LINE_PERCENT, id_column: str = "doc_id"
+) -> DataFrame:
     """Rows of docs that are kept, their text without the lines above the limit; other columns as they are."""
-    rows, verdicts, places = judged(docs, docs.columns, text_column, host_column, line_percent)
+    rows, verdicts, places = judged(docs, docs.columns, id_column, text_column, host_column, line_percent)
     kept = rows.filter(F.col(verdicts)["kept"])
     return kept.withColumn(text_column, without_lines(F.col(text_column), F.col(places))).select(docs.columns)
