@@ -16,19 +16,17 @@ from textsieve.llm.common import documents
 from textsieve.llm.queries import tokenizer
 from textsieve.staging import write_staged
 
-#: A line above the rules' number of documents goes, whatever share of its source they are.
-LINE_PERCENT = 0
-
 
 def quality_rules(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """Documents that the rules keep, without the lines that too many documents of their source hold."""
-    rows = rules.keep_good(docs, line_percent=LINE_PERCENT)
+    rows = rules.keep_good(docs)
     return rows.withColumn("n_chars", F.length("text").cast("bigint")).select(docs.columns)
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
-    """All documents, without later copies of repeated line runs."""
+    """Documents without later copies of repeated line runs; one of which nothing is left goes."""
     rows, _ = lines.line_dedup(docs)
+    rows = rows.filter(F.col("text").rlike(rules.WORD))
     return rows.withColumn("n_chars", F.length("text").cast("bigint")).select(docs.columns)
 
 
