@@ -8,7 +8,9 @@ from __future__ import annotations
 
 import string
 
-from checks.queries import CONFIG, INPUT_LIMIT, MADE_TEXT, NAME_PATTERNS, SHARD_SIZE
+from checks.queries import (
+    CONFIG, INPUT_LIMIT, MADE_BLANKS, MADE_HTML, MADE_TEXT, NAME_PATTERNS, NOISY, SHARD_SIZE, SKIPPED,
+)
 from textsieve.config import STAGES
 from textsieve.functions import code, pii
 from textsieve.operators import language, toxicity
@@ -143,13 +145,15 @@ def page_text(text: str, scope: str) -> str:
     """The extraction rules for the tags and the one noisy class that occur in the pages."""
     if scope == "document":
         text = replace_all(text, '(?s)<div class="ad">.*', "''")
-    for tag in ("script", "style", "nav", "footer"):
-        text = replace_all(text, rf"(?s)<{tag}[^>]*>.*?(</{tag}>|\z)", "''")
+    for tag in ("script", "style", "nav", "footer", *SKIPPED, *NOISY):
+        text = replace_all(text, rf"(?s)<{tag}( [^>]*)?>.*?(</{tag}>|\z)", "''")
+    text = replace_all(text, "(?s)<input .*", "''")
     text = replace_all(text, '(?s)<div class="ad">.*?</div>', "chr(10)")
     text = replace_all(text, r"(?s)<!--.*?-->|<!DOCTYPE[^>]*>|<[a-zA-Z/][^>]*\z", "''")
     text = replace_all(text, r"\s*</?(html|head|meta|title|body|ul|br)( [^>]*)?>\s*", "''")
     text = replace_all(text, r"</?(a|b)( [^>]*)?>", "' '")
-    text = replace_all(text, r"</?(p|h1|article|li)( [^>]*)?>", "chr(10)")
+    text = replace_all(text, "<li>", "chr(10) || '• '")
+    text = replace_all(text, r"</?(p|h1|h3|blockquote|article|li)( [^>]*)?>", "chr(10)")
     return unescape(text)
 
 
@@ -596,8 +600,21 @@ _MADE = f"FROM (SELECT doc_id, text FROM (SELECT doc_id, {MADE_TEXT} AS text FRO
 ORACLE |= {
     f"made_{name}": ORACLE[name].replace("FROM documents", _MADE)
     for name in (
-        "nonblank_text", "strip_control", "straight_quotes", "normalize", "filter_non_ascii", "filter_long_repeat",
+        "strip_control", "straight_quotes", "normalize", "filter_non_ascii", "filter_long_repeat",
         "preliminary_reason", "code_function_def", "code_method_calls", "code_assignments", "code_line_features",
         "code_char_features", "code_token_features", "code_reason",
     )
 }
+
+ORACLE |= {
+    "made_nonblank_text": f"SELECT doc_id FROM (SELECT doc_id, {MADE_BLANKS} AS text FROM documents) WHERE text <> ''",
+    "made_pages": f"""WITH made AS (SELECT page_id, {MADE_HTML} AS html FROM pages), walked AS (
+        SELECT page_id, html, CASE WHEN page_id % 6 <> 3 THEN {extracted('html', 'element')} END AS found FROM made
+    ) SELECT page_id, CASE WHEN length(found) >= {CONFIG.min_char_len} THEN found ELSE html END AS text,
+        coalesce(length(found) >= {CONFIG.min_char_len}, false) AS html_extracted FROM walked""",
+}
+
+_RULES = """indented_lines / greatest(lines, 1) > 0.5 AND codey_lines / greatest(lines, 1) > 0.25 AS c6,
+    stopwords / greatest(words, 1) < 0.05 AND keywords >= 3 AND punctuation / chars > 0.15 AS c10,
+    words < 15 AND keywords >= 2 AND stopwords / greatest(words, 1) < 0.05 AND punctuation / chars > 0.12 AS c13"""
+ORACLE["made_code_rules"] = code_query(_RULES).replace("FROM documents", _MADE)

@@ -59,14 +59,31 @@ MADE_TEXT = """CASE doc_id % 12
     WHEN 1 THEN replace(replace(text, 'a', chr(11)), 'r', chr(127))
     WHEN 2 THEN concat(text, repeat('z', CAST(6 + doc_id % 7 AS INT)))
     WHEN 3 THEN translate(text, 'aeioutrnsh', 'жщюяыэфцчш')
-    WHEN 4 THEN CASE WHEN doc_id % 24 = 4 THEN '' ELSE NULL END
+    WHEN 4 THEN replace(replace(text, '. ', concat(chr(10), '        ')), ', ', concat(';', chr(10), '        '))
     WHEN 5 THEN concat('function f', CAST(doc_id AS VARCHAR(20)), ' (x) ', text)
     WHEN 6 THEN concat('        ', replace(text, '. ', concat(chr(10), '        ')))
     WHEN 7 THEN replace(text, ' ', ' lambda yield {x} ')
     WHEN 8 THEN replace(text, ' ', ' [q] (r) ')
     WHEN 9 THEN replace(text, ', ', '.go(')
     WHEN 10 THEN replace(text, '. ', concat(chr(10), 'x = ', chr(39)))
-    ELSE concat('lambda yield await global bool = {', left(text, 40), '};') END"""
+    ELSE CASE WHEN doc_id % 24 = 11
+        THEN concat('lambda yield ', replace(translate(text, 'abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ',
+            '0123456789012345678901234501234567890123456789012345'), ' ', '={;'))
+        ELSE replace(text, ' ', 'zz{lambda}=;zz') END END"""
+# The same with blank texts among them.
+MADE_BLANKS = "CASE doc_id % 24 WHEN 4 THEN '' WHEN 16 THEN NULL ELSE text END"
+
+# What pages.html becomes, by page_id: list items, dropped tags of both groups, a parser failure, other block tags.
+SKIPPED = ("noscript", "iframe", "object", "svg", "canvas", "audio", "video", "map", "pre", "code")
+NOISY = ("header", "aside", "menu", "menuitem", "form", "button", "select", "textarea", "label")
+_DROPPED = {tags: "".join(f"<{tag}>lost in {tag}</{tag}>" for tag in tags) for tags in (SKIPPED, NOISY)}
+MADE_HTML = f"""CASE page_id % 6
+    WHEN 0 THEN replace(replace(html, '<p>', '<li>'), '</p>', '</li>')
+    WHEN 1 THEN replace(html, '</h1>', '</h1>{_DROPPED[SKIPPED]}')
+    WHEN 2 THEN replace(replace(html, '</h1>', '</h1>{_DROPPED[NOISY]}'), '<footer>', '<input name="q">lost<footer>')
+    WHEN 3 THEN replace(html, '</h1>', '</h1><![broken[x]]>')
+    WHEN 4 THEN replace(replace(replace(html, '<p>', '<blockquote>'), '</p>', '</blockquote>'), 'h1>', 'h3>')
+    ELSE html END"""
 
 
 def made_documents(spark: SparkSession, folder: str) -> DataFrame:
@@ -617,13 +634,43 @@ QUERIES: dict[str, Query] = {
 # The same operators over texts made from all documents so that each rule fires.
 
 
+def made_nonblank_text(spark, folder):
+    """Blank and missing texts vanish."""
+    docs = table(spark, folder, "documents").select("doc_id", F.expr(MADE_BLANKS).alias("text"))
+    return docs.filter(jsonl.nonblank(F.col("text"))).select("doc_id")
+
+
+def made_pages(spark, folder):
+    """Pages after extraction, as they were where the parser fails or too little is left."""
+    made = pages(spark, folder).select("page_id", F.expr(MADE_HTML).alias("html"))
+    raw = made.withColumn("raw", html.raw_page_text(F.col("html"), "element"))
+    lines = raw.withColumn("lines", html.line_cleanup(F.col("raw")))
+    taken = html.accepted(F.col("lines"), CONFIG.min_char_len)
+    return lines.select("page_id", F.coalesce(taken, "html").alias("text"), taken.isNotNull().alias("html_extracted"))
+
+
+def made_code_rules(spark, folder):
+    """Which of the rules over words and lines hold, each by itself."""
+    share = lambda column, of: F.col(column) / F.greatest(F.col(of), F.lit(1))
+    stop, punctuation = share("stopwords", "words"), share("punctuation", "chars")
+    codey, indented = share("codey_lines", "lines"), share("indented_lines", "lines")
+    return _measured(spark, folder, made_nonblank).select(
+        "doc_id",
+        ((indented > 0.5) & (codey > 0.25)).alias("c6"),
+        ((stop < 0.05) & (F.col("keywords") >= 3) & (punctuation > 0.15)).alias("c10"),
+        ((F.col("words") < 15) & (F.col("keywords") >= 2) & (stop < 0.05) & (punctuation > 0.12)).alias("c13"),
+    )
+
+
 def made_nonblank(spark, folder):
     """What no blank text is left of, as every rule below sees it."""
     return made_documents(spark, folder).filter(jsonl.nonblank(F.col("text")))
 
 
 QUERIES |= {
-    "made_nonblank_text": lambda spark, folder: made_nonblank(spark, folder).select("doc_id"),
+    "made_nonblank_text": made_nonblank_text,
+    "made_pages": made_pages,
+    "made_code_rules": made_code_rules,
     "made_strip_control": _columns(made_nonblank, text=normalize.strip_control),
     "made_straight_quotes": _columns(made_nonblank, text=normalize.straight_quotes),
     "made_normalize": _columns(made_nonblank, text=normalize.normalize),
