@@ -59,6 +59,38 @@ def test_components_of_near_copies(make_docs, prose, length):
     assert all(rows[i]["kept"] == (expected[i] == i) for i in range(len(texts)))
 
 
+def test_families_at_the_border(spark, make_docs, prose):
+    """Texts so far from a family's hub that only what they share besides tells whether they are near."""
+    rng = random.Random(5)
+    base = prose(77, 120).split()
+    texts = []
+    for most in [4] * 60 + [14] * 60 + [20] * 30:
+        words = list(base)
+        for at in rng.sample(range(0, len(base), 2), rng.randint(0, most)):
+            words[at] = f"n{at}" if rng.random() < 0.7 else f"o{rng.random()}"
+        texts.append(" ".join(words))
+    texts += families(prose, 8, 2, 6)
+    expected, _ = brute_components(texts, 2)
+    rows = {r["doc_id"]: r for r in minhash.near_duplicates(make_docs(texts), 2).collect()}
+    assert [rows[i]["component_id"] for i in range(len(texts))] == expected
+    assert 10 < len(set(expected)) < len(texts) - 10
+
+    # All texts around one main component, whatever their buckets; the others are still alone.
+    sets = minhash.sets_of(make_docs(texts), 2)
+    label = [0 if i < 60 and expected[i] == 0 else i for i in range(len(texts))]
+    around = spark.createDataFrame([(i, c, 0, 1) for i, c in enumerate(label)], "doc_id bigint, component_id bigint, main bigint, n bigint")
+    pairs = minhash.across(around, sets, 80)
+    listed = [frozenset(s.tolist()) for s in minhash.shingle_sets(texts, 2)]
+    for r in pairs.collect():
+        assert r["a"] < r["b"] and label[r["a"]] != label[r["b"]]
+    known = spark.createDataFrame([(c, i) for i, c in enumerate(label) if c != i], "a bigint, b bigint")
+    links = known.union(minhash.confirm(pairs, sets, 80))
+    found = {r["id"]: r["component_id"] for r in components(links).collect()}
+    assert [found.get(i, i) for i in range(len(texts))] == expected
+    far = sum(label[i] != label[j] for i in range(len(listed)) for j in range(i))
+    assert pairs.count() < far / 5
+
+
 def test_shingles():
     sets = minhash.shingle_sets(["A b c", "a B", "b c", "a", "", None, "c a b c"], 2)
     assert [len(s) for s in sets] == [2, 1, 1, 1, 0, 0, 3]

@@ -25,7 +25,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-from textsieve.llm.common import by_slice, id_text, id_type, slices, without
+from textsieve.llm.common import by_slice, id_text, id_type, without
 from textsieve.llm.components import components
 from textsieve.llm.hashing import U, mix, word_hashes
 from textsieve.staging import write_staged
@@ -179,9 +179,10 @@ def near_links(classes: DataFrame, docs: DataFrame, length: int, percent: int) -
     found = write_staged(components(links), "components")
 
     held = write_staged(labelled(members.filter("size > 2").select("key", "doc_id", "n_shingles"), "doc_id", found), "held")
-    parts = held.groupBy("key").agg(F.min("component_id").alias("a"), F.max("component_id").alias("b")).filter("a != b")
-    mixed = held.join(write_staged(parts.select("key"), "mixed"), "key", "left_semi")
-    mixed = write_staged(mixed.select("doc_id", "n_shingles", "component_id").distinct(), "mixed")
+    parts = held.groupBy("key", "component_id").agg(F.count("*").alias("n"))
+    mains = parts.groupBy("key").agg(F.count("*").alias("parts"), F.max_by("component_id", F.struct("n", "component_id")).alias("main"))
+    mixed = held.join(write_staged(mains.filter("parts > 1").select("key", "main"), "mains"), "key")
+    mixed = write_staged(mixed.select("doc_id", "component_id", "main").groupBy("doc_id", "component_id", "main").agg(F.count("*").alias("n")), "mixed")
     rest = write_staged(across(mixed, sets, percent).join(pairs.select("a", "b"), ["a", "b"], "left_anti"), "pairs")
     late = write_staged(confirm(rest, sets, percent), "links")
     if late.isEmpty():
@@ -189,71 +190,86 @@ def near_links(classes: DataFrame, docs: DataFrame, length: int, percent: int) -
     return write_staged(components(links.union(late)), "components")
 
 
-def across(rows: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) of rows (doc_id, n_shingles, component_id) in different components
-    that may be near, by prefixes: exact, and without listing pairs of a bucket.
-
-    Near sets share at least ceil(percent n / 100) of the n shingles of either, so
-    in any order of all shingles their first n - that + 1 ones have one in common.
-    Shingles of one component alone cannot be shared and come first, the others
-    from rare to frequent. What sets a text apart from its family fills its prefix.
-
-    A pair is left out where it meets if counts alone tell that it is not near.
-    Each text is set against one hub, the text of the main component with the
-    fewest shingles of its own. Two texts differ in what sets either apart from the
-    hub, less what sets both apart in the same way; the latter is at most what one
-    of them lacks of the hub, or has besides it and shares with anything.
-    """
+def described(rows: DataFrame, sets: DataFrame) -> DataFrame:
+    """doc_id, component_id, main, n_shingles and apart: the shingles that only one of
+    the text and the hub of its main component has."""
 
-    def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, 64):
-            found = [np.frombuffer(x, np.int64) for x in batch.column("shingles").to_pylist()]
-            of = pa.array(np.repeat(np.arange(len(found)), [len(x) for x in found]))
-            columns = [batch.column(c).take(of) for c in ("doc_id", "n_shingles", "component_id")]
-            yield pa.RecordBatch.from_arrays([*columns, pa.array(np.concatenate(found))], ["doc_id", "n_shingles", "component_id", "s"])
+    def make(batch: pa.RecordBatch) -> pa.RecordBatch:
+        x, y = ([np.frombuffer(v, U) for v in batch.column(c).to_pylist()] for c in "xy")
+        apart_ = [np.setxor1d(v, w, assume_unique=True).view(np.int64) for v, w in zip(x, y)]
+        columns = [batch.column(c) for c in ("doc_id", "component_id", "main")]
+        sizes = pa.array([len(v) for v in x], pa.int64())
+        return pa.RecordBatch.from_arrays(
+            [*columns, sizes, pa.array(apart_, pa.list_(pa.int64()))], ["doc_id", "component_id", "main", "n_shingles", "apart"]
+        )
 
+    hubs = rows.filter("component_id = main").groupBy("main").agg(F.max_by("doc_id", F.struct("n", "doc_id")).alias("hub"))
+    left = sets.select("doc_id", F.col("shingles").alias("x"))
+    right = sets.select(F.col("doc_id").alias("hub"), F.col("shingles").alias("y"))
+    hubs = write_staged(hubs.join(right, "hub"), "hubs")
+    joined = rows.join(left, "doc_id").join(hubs, "main").select("doc_id", "component_id", "main", "x", "y")
     kind = id_type(rows)
-    schema = f"doc_id {kind}, n_shingles bigint, component_id {kind}, s bigint"
-    joined = rows.join(sets, "doc_id").select("doc_id", "n_shingles", "component_id", "shingles")
-    shingles = write_staged(joined.mapInArrow(spread, schema), "shingles")
-    shared = shingles.groupBy("s").agg(F.count("*").alias("n"), F.min("component_id").alias("x"), F.max("component_id").alias("y"))
-    shared = write_staged(shared.filter("x != y").select("s", "n"), "shared")
-    own = Window.partitionBy("doc_id")
-    places = F.col("common") - F.ceil(F.col("n_shingles") * percent / 100) + 1
+    schema = f"doc_id {kind}, component_id {kind}, main {kind}, n_shingles bigint, apart array<bigint>"
+    return joined.mapInArrow(by_slice(make), schema)
+
+
+def across(rows: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of texts in different components that may be near, among those of
+    one main component: exact, and without listing pairs of a bucket.
+
+    rows: doc_id, component_id, the main component of a bucket of the text, and in how
+    many buckets. Each text is described by its difference d from one hub, the text of
+    the main component that stands in most buckets. Two texts x and y of n and m
+    shingles are near if |d(x)| + |d(y)| - 2 |d(x) & d(y)| <= c (n + m), with
+    c = (100 - percent) / (100 + percent). With excess(x) = |d(x)| - c n:
+    - excess(x) + excess(y) <= 0: near, and so are both to the text of least excess,
+      which is all they are compared with;
+    - else their differences share at least half that sum. So do prefixes of the
+      differences, from rare to frequent shingles, that leave out one less than the
+      least number to share with anything; and at the first shingle they share, enough
+      must be left of both.
+    Shingles in differences of one component alone are left out. What members of a
+    family lack or have besides the hub is little, whatever the family's size. Only
+    pairs with a text outside the main component are met; the members' prefixes
+    reckon with those alone.
+    """
+    whole, part = 100 + percent, 100 - percent
+    around = write_staged(described(rows, sets), "around")
+    excess = whole * F.size("apart") - part * F.col("n_shingles")
+    texts = around.withColumn("excess", excess.cast("bigint"))
+    inside = F.col("component_id") == F.col("main")
+    least = texts.groupBy("main").agg(
+        F.min("excess").alias("least"),
+        F.min(F.when(~inside, F.col("excess"))).alias("least_outside"),
+        F.min(F.struct("excess", "doc_id", "component_id")).alias("z"),
+    )
+    texts = texts.join(write_staged(least, "least"), "main")
+    near = texts.filter("excess + least <= 0 and component_id != z.component_id")
+    near = near.select(F.least("doc_id", "z.doc_id").alias("a"), F.greatest("doc_id", "z.doc_id").alias("b"))
+
+    shingles = texts.withColumn("least", F.when(inside, F.col("least_outside")).otherwise(F.col("least"))).filter("least is not null")
+    shingles = shingles.select("doc_id", "component_id", "main", "n_shingles", "excess", "least", F.explode("apart").alias("s"))
+    shingles = write_staged(shingles, "shingles")
+    shared = shingles.groupBy("main", "s").agg(F.count("*").alias("n"), F.min("component_id").alias("x"), F.max("component_id").alias("y"))
+    shared = write_staged(shared.filter("x != y").select("main", "s", "n"), "shared")
+    own = Window.partitionBy("main", "doc_id")
+    needed = F.greatest(F.lit(1), F.ceil((F.col("excess") + F.col("least")) / (2 * whole)))
     prefixes = (
-        shingles.join(shared, "s")
-        .withColumn("common", F.count("*").over(own))
-        .withColumn("places", places)
-        .filter("places > 0")
+        shingles.join(shared, ["main", "s"])
+        .withColumn("shares", F.count("*").over(own))
+        .filter(F.col("shares") >= needed)
         .withColumn("place", F.row_number().over(own.orderBy("n", "s")))
-        .filter("place <= places")
-        .select("s", "doc_id", "n_shingles", "common", "component_id")
+        .filter(F.col("place") <= F.col("shares") - needed + 1)
+        .select("main", "s", "doc_id", "component_id", "n_shingles", "excess", (F.col("shares") - F.col("place") + 1).alias("left"))
     )
     prefixes = write_staged(prefixes, "prefixes")
-    parts = prefixes.groupBy("s", "component_id").agg(F.count("*").alias("n"))
-    main = parts.groupBy("s").agg(F.count("*").alias("parts"), F.max_by("component_id", F.struct("n", "component_id")).alias("main"))
-    held = write_staged(prefixes.join(write_staged(main.filter("parts > 1").select("s", "main"), "main"), "s"), "prefixes")
-    own_first = F.struct((F.col("n_shingles") - F.col("common")).alias("own"), F.col("doc_id").alias("hub"), F.col("n_shingles").alias("h"))
-    hubs = held.filter("component_id = main").groupBy("main").agg(F.min(own_first).alias("hub")).select("main", "hub.*")
-    against = write_staged(held.select("doc_id", "main", "common").distinct().join(write_staged(hubs, "hubs"), "main"), "hubs")
-    shares = overlaps(against.select(F.col("doc_id").alias("a"), F.col("hub").alias("b")).distinct(), sets)
-    apart_by = shares.select(F.col("a").alias("doc_id"), F.col("b").alias("hub"), "n", "both")
-    lacks, besides = F.col("h") - F.col("both"), F.col("n") - F.col("both")
-    shared_besides = F.least(besides, F.greatest(F.lit(0), F.col("common") - F.col("both") + F.col("own")))
-    bounds = against.join(apart_by, ["doc_id", "hub"]).select(
-        "doc_id", "main", (lacks + besides).alias("differs"), (lacks + shared_besides).alias("alike")
-    )
-    held = write_staged(held.select("s", "main", "doc_id", "n_shingles", "component_id").join(write_staged(bounds, "bounds"), ["doc_id", "main"]), "prefixes")
-    renamed = {"doc_id": "other", "n_shingles": "m", "component_id": "part", "differs": "d", "alike": "e"}
-    minor = held.filter("component_id != main").drop("main").withColumnsRenamed(renamed)
-    most, size = F.least("alike", "e"), F.col("n_shingles") + F.col("m")
-    near = (100 + percent) * (F.col("differs") + F.col("d") - 2 * most) <= (100 - percent) * size
-    return (
-        held.join(minor, "s")
-        .filter((F.col("component_id") != F.col("part")) & near)
-        .select(F.least("doc_id", "other").alias("a"), F.greatest("doc_id", "other").alias("b"))
-        .distinct()
-    )
+    renamed = {"doc_id": "other", "component_id": "part", "n_shingles": "m", "excess": "excess_m", "left": "left_m"}
+    outside = prefixes.filter(~inside).withColumnsRenamed(renamed)
+    both = F.col("excess") + F.col("excess_m")
+    enough = (both > 0) & (2 * whole * F.least("left", "left_m") >= both)
+    sizes = 100 * F.least("n_shingles", "m") >= percent * F.greatest("n_shingles", "m")
+    met = prefixes.join(outside, ["main", "s"]).filter((F.col("component_id") != F.col("part")) & enough & sizes)
+    return near.union(met.select(F.least("doc_id", "other").alias("a"), F.greatest("doc_id", "other").alias("b"))).distinct()
 
 
 def near_duplicates(docs: DataFrame, length: int = 5, percent: int = 80, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
