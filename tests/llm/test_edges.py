@@ -28,6 +28,7 @@ OPERATORS = {
     "rules": lambda s, d: rules.quality_rules(d),
     "licenses": lambda s, d: licenses.license_scan(d),
     "cotrain": lambda s, d: cotrain.score_quality(d, labels(s)),
+    "brown": lambda s, d: brown.score(d),
     "minhash": lambda s, d: minhash.near_duplicates(d, 2),
     "langid": lambda s, d: langid.identify(d),
     "resample": lambda s, d: resample.resample(d, benchmark(s)),
@@ -66,12 +67,11 @@ def test_no_rows(spark, odd, name):
 
 
 def test_odd_rows_of_brown(spark, odd):
-    """A repeated id is one row."""
-    rows = {r["doc_id"]: r for r in brown.score(odd).collect()}
-    assert len(rows) == 8
+    """A repeated id has a row each."""
+    found = brown.score(odd).collect()
+    rows = {r["doc_id"]: r for r in found}
     assert rows[1]["n_tokens"] == rows[2]["n_tokens"] == rows[3]["n_tokens"] == 1
-    assert rows[6]["n_tokens"] == 8
-    assert brown.score(odd.limit(0)).collect() == []
+    assert [r["n_tokens"] for r in found if r["doc_id"] == 6] == [4, 4]
 
 
 def test_odd_rows_of_decontamination(spark, odd):

@@ -168,6 +168,58 @@ def test_base_score(make_docs, prose, monkeypatch):
         assert row["score"] < 0
 
 
+@pytest.mark.parametrize("lookup, own", [(15, 5), (60, 30), (10_000, 10_000)])
+def test_score_is_the_sum_of_transitions_and_emissions(make_docs, prose, monkeypatch, lookup, own):
+    """Counted anew from the texts, with nothing but the class of each word taken from the model."""
+    for name, value in {"LOOKUP": lookup, "OWN": own, "CLUSTERED": 10, "CLASSES": 3}.items():
+        monkeypatch.setattr(brown, name, value)
+    vocabulary = prose(1, 60).split()
+    rng = random.Random(3)
+    texts = [" ".join(rng.choice(vocabulary[: 5 + i]) for _ in range(30)) + f" new{i} z" for i in range(40)] + ["", None, "never met"]
+    docs = make_docs(texts)
+    _, _, model = brown.learn(docs)
+    words = model.units.words
+    number = {b"": 0, **{w: i + 1 for i, w in enumerate(words)}}
+    last = {e: len(words) + 1 + i for i, e in enumerate(model.units.endings)}
+
+    def of(word):
+        return model.classes[number.get(word, last.get(word[-2:], len(model.classes) - 1))]
+
+    learned = [brown.tokens(t) for i, t in enumerate(texts) if zlib.crc32(str(i).encode()) % 5 != 1]
+    counts = Counter(w for t in learned for w in t)
+    pairs = Counter((of(a), of(b)) for t in learned for a, b in zip([b"", *t], t))
+    before = Counter()
+    for (a, _), n in pairs.items():
+        before[a] += n
+    size, distinct = Counter(), Counter()
+    for w, n in counts.items():
+        size[of(w)] += n
+        distinct[of(w)] += 1
+    assert all(of(w) < 3 for w in counts if w)
+    for row in brown.score(docs).collect():
+        words_ = brown.tokens(texts[row["doc_id"]])
+        move = sum(log10((pairs[of(a), of(b)] + 0.5) / (before[of(a)] + 0.5 * 5)) for a, b in zip([b"", *words_], words_))
+        emit = sum(log10((counts[w] + 0.5) / (size[of(w)] + 0.5 * (distinct[of(w)] + 1))) for w in words_ if w)
+        assert row["score"] == pytest.approx(move + emit, abs=1e-9)
+
+
+def test_later_words_join_the_class_of_their_neighbours(make_docs, monkeypatch):
+    """Words of two kinds that always alternate; the rare ones are placed after the exchange."""
+    monkeypatch.setattr(brown, "CLUSTERED", 8)
+    monkeypatch.setattr(brown, "CLASSES", 2)
+    rng = random.Random(4)
+    kinds = [[f"{k}{i}{k}" for i in range(30)] for k in "xy"]
+    weights = [1 / (i + 1) for i in range(30)]
+    texts = []
+    for _ in range(120):
+        at = rng.randint(0, 1)
+        texts.append(" ".join(rng.choices(kinds[(at + k) % 2], weights)[0] for k in range(40)))
+    _, _, model = brown.learn(make_docs(texts))
+    found = {kind: {int(model.classes[i + 1]) for i, w in enumerate(model.units.words) if w.decode()[0] == kind} for kind in "xy"}
+    assert len(model.units.words) > 40
+    assert not found["x"] & found["y"]
+
+
 def likelihood(bigrams, of, k):
     onehot = np.eye(k)[of]
     table = onehot.T @ bigrams @ onehot
