@@ -17,6 +17,7 @@ from textsieve.plans import reports
 from textsieve.plans.measure import measured_run
 from textsieve.plans.prepare import Models, Timings, base_rows, kept_rows, omitted_rows, prepare
 from textsieve.sources import jsonl, outputs
+from textsieve.staging import work_dir
 from textsieve.streaming import incremental
 
 SENTENCE = "The quick brown fox is in the garden of the old house by the sea"
@@ -316,6 +317,15 @@ def test_measured_run(spark, sample, rows):
     assert one["average_time_per_call_seconds"] == pytest.approx(one["total_time_seconds"] / one["number_of_calls"])
 
 
+def test_measured_run_leaves_one_result_on_disk(spark, sample):
+    """A step's rows are written once, and go when the next step has read them."""
+    folder = Path(work_dir(spark)) / "textsieve"
+    before = set(folder.glob("*"))
+    measured_run(sample, models=Models(LANGUAGE, TOXICITY))
+    left = {path.name.rsplit("-", 1)[0] for path in set(folder.glob("*")) - before}
+    assert left == {"step-9", "fingerprints"}
+
+
 def test_measured_run_of_no_rows(sample):
     _, measures = measured_run(sample.limit(0))
     assert [(m.rows_in, m.omits) for m in measures] == [(0, 0)] * 9
