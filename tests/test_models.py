@@ -226,3 +226,17 @@ def test_names_of_many_words_do_not_multiply_the_rows(spark):
     assert 4 not in hits  # no text holds "top", so the name is filed under it
     found = {r["id"]: r["text"] for r in entities.mask_gazetteer(df, names).collect()}
     assert found == {0: "so <PERSON> said", 1: "<PERSON> part0", 2: "part5 only", 3: "nothing here", 4: "zz zz", 5: None}
+
+
+def test_names_of_frequent_words_are_no_candidates_of_every_text(spark):
+    """Texts that hold all words of a name, but not side by side, do not meet it."""
+    words = [f"w{i}" for i in range(20)]
+    names = spark.createDataFrame([("PERSON", f"{a} {b}") for a in words for b in words if a != b], "entity string, phrase string")
+    texts = [" x ".join(words), "w3 w1 x w1 w2, w2", "w1 w2" * 2, None]
+    df = spark.createDataFrame(list(enumerate(texts)), "id bigint, text string")
+    hits = {r["id"]: {n["phrase"] for n in r["names"]} for r in entities.gazetteer_hits(df, names).collect()}
+    assert hits == {1: {"w3 w1", "w1 w2"}}
+
+
+def test_a_name_beside_a_mask(spark):
+    assert places(spark, ["x@b.co\u00c9mile Lee"], [("PERSON", "\u00c9mile Lee")]) == [(0, 0, 6, "EMAIL_ADDRESS"), (0, 6, 15, "PERSON")]
