@@ -9,6 +9,7 @@ from pathlib import Path
 import pytest
 from pyspark.sql import functions as F
 
+from checks import queries
 from textsieve.config import PrepConfig
 from textsieve.functions.fingerprint import fingerprint
 from textsieve.operators.steps import as_records, run_steps
@@ -331,6 +332,17 @@ def test_measured_run_of_no_rows(sample):
     assert [(m.rows_in, m.omits) for m in measures] == [(0, 0)] * 9
 
 
+def test_stream_and_measured_queries_do_not_run_the_default_plan(spark, sample, rows, tmp_path, monkeypatch):
+    """They take its models alone."""
+    sample.select(F.col("id").alias("doc_id"), F.col("original").alias("text")).write.parquet(f"{tmp_path}/documents.parquet")
+    monkeypatch.setattr(queries, "run", lambda spark, folder: pytest.fail("the plan is run"))
+    monkeypatch.setattr(queries, "fitted", lambda spark, folder: Models(LANGUAGE, TOXICITY))
+    names = ["id", "cleaned", "lang", "omit_reason", "omit_stage"]
+    for query in (queries.stream_chain, queries.measured_chain):
+        found = query(spark, str(tmp_path)).select(names)
+        assert found.exceptAll(rows.select(names)).count() == 0 and found.count() == 10
+
+
 def write_batch(folder, name, rows):
     folder.mkdir(exist_ok=True)
     (folder / name).write_text("".join(json.dumps({"id": i, "text": t}) + "\n" for i, t in rows))
