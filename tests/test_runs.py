@@ -12,7 +12,8 @@ from pyspark.sql import functions as F
 from checks import queries
 from textsieve.config import PrepConfig
 from textsieve.functions.fingerprint import fingerprint
-from textsieve.operators.steps import as_records, run_steps
+from textsieve.operators.language import fit_language_profile
+from textsieve.operators.steps import as_records, dedup_step, language_step, run_steps, toxicity_step
 from textsieve.operators.toxicity import ToxicityModel
 from textsieve.plans import reports
 from textsieve.plans.measure import measured_run
@@ -327,6 +328,31 @@ def test_measured_run_leaves_one_result_on_disk(spark, sample):
     assert left == {"step-9", "fingerprints"}
 
 
+def test_unchanged_texts_are_stored_once(spark):
+    """Also where no step changes a text; a null that a caller made of a text stays one."""
+    folder = Path(work_dir(spark)) / "textsieve"
+    before = set(folder.glob("step-9-*"))
+    # Digests hardly shrink: half a byte for each of their characters.
+    text = F.concat(*(F.concat(F.sha2(F.concat("id", F.lit(f"-{i}")).cast("string"), 256), F.lit(" ")) for i in range(20)))
+    rows = as_records(spark.range(2000).withColumn("text", text))
+    measured, _ = measured_run(rows.withColumn("cleaned", F.when(F.col("id") != 7, F.col("cleaned"))))
+    (path,) = set(folder.glob("step-9-*")) - before
+    size = sum(file.stat().st_size for file in path.glob("*.parquet"))
+    assert size < 1.5 * 2000 * 20 * 32
+    found = by_id(measured)
+    assert all(found[i]["cleaned"] == found[i]["original"] for i in range(2000) if i != 7)
+    assert found[7]["cleaned"] == ""
+
+
+def test_steps_shuffle_no_text_for_what_they_omit(spark, sample):
+    """What rows are joined with has a known small size, so that it is broadcast."""
+    profile = fit_language_profile(sample.withColumn("lang", F.lit("en")), "original")
+    toxicity = ToxicityModel(0, spark.createDataFrame([("fox", 9000)], "word string, w bigint"))
+    for number, step in enumerate((dedup_step(True), language_step(profile, "en", True), toxicity_step(toxicity, 0.7, True)), 6):
+        plan = step(sample, number)._jdf.queryExecution().sparkPlan().toString()
+        assert plan.count("BroadcastHashJoin") == 1 and "SortMergeJoin" not in plan
+
+
 def test_measured_run_of_no_rows(sample):
     _, measures = measured_run(sample.limit(0))
     assert [(m.rows_in, m.omits) for m in measures] == [(0, 0)] * 9
