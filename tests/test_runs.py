@@ -344,6 +344,20 @@ def test_unchanged_texts_are_stored_once(spark):
     assert found[7]["cleaned"] == ""
 
 
+def test_plan_stores_unchanged_texts_once(spark):
+    """In the table of stages 1-5, also next to texts that these have changed."""
+    folder = Path(work_dir(spark)) / "textsieve"
+    before = set(folder.glob("base-*"))
+    text = F.concat(*(F.concat(F.sha2(F.concat("id", F.lit(f"+{i}")).cast("string"), 256), F.lit(" ")) for i in range(20)))
+    changed = F.when(F.col("id") % 500 == 3, F.concat(text, F.lit("\t\x01“so”"))).otherwise(text)
+    rows = by_id(prepare(as_records(spark.range(2000).select("id", changed.alias("text")))))
+    (path,) = set(folder.glob("base-*")) - before
+    assert sum(file.stat().st_size for file in path.glob("*.parquet")) < 1.6 * 2000 * 20 * 32
+    for i, row in rows.items():
+        expected = row["original"] if i % 500 != 3 else row["original"].replace(" \t\x01“so”", ' "so"')
+        assert row["cleaned"] == expected
+
+
 def test_steps_shuffle_no_text_for_what_they_omit(spark, sample):
     """What rows are joined with has a known small size, so that it is broadcast."""
     profile = fit_language_profile(sample.withColumn("lang", F.lit("en")), "original")
