@@ -11,7 +11,8 @@ import numpy as np
 import pytest
 
 from textsieve.llm import brown, cotrain, langid, minhash
-from textsieve.llm.components import components
+from textsieve.llm import components as components_module
+from textsieve.llm.components import components, joined_by
 
 FOLDER = "/root/testdata/sf0.01"
 
@@ -91,6 +92,26 @@ def test_families_at_the_border(spark, make_docs, prose):
     assert pairs.count() < far / 5
 
 
+def test_links_added_later_and_rounds(spark, monkeypatch):
+    """Later links go through rounds as links of components, and stars go through none."""
+    written = []
+    write = components_module.write_staged
+    monkeypatch.setattr(components_module, "write_staged", lambda df, name: written.append(name) or write(df, name))
+
+    def table(links):
+        return spark.createDataFrame(links, "a bigint, b bigint")
+
+    stars = [(10, 11), (10, 12), (20, 21), (20, 22), (30, 31)]
+    found = write(components(table(stars)), "found")
+    assert written == ["edges"]
+    chain = [(12, 22), (21, 31), (5, 31), (50, 51), (11, 12)]
+    of = {r["id"]: r["component_id"] for r in joined_by(found, table(chain)).collect()}
+    assert of == {r["id"]: r["component_id"] for r in components(table(stars + chain)).collect()}
+    assert of == {**dict.fromkeys([5, 10, 11, 12, 20, 21, 22, 30, 31], 5), 50: 50, 51: 50}
+    same = joined_by(found, table([(11, 12), (31, 30)])).collect()
+    assert sorted(same) == sorted(found.collect())
+
+
 def test_shingles():
     sets = minhash.shingle_sets(["A b c", "a B", "b c", "a", "", None, "c a b c"], 2)
     assert [len(s) for s in sets] == [2, 1, 1, 1, 0, 0, 3]

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
 from textsieve.llm.common import by_slice, id_text, id_type, without
-from textsieve.llm.components import components
+from textsieve.llm.components import apart, components, joined_by, labelled
 from textsieve.llm.hashing import U, mix, word_hashes
 from textsieve.staging import write_staged
 
@@ -133,18 +133,6 @@ def confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return overlaps(pairs, sets).filter(100 * F.col("both") >= percent * (F.col("n") + F.col("m") - F.col("both"))).select("a", "b")
 
 
-def labelled(rows: DataFrame, column: str, found: DataFrame) -> DataFrame:
-    """rows with the component of column, itself if it has no links."""
-    known = found.select(F.col("id").alias(column), "component_id")
-    return rows.join(known, column, "left").withColumn("component_id", F.coalesce("component_id", column))
-
-
-def apart(pairs: DataFrame, found: DataFrame) -> DataFrame:
-    """Pairs that lie in different components."""
-    a = labelled(pairs, "a", found).withColumnRenamed("component_id", "left")
-    return labelled(a, "b", found).filter("component_id != left").drop("left", "component_id")
-
-
 def near_links(classes: DataFrame, docs: DataFrame, length: int, percent: int) -> DataFrame:
     """Components (id, component_id) of classes (doc_id, n_shingles, bands)."""
     spread = classes.select("doc_id", "n_shingles", F.explode("bands").alias("key"))
@@ -171,12 +159,10 @@ def near_links(classes: DataFrame, docs: DataFrame, length: int, percent: int) -
         "pairs",
     )
     best = pairs.groupBy("b").agg(F.max_by("a", "n").alias("a"))
-    links = write_staged(confirm(best, sets, percent), "links")
-    found = write_staged(components(links), "components")
+    found = write_staged(components(confirm(best, sets, percent)), "components")
 
     more = write_staged(apart(pairs.select("a", "b").exceptAll(best.select("a", "b")), found), "pairs")
-    links = write_staged(links.union(confirm(more, sets, percent)), "links")
-    found = write_staged(components(links), "components")
+    found = write_staged(joined_by(found, confirm(more, sets, percent)), "components")
 
     held = write_staged(labelled(members.filter("size > 2").select("key", "doc_id", "n_shingles"), "doc_id", found), "held")
     parts = held.groupBy("key", "component_id").agg(F.count("*").alias("n"))
@@ -184,10 +170,7 @@ def near_links(classes: DataFrame, docs: DataFrame, length: int, percent: int) -
     mixed = held.join(write_staged(mains.filter("parts > 1").select("key", "main"), "mains"), "key")
     mixed = write_staged(mixed.select("doc_id", "component_id", "main").groupBy("doc_id", "component_id", "main").agg(F.count("*").alias("n")), "mixed")
     rest = write_staged(across(mixed, sets, percent).join(pairs.select("a", "b"), ["a", "b"], "left_anti"), "pairs")
-    late = write_staged(confirm(rest, sets, percent), "links")
-    if late.isEmpty():
-        return found
-    return write_staged(components(links.union(late)), "components")
+    return write_staged(joined_by(found, confirm(rest, sets, percent)), "components")
 
 
 def described(rows: DataFrame, sets: DataFrame) -> DataFrame:
