@@ -241,6 +241,27 @@ def test_later_words_join_the_class_of_their_neighbours(make_docs, monkeypatch):
     assert not found["x"] & found["y"]
 
 
+def test_words_of_one_ending_have_classes_of_their_own(make_docs, monkeypatch):
+    """Two kinds that always alternate, all words with the same ending, most of them beyond those held."""
+    for name, value in {"LOOKUP": 8, "OWN": 6, "CLUSTERED": 4, "CLASSES": 2}.items():
+        monkeypatch.setattr(brown, name, value)
+    rng = random.Random(6)
+    kinds = [[f"{k}{i}zz" for i in range(30)] for k in "xy"]
+    weights = [3 if i < 4 else 0.2 for i in range(30)]
+    texts = []
+    for _ in range(150):
+        at = rng.randint(0, 1)
+        texts.append(" ".join(rng.choices(kinds[(at + k) % 2], weights)[0] for k in range(40)))
+    _, _, model = brown.learn(make_docs(texts))
+    found = {row["word"].decode()[:1]: set() for row in model.rest.collect()}
+    for row in model.rest.collect():
+        found[row["word"].decode()[:1]].add(row["class"])
+    assert model.rest.count() > 40
+    assert len(found["x"]) == len(found["y"]) == 1 and found["x"] != found["y"]
+    counts = Counter(w for i, t in enumerate(texts) if zlib.crc32(str(i).encode()) % 5 != 1 for w in brown.tokens(t))
+    assert all(row["n"] == counts[bytes(row["word"])] for row in model.rest.collect())
+
+
 def likelihood(bigrams, of, k):
     onehot = np.eye(k)[of]
     table = onehot.T @ bigrams @ onehot
