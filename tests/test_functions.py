@@ -6,6 +6,7 @@ import html as stdlib_html
 import random
 import re
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -93,6 +94,19 @@ def test_unescape_is_one_pass(apply):
     ]
 
 
+def test_unescape_takes_a_few_texts_at_a_time(monkeypatch):
+    """A batch stays in Arrow; only slices of it become Python objects."""
+    seen = []
+    unescape = normalize.html.unescape
+    monkeypatch.setattr(normalize.html, "unescape", lambda t: seen.append(t) or unescape(t))
+    texts = ["&amp;amp;", None, "", "&copy é", *(f"&#{i};" for i in range(40, 600))]
+    decoded = normalize._decode_entities.func(pa.array(texts))
+    assert isinstance(decoded, pa.Array)
+    assert decoded.to_pylist() == [t and unescape(t) for t in texts]
+    assert seen == [t for t in texts if t is not None]
+    assert normalize._decode_entities.func(pa.array([], pa.string())).to_pylist() == []
+
+
 def test_control_characters_keep_tab_and_line_ends(apply):
     assert apply(normalize.strip_control, ["a\x00b\tc\nd\re\x7ff"]) == ["a b\tc\nd\re f"]
 
