@@ -5,6 +5,7 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
+from checks.queries import QUERIES
 from textsieve.operators.steps import (
     alive,
     attribute_step,
@@ -67,6 +68,18 @@ def test_code_without_tokens(records):
     assert [r["omit_reason"] for r in rows.orderBy("id").collect()] == ["code_snippet", "code_snippet"]
 
 
+def test_blank_texts_pass_the_code_rules(spark, records, tmp_path):
+    """A text without lines and words has no shares, but does not end the job."""
+    blanks = ["", " ", "\n\n\t", "\u00a0", "\r\x1c", None]
+    texts = [*blanks, PROSE, CODE_CASES["C1"], CODE_CASES["C12"], *blanks]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    found = {r["doc_id"]: r["omit_reason"] for r in QUERIES["code_reason"](spark, str(tmp_path)).collect()}
+    assert found == {i: "code_snippet" if t in CODE_CASES.values() else None for i, t in enumerate(texts)}
+    rows = code_verdicts(records(["\r" * 60, PROSE, CODE_CASES["C1"]])).orderBy("id")
+    assert [r["omit_reason"] for r in rows.collect()] == [None, None, "code_snippet"]
+
+
 def test_prose_is_kept(records):
     steps = [normalize_step(), attributes_step(), preliminary_step(), code_step()]
     assert run_steps(records([PROSE]), steps).first()["omit_reason"] is None
